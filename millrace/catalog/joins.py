@@ -18,7 +18,7 @@ from millrace.catalog.base import (
     sensor,
     table,
 )
-from millrace.functions.aggregates import top_values, weighted_avg
+from millrace.functions.aggregates import register_functions, top_values, weighted_avg
 from millrace.functions.text import java_hash, java_split
 from millrace.operators import combine, eventtime
 
@@ -67,14 +67,14 @@ def window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "q_interval_join",
-    f"""WITH {SENSOR}
+INTERVAL_JOIN = f"""WITH {SENSOR}
     SELECT a.uid, a.seq AS left_seq, b.seq AS right_seq
     FROM sensor a JOIN sensor b ON a.uid = b.uid
       AND b.ts BETWEEN a.ts - INTERVAL 2 HOUR AND a.ts + INTERVAL 2 HOUR
-    WHERE a.id = 'purchase' AND b.id = 'view'""",
-)
+    WHERE a.id = 'purchase' AND b.id = 'view'"""
+
+
+@query("q_interval_join", INTERVAL_JOIN)
 def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensor(spark, sf_dir)
     joined = combine.interval_join(
@@ -121,14 +121,14 @@ def interval_join_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "q_broadcast_threshold",
-    f"""WITH {SENSOR}, d AS (SELECT * FROM sensor WHERE id <> 'signup'),
+THRESHOLD = f"""WITH {SENSOR}, d AS (SELECT * FROM sensor WHERE id <> 'signup'),
     c AS (SELECT seq, vc AS threshold FROM sensor WHERE id = 'signup')
     SELECT d.seq, d.uid, d.vc, coalesce(c.threshold, 0) AS threshold
     FROM d ASOF LEFT JOIN c ON d.seq > c.seq
-    WHERE d.vc > coalesce(c.threshold, 0)""",
-)
+    WHERE d.vc > coalesce(c.threshold, 0)"""
+
+
+@query("q_broadcast_threshold", THRESHOLD)
 def broadcast_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensor(spark, sf_dir)
     settings = rows.filter(F.col("id") == "signup").select("seq", F.col("vc").alias("threshold"))
@@ -271,3 +271,41 @@ def udtaf_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def udtaf_top2_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = sensor(spark, sf_dir).select("id", (F.col("vc") - 245).alias("value"))
     return top_values(values, "value", 2, keys=["id"])
+
+
+@query(
+    "q_udf_sql_functions",
+    f"""WITH s AS (SELECT event_id AS seq, event_type AS s FROM events), h AS (SELECT seq, {FOLD} AS h FROM s)
+    SELECT seq, CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INT) AS hash FROM h""",
+)
+def udf_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_functions(spark)
+    sensor(spark, sf_dir).createOrReplaceTempView("readings")
+    return spark.sql("SELECT seq, java_hash_text(id) AS hash FROM readings")
+
+
+@query(
+    "q_udaf_sql_weighted_mean",
+    f"""WITH {SENSOR} SELECT id, CAST(sum(vc * (uid + 1)) AS DOUBLE) / CAST(sum(uid + 1) AS DOUBLE) AS mean
+    FROM sensor GROUP BY id""",
+)
+def udaf_sql_weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_functions(spark)
+    sensor(spark, sf_dir).createOrReplaceTempView("readings")
+    return spark.sql(
+        """SELECT id, weighted_mean(sum(vc * (uid + 1)), sum(uid + 1)) AS mean
+        FROM readings GROUP BY id"""
+    )
+
+
+@query(
+    "q_lateral_udtf",
+    f"""SELECT conv_id, turn, word, CAST(length(word) AS INT) AS length FROM (
+      SELECT conv_id, turn, unnest({TOKENS}) AS word FROM conversations)""",
+)
+def lateral_udtf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_functions(spark)
+    table(spark, sf_dir, "conversations").createOrReplaceTempView("turns")
+    return spark.sql(
+        "SELECT conv_id, turn, word, length FROM turns, LATERAL split_words(text)"
+    )

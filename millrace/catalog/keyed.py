@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import JUMP, SENSOR, TTL_US, epoch_s, query, sensor, table
@@ -132,45 +132,43 @@ def state_running_sum_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("id", "seq", "total")
 
 
-@query(
-    "q_state_running_avg",
-    f"""WITH {SENSOR} SELECT uid, seq,
+RUNNING_AVG = f"""WITH {SENSOR} SELECT uid, seq,
       CAST(CAST(sum(vc) OVER {BY_UID} AS BIGINT) AS DOUBLE) / count(*) OVER {BY_UID} AS mean
-    FROM sensor""",
-)
+    FROM sensor"""
+
+
+@query("q_state_running_avg", RUNNING_AVG)
 def state_running_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = running.running_totals(sensor(spark, sf_dir), ["uid"], ["seq"], F.col("vc"))
     return totals.select("uid", "seq", "mean")
 
 
-@query(
-    "q_state_value_counts",
-    f"""WITH {SENSOR} SELECT uid, seq, vc,
+VALUE_COUNTS = f"""WITH {SENSOR} SELECT uid, seq, vc,
       count(*) OVER (PARTITION BY uid, vc ORDER BY seq
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt
-    FROM sensor""",
-)
+    FROM sensor"""
+
+
+@query("q_state_value_counts", VALUE_COUNTS)
 def state_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensor(spark, sf_dir).select("uid", "seq", "vc")
     return running.running_occurrences(rows, ["uid", "vc"], ["seq"])
 
 
-@query(
-    "q_state_top3",
-    f"""WITH {SENSOR}, t AS (
+def three_of(top: str) -> list[Column]:
+    return [F.get(top, F.lit(i)).alias(name) for i, name in enumerate(("first", "second", "third"))]
+
+
+TOP3 = f"""WITH {SENSOR}, t AS (
       SELECT uid, seq, list_sort(list(vc) OVER {BY_UID}, 'DESC')[1:3] AS top FROM sensor)
-    SELECT uid, seq, top[1] AS first, top[2] AS second, top[3] AS third FROM t""",
-)
+    SELECT uid, seq, top[1] AS first, top[2] AS second, top[3] AS third FROM t"""
+
+
+@query("q_state_top3", TOP3)
 def state_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensor(spark, sf_dir).select("uid", "seq", "vc")
     top = running.running_top(rows, ["uid"], ["seq"], "vc", k=3)
-    return top.select(
-        "uid",
-        "seq",
-        F.get("top", F.lit(0)).alias("first"),
-        F.get("top", F.lit(1)).alias("second"),
-        F.get("top", F.lit(2)).alias("third"),
-    )
+    return top.select("uid", "seq", *three_of("top"))
 
 
 JUMPS = f"""WITH {SENSOR}, p AS (

@@ -6,26 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import (
+    DELAY_MS,
     HOUR_MS,
     JUMP,
+    LATENESS_MS,
     SENSOR,
+    SLIDE,
     WINDOW,
+    WINDOW_MS,
     epoch_s,
+    out_of_order,
     query,
     sensor,
     table,
 )
-from millrace.catalog.joins import TOKENS
-from millrace.catalog.keyed import CHANGES, JUMPS
-from millrace.catalog.windowed import TUMBLE, count_and_sum, in_seconds
+from millrace.catalog.joins import INTERVAL_JOIN, THRESHOLD, TOKENS, of_type
+from millrace.catalog.keyed import CHANGES, JUMPS, RUNNING_AVG, TOP3, VALUE_COUNTS, three_of
+from millrace.catalog.windowed import COUNT_SLIDE, LATE, TOP, TUMBLE, count_and_sum, in_seconds
 from millrace.functions.text import java_split
-from millrace.operators import windows
+from millrace.operators import topn, windows
+from millrace.operators.combine import keyed_connect
 from millrace.session import scratch_dir
 from millrace.sources.log import FileLog, copy_log
+from millrace.sources.text import stream_lines
 from millrace.streaming import processors
+from millrace.streaming.batchwise import follow_lateness, follow_settings
 from millrace.streaming.run import BatchTable, read_replay, run_batches, run_to_table, write_replay
 
 STEPS = 4
+HOUR_BOUND = "INTERVAL 2 HOURS"
 SPOKEN = f"SELECT unnest({TOKENS}) AS word FROM conversations"
 SPOKEN_COUNTS = f"SELECT word, count(*) AS cnt FROM ({SPOKEN}) GROUP BY word"
 
@@ -115,6 +124,18 @@ def event_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(timers, "timers")
 
 
+def log_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The readings as log records, the earlier and the later half."""
+    records = sensor(spark, sf_dir).select(
+        F.col("id").alias("key"),
+        F.concat_ws(",", "id", epoch_s("ts"), "vc").alias("value"),
+        F.col("seq").alias("offset"),
+    )
+    span = records.agg(F.min("offset"), F.max("offset")).first()
+    cut = (span[0] + span[1]) // 2
+    return records.filter(F.col("offset") <= cut), records.filter(F.col("offset") > cut)
+
+
 @query(
     "q_exactly_once_copy",
     f"""WITH {SENSOR} SELECT id AS key,
@@ -122,16 +143,148 @@ def event_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM sensor""",
 )
 def exactly_once_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sensor(spark, sf_dir)
-    records = rows.select(
-        F.col("id").alias("key"),
-        F.concat_ws(",", "id", epoch_s("ts"), "vc").alias("value"),
-        F.col("seq").alias("offset"),
-    )
-    span = records.agg(F.min("offset"), F.max("offset")).first()
-    cut = (span[0] + span[1]) // 2
+    first, second = log_batches(spark, sf_dir)
     source, target = FileLog(spark), FileLog(spark)
-    source.append(records.filter(F.col("offset") <= cut), 0)
-    source.append(records.filter(F.col("offset") > cut), 1)
+    source.append(first, 0)
+    source.append(second, 1)
     copy_log(source, target, "copy")
     return target.read().select("key", "value")
+
+
+@query(
+    "q_src_text_stream",
+    """SELECT value, count(*) AS n FROM (
+      SELECT unnest(string_split(text, chr(10))) AS value FROM documents)
+    GROUP BY value""",
+)
+def src_text_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "lines")
+    table(spark, sf_dir, "documents").select("text").write.text(path)
+    lines = run_to_table(stream_lines(spark, path), "lines")
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "q_src_log_committed",
+    f"""WITH {SENSOR}, cut AS (SELECT (min(seq) + max(seq)) // 2 AS cut_seq FROM sensor)
+    SELECT id AS key, concat_ws(',', id, CAST(floor(epoch(ts)) AS BIGINT), vc) AS value
+    FROM sensor, cut WHERE seq <= cut_seq""",
+)
+def src_log_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch is written but never committed, as after a crash."""
+    first, second = log_batches(spark, sf_dir)
+    log = FileLog(spark)
+    log.append(first, 0)
+    log.write_records(second, 1)
+    return log.read().select("key", "value")
+
+
+@query("q_table_append_stream", f"WITH {SENSOR} SELECT id, seq, vc FROM sensor WHERE vc > 200")
+def table_append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream as a SQL view, and the query's rows as an append-only stream again."""
+    replay(sensor(spark, sf_dir)).createOrReplaceTempView("flowing")
+    return run_to_table(spark.sql("SELECT id, seq, vc FROM flowing WHERE vc > 200"), "appended")
+
+
+@query(
+    "q_connect_join_stream",
+    """SELECT o_orderkey, o_totalprice, l_linenumber, l_partkey
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+)
+def connect_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    sides = [
+        read_replay(spark, write_replay(rows, key, 2), rows.schema)
+        for rows, key in ((orders, "o_orderkey"), (items, "l_orderkey"))
+    ]
+    joined = keyed_connect(*sides, "o_orderkey", "l_orderkey")
+    return run_to_table(joined.drop("l_orderkey"), "connect")
+
+
+@query("q_interval_join_stream", INTERVAL_JOIN)
+def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides carry a watermark, so the join's state is bounded by the interval."""
+    rows = sensor(spark, sf_dir)
+    left = replay(of_type(rows, "purchase", "seq", "left_ts")).select(
+        F.col("uid"), F.col("seq").alias("left_seq"), "left_ts"
+    )
+    right = replay(of_type(rows, "view", "seq", "right_ts")).select(
+        F.col("uid").alias("right_uid"), F.col("seq").alias("right_seq"), "right_ts"
+    )
+    near = F.col("right_ts").between(
+        F.col("left_ts") - F.expr(HOUR_BOUND), F.col("left_ts") + F.expr(HOUR_BOUND)
+    )
+    joined = left.withWatermark("left_ts", "12 hours").join(
+        right.withWatermark("right_ts", "12 hours"),
+        (F.col("uid") == F.col("right_uid")) & near,
+    )
+    return run_to_table(joined.select("uid", "left_seq", "right_seq"), "near")
+
+
+@query("q_topn_stream", f"{TOP} 2")
+def topn_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per value come out once a window closes; each batch ranks its closed windows."""
+    rows = sensor(spark, sf_dir).select("ts", "seq", "vc")
+    stream = replay(rows, end_of_input(rows)).withWatermark("ts", "2 hours")
+    counts = topn.windowed_counts(stream, "ts", "vc", WINDOW, SLIDE)
+    ranked = BatchTable(spark, label="topn")
+
+    def rank(batch: DataFrame, batch_id: int) -> None:
+        ranked.write(topn.rank_counts(batch.filter(F.col("vc").isNotNull()), "vc", 2), batch_id)
+
+    run_batches(counts, rank, "topn")
+    made = ranked.read("window_end timestamp, vc int, cnt bigint, rank int").drop("batch")
+    return in_seconds(made, "window_end")
+
+
+@query("q_state_top3_stream", TOP3)
+def state_top3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    top = run_to_table(processors.apply(stream, "uid", processors.TopValues(3)), "top")
+    return top.select("uid", "seq", *three_of("top"))
+
+
+@query("q_state_value_counts_stream", VALUE_COUNTS)
+def state_value_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    return run_to_table(processors.apply(stream, "uid", processors.ValueCounts()), "counts")
+
+
+@query("q_state_running_avg_stream", RUNNING_AVG)
+def state_running_avg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    folds = run_to_table(processors.apply(stream, "uid", processors.RunningFold()), "folds")
+    return folds.select("uid", "seq", "mean")
+
+
+@query("q_count_slide_stream", COUNT_SLIDE)
+def count_slide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    return run_to_table(processors.apply(stream, "uid", processors.CountWindows(5, 2)), "slides")
+
+
+@query("q_late_side_output_stream", LATE)
+def late_side_output_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = out_of_order(sensor(spark, sf_dir)).select("id", "seq", "ts", "vc", "arrival")
+    path = write_replay(rows, "arrival", STEPS)
+    stream = read_replay(spark, path, rows.schema)
+    classed = follow_lateness(
+        stream,
+        F.unix_millis("ts"),
+        ["arrival", "seq"],
+        WINDOW_MS,
+        DELAY_MS,
+        LATENESS_MS,
+        "lateness",
+    )
+    late = classed.filter(F.col("status") != "on_time")
+    return late.select("id", "seq", "vc", "start_ms", "status")
+
+
+@query("q_broadcast_threshold_stream", THRESHOLD)
+def broadcast_threshold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = replay(sensor(spark, sf_dir).select("id", "uid", "seq", "vc"))
+    current = follow_settings(stream, F.col("id") == "signup", "seq", "vc", 0, "thresholds")
+    alerts = current.filter(F.col("vc") > F.col("threshold"))
+    return alerts.select("seq", "uid", "vc", "threshold")

@@ -21,6 +21,7 @@ from millrace.catalog.base import (
     query,
     sensor,
 )
+from millrace.functions.custom import Aggregator, aggregate_by
 from millrace.operators import eventtime, project, topn, windows
 
 SIX = 6 * HOUR_S
@@ -186,15 +187,15 @@ def count_tumble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.count_windows(rows, ["uid"], ["seq"], 5, [F.sum("vc").alias("sum_vc")])
 
 
-@query(
-    "q_count_slide",
-    f"""WITH {SENSOR}, r AS (
+COUNT_SLIDE = f"""WITH {SENSOR}, r AS (
       SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY seq) AS firing,
         count(*) OVER w AS n, CAST(sum(vc) OVER w AS BIGINT) AS total
       FROM sensor
       WINDOW w AS (PARTITION BY uid ORDER BY seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
-    SELECT uid, firing, n, total FROM r WHERE firing % 2 = 0""",
-)
+    SELECT uid, firing, n, total FROM r WHERE firing % 2 = 0"""
+
+
+@query("q_count_slide", COUNT_SLIDE)
 def count_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensor(spark, sf_dir).select("uid", "seq", "vc")
     return windows.sliding_count_sums(rows, ["uid"], ["seq"], 5, 2, "vc")
@@ -271,10 +272,10 @@ def running_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.drop("ts")
 
 
-@query(
-    "q_late_side_output",
-    f"WITH {SEEN} SELECT id, seq, vc, start_ms, status FROM classed WHERE status <> 'on_time'",
-)
+LATE = f"WITH {SEEN} SELECT id, seq, vc, start_ms, status FROM classed WHERE status <> 'on_time'"
+
+
+@query("q_late_side_output", LATE)
 def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = classified(spark, sf_dir, LATENESS_MS).filter(F.col("status") != "on_time")
     return late.select("id", "seq", "vc", "start_ms", "status")
@@ -338,3 +339,54 @@ def idle_source_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
         IDLE_MS,
     )
     return seen.select("seq", "watermark_ms")
+
+
+@query(
+    "q_tumble_arrival",
+    f"""WITH {ARRIVING} SELECT id, (arrival // {SIX}) * {SIX} AS window_start,
+      (arrival // {SIX}) * {SIX} + {SIX} AS window_end,
+      count(*) AS n, CAST(sum(vc) AS BIGINT) AS sum_vc
+    FROM arriving GROUP BY id, arrival // {SIX}""",
+)
+def tumble_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows on the time rows reach us, the replayable form of processing time."""
+    rows = out_of_order(sensor(spark, sf_dir)).withColumn("arrived", project.event_time("arrival"))
+    return in_seconds(
+        windows.time_windows(rows, "arrived", WINDOW, count_and_sum(), keys=["id"])
+    )
+
+
+@query(
+    "q_slide_arrival",
+    f"""WITH {ARRIVING}, w AS (
+      SELECT *, unnest([0, 1, 2, 3, 4]) AS back, (arrival // {SIX // 5}) * {SIX // 5} AS s
+      FROM arriving)
+    SELECT id, s - back * {SIX // 5} AS window_start, s - back * {SIX // 5} + {SIX} AS window_end,
+      count(*) AS n, CAST(sum(vc) AS BIGINT) AS sum_vc
+    FROM w GROUP BY id, s - back * {SIX // 5}""",
+)
+def slide_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = out_of_order(sensor(spark, sf_dir)).withColumn("arrived", project.event_time("arrival"))
+    return in_seconds(
+        windows.time_windows(
+            rows, "arrived", WINDOW, count_and_sum(), keys=["id"], slide=f"{SIX // 5} seconds"
+        )
+    )
+
+
+@query(
+    "q_aggregate_custom",
+    f"""WITH {SENSOR} SELECT id, CAST(CAST(sum(vc) AS BIGINT) AS VARCHAR) AS result
+    FROM sensor GROUP BY id""",
+)
+def aggregate_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user-defined accumulator: integers in, a running sum inside, text out."""
+    summing = Aggregator(
+        create=lambda: (0,),
+        add=lambda acc, rows: (acc[0] + int(rows["vc"].sum()),),
+        merge=lambda a, b: (a[0] + b[0],),
+        result=lambda acc: str(acc[0]),
+        accumulator="total bigint",
+        output="result string",
+    )
+    return aggregate_by(sensor(spark, sf_dir).select("id", "vc"), ["id"], summing)

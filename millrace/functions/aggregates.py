@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.udtf import UserDefinedTableFunction
@@ -45,24 +44,14 @@ def _split_words() -> UserDefinedTableFunction:
     return F.udtf(SplitWords, returnType="word string, length int")
 
 
-def _weighted_avg_udaf() -> object:
-    def mean(score: pd.Series, weight: pd.Series) -> float | None:
-        total = weight.sum()
-        return float((score * weight).sum() / total) if total else None
-
-    mean.__annotations__ = {"score": pd.Series, "weight": pd.Series, "return": float}
-    return F.pandas_udf(mean, "double")
-
-
 def register_functions(spark: SparkSession) -> None:
-    """Make the function surface callable by name from SQL and ``F.call_function``.
+    """Make the functions callable by name from SQL and ``F.call_function``.
 
-    ``java_hash_text``, ``java_hash_long`` and ``tokens`` are SQL functions over
-    built-in expressions; ``split_words`` is a table function; ``weighted_avg`` is
-    an aggregate for small groups (``aggregates.weighted_avg`` is the native one).
+    ``split_words`` is a table function for ``LATERAL``. The others are SQL
+    functions over built-in expressions. An average weighted by a column reads
+    ``weighted_mean(sum(score * weight), sum(weight))``, so its sums stay two-phase.
     """
     spark.udtf.register("split_words", _split_words())
-    spark.udf.register("weighted_avg", _weighted_avg_udaf())
     for name, body in SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")
 
@@ -83,6 +72,8 @@ SQL_FUNCTIONS = {
           WHEN pmod(n ^ shiftrightunsigned(n, 32), 4294967296L) >= 2147483648L
           THEN pmod(n ^ shiftrightunsigned(n, 32), 4294967296L) - 4294967296L
           ELSE pmod(n ^ shiftrightunsigned(n, 32), 4294967296L) END AS INT)""",
+    "weighted_mean": """(weighted BIGINT, weight BIGINT) RETURNS DOUBLE RETURN
+        try_divide(CAST(weighted AS DOUBLE), CAST(weight AS DOUBLE))""",
     "tokens": """(s STRING) RETURNS ARRAY<STRING> RETURN
         CASE WHEN s = '' THEN array('')
              WHEN rtrim(s) = '' THEN CAST(array() AS ARRAY<STRING>)

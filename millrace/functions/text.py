@@ -27,8 +27,8 @@ def java_split(value: Name) -> Column:
     )
 
 
-def _wrap_int32(value: Column) -> Column:
-    low = F.pmod(value, F.lit(1 << 32))
+def _to_int32(low: Column) -> Column:
+    """The signed value of 32 low bits."""
     return F.when(low >= F.lit(1 << 31), low - F.lit(1 << 32)).otherwise(low).cast("int")
 
 
@@ -36,7 +36,6 @@ def java_string_hash(value: Name) -> Column:
     """``h = 31 * h + unit`` over the UTF-16 units, as a signed 32-bit integer."""
     text = _col(value)
     modulus = F.lit(1 << 32)
-    zero = F.lit(0).cast("bigint")
 
     def feed(acc: Column, unit: Column) -> Column:
         return F.pmod(acc * 31 + unit, modulus)
@@ -49,13 +48,14 @@ def java_string_hash(value: Name) -> Column:
         return F.when(point < 0x10000, feed(acc, point)).otherwise(feed(feed(acc, high), low))
 
     chars = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
-    return _wrap_int32(F.aggregate(chars, zero, step))
+    return F.aggregate(chars, F.lit(0).cast("bigint"), step, _to_int32)
 
 
 def java_long_hash(value: Name) -> Column:
     """Exclusive or of both halves of a 64-bit integer."""
     number = _col(value).cast("bigint")
-    return _wrap_int32(number.bitwiseXOR(F.shiftrightunsigned(number, 32)))
+    halves = number.bitwiseXOR(F.shiftrightunsigned(number, 32))
+    return _to_int32(F.pmod(halves, F.lit(1 << 32)))
 
 
 def java_hash(value: Name, data_type: str) -> Column:

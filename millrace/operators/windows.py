@@ -17,6 +17,7 @@ from millrace.plans.scan import (
     last_value,
     running_count,
     running_max,
+    whole_count,
 )
 
 
@@ -67,20 +68,8 @@ def window_elements(
         *df.columns, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end")
     )
     group = [*keys, "window_start"]
-    counted = OrderedScan(placed, group, order, chunk_rows).add(place=running_count()).result()
-    sizes = placed.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    joined = counted.alias("c").join(
-        sizes.select(*[F.col(c).alias(f"__{c}") for c in group], "n"),
-        _null_safe(group),
-    )
-    return joined.drop(*[f"__{c}" for c in group])
-
-
-def _null_safe(columns: Sequence[str]) -> Column:
-    on = F.lit(True)
-    for c in columns:
-        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return on
+    scan = OrderedScan(placed, group, order, chunk_rows)
+    return scan.add(place=running_count(), n=whole_count()).result()
 
 
 def session_windows(

@@ -8,9 +8,12 @@ the rows of such a *hot* key are cut into chunks along the order column:
    ``T = max(chunk_rows, N / MAX_SPLITS)``. Fewer than ``N / T <= MAX_SPLITS`` keys
    can exceed it, so the list of them is bounded however large the table grows;
 2. rows of a hot key get a chunk number: the position of the order value within
-   the key's range. Windows then run per (key, chunk);
+   the key's range. Where rows crowd together in time and a chunk stays too large,
+   it is cut again in the same way, so chunks follow the data's density. Windows
+   then run per (key, chunk);
 3. ``carry`` holds per hot (key, chunk) the value accumulated over all earlier
-   chunks, at most ``2 * MAX_SPLITS`` rows, broadcast back and merged into each row.
+   chunks. A round of cutting makes at most ``2 * MAX_SPLITS`` chunks, so these rows
+   are few; they are broadcast back and merged into each row.
 
 The table itself is shuffled once; without hot keys the plan is the plain window.
 With no key at all the whole table is one hot key, which makes a global running
@@ -30,20 +33,25 @@ from pyspark.sql import types as T
 
 MAX_SPLITS = 65_536
 CHUNK_ROWS = 4_096
-
-_CHUNK = "__chunk"
+# A chunk this many times larger than planned is cut again.
+TOO_LARGE = 4
 
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: how to fold rows, and whether the current row counts."""
+    """One running value: how to fold rows, and which rows count.
+
+    ``before`` leaves out the current row, ``whole`` takes all rows of the key.
+    """
 
     kind: str
     value: Column
     before: bool = False
+    whole: bool = False
 
     def local(self, window: WindowSpec) -> Column:
-        w = window.rowsBetween(Window.unboundedPreceding, -1 if self.before else 0)
+        last = Window.unboundedFollowing if self.whole else -1 if self.before else 0
+        w = window.rowsBetween(Window.unboundedPreceding, last)
         if self.kind == "first":
             return F.first(F.struct(self.value.alias("v"))).over(w)
         if self.kind == "last":
@@ -58,7 +66,8 @@ class Running:
         return _FOLDS[self.kind](self.value)
 
     def prefix(self, total: Column, window: WindowSpec) -> Column:
-        w = window.rowsBetween(Window.unboundedPreceding, -1)
+        last = Window.unboundedFollowing if self.whole else -1
+        w = window.rowsBetween(Window.unboundedPreceding, last)
         if self.kind == "first":
             return F.first(total, ignorenulls=True).over(w)
         if self.kind == "last":
@@ -68,6 +77,8 @@ class Running:
     def merge(self, carry: Column | None, local: Column) -> Column:
         if carry is None:
             return local.getField("v") if self.kind == "first" else local
+        if self.whole:
+            return F.coalesce(carry, local)
         if self.kind == "sum":
             return F.coalesce(carry + local, carry, local)
         if self.kind == "max":
@@ -90,6 +101,11 @@ def running_count(before: bool = False) -> Running:
     return Running("sum", F.lit(1).cast("bigint"), before)
 
 
+def whole_count() -> Running:
+    """The key's row count, on every row."""
+    return Running("sum", F.lit(1).cast("bigint"), whole=True)
+
+
 def running_max(value: Column, before: bool = False) -> Running:
     return Running("max", value, before)
 
@@ -124,85 +140,119 @@ class OrderedScan:
     ) -> None:
         self.keys = list(keys)
         self.order = list(order)
-        self.rows = self._assign_chunks(df, chunk_rows)
-
-    def _position(self, df: DataFrame) -> Column:
-        lead = F.col(self.order[0])
-        kind = df.schema[self.order[0]].dataType
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            return F.unix_micros(lead.cast("timestamp"))
-        return lead
-
-    def _assign_chunks(self, df: DataFrame, chunk_rows: int) -> DataFrame:
-        """Add the chunk number where some key is hot, else return ``df`` as it is."""
-        at = self._position(df)
-        stats = df.groupBy(*self.keys).agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.min(at).alias("__lo"),
-            F.max(at).alias("__hi"),
-        )
-        size = stats.agg(F.sum("__n").alias("all"), F.max("__n").alias("largest")).first()
-        limit = max(chunk_rows, (size["all"] or 0) / MAX_SPLITS)
-        self.split = (size["largest"] or 0) > limit
-        if not self.split:
-            return df
-        if not self.keys:
-            whole = stats.first()
-            lo, hi = whole["__lo"] or 0, whole["__hi"] or 0
-            width = (hi - lo + 1) / math.ceil(whole["__n"] / limit)
-            chunk = F.floor((at - F.lit(lo)) / F.lit(float(width)))
-            return df.withColumn(_CHUNK, F.coalesce(chunk, F.lit(-1)).cast("bigint"))
-        width = (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / limit)
-        hot = stats.filter(F.col("__n") > limit).select(
-            *[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(self.keys)],
-            F.coalesce("__lo", F.lit(0)).alias("__lo"),
-            F.coalesce(width, F.lit(1.0)).alias("__width"),
-        )
-        hot = df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+        self.chunks: list[str] = []
+        self.rows = df
+        self._cut_hot_keys(chunk_rows)
+
+    def _positions(self) -> list[Column]:
+        """The order columns that rows can be cut along, as integers."""
+        found = []
+        for name in self.order:
+            kind = self.rows.schema[name].dataType
+            if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+                found.append(F.unix_micros(F.col(name).cast("timestamp")))
+            elif isinstance(kind, T.IntegralType):
+                found.append(F.col(name).cast("bigint"))
+            else:
+                break
+        if not found:
+            raise TypeError("the first order column must be an integer or a timestamp")
+        return found
+
+    def _cut_hot_keys(self, chunk_rows: int) -> None:
+        at = self._positions()
+        limit: float | None = None
+        while True:
+            group = [*self.keys, *self.chunks]
+            source = self.hot_rows() if self.chunks else self.rows
+            sizes = source.groupBy(*group).agg(
+                F.count(F.lit(1)).alias("__n"),
+                *[F.min(p).alias(f"__lo_{i}") for i, p in enumerate(at)],
+                *[F.max(p).alias(f"__hi_{i}") for i, p in enumerate(at)],
+            )
+            # Only a column that varies can cut a group; the first such one orders it.
+            varies = [F.col(f"__hi_{i}") > F.col(f"__lo_{i}") for i in range(len(at))]
+            cut_by, lo, hi = F.lit(None), F.lit(None), F.lit(None)
+            for i in reversed(range(len(at))):
+                cut_by = F.when(varies[i], F.lit(i)).otherwise(cut_by)
+                lo = F.when(varies[i], F.col(f"__lo_{i}")).otherwise(lo)
+                hi = F.when(varies[i], F.col(f"__hi_{i}")).otherwise(hi)
+            ranges = sizes.select(
+                *[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(group)],
+                "__n",
+                cut_by.cast("int").alias("__by"),
+                lo.cast("bigint").alias("__lo"),
+                hi.cast("bigint").alias("__hi"),
+            )
+            if limit is None:
+                size = ranges.agg(
+                    F.sum("__n").alias("all"),
+                    F.max(F.when(F.col("__by").isNotNull(), F.col("__n"))).alias("largest"),
+                ).first()
+                limit = max(chunk_rows, (size["all"] or 0) / MAX_SPLITS)
+                if (size["largest"] or 0) <= limit:
+                    return
+            most = limit * (TOO_LARGE if self.chunks else 1)
+            width = (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / limit)
+            hot = ranges.filter((F.col("__n") > most) & F.col("__by").isNotNull()).select(
+                *[f"__hot_{i}" for i in range(len(group))], "__by", "__lo", width.alias("__width")
+            )
+            found = hot.collect()
+            if not found:
+                return
+            self._add_chunks(group, at, self.rows.sparkSession.createDataFrame(found, hot.schema))
+
+    def _add_chunks(self, group: list[str], at: list[Column], hot: DataFrame) -> None:
+        where = at[0]
+        for i in range(1, len(at)):
+            where = F.when(F.col("__by") == i, at[i]).otherwise(where)
         # A row without an order value sorts first, in a chunk of its own.
         chunk = F.when(
             F.col("__width").isNotNull(),
-            F.coalesce(F.floor((at - F.col("__lo")) / F.col("__width")), F.lit(-1)),
+            F.coalesce(F.floor((where - F.col("__lo")) / F.col("__width")), F.lit(-1)),
         )
-        return (
-            df.join(F.broadcast(hot), self._on("__hot_"), "left")
-            .withColumn(_CHUNK, chunk.cast("bigint"))
-            .drop("__lo", "__width", *[f"__hot_{i}" for i in range(len(self.keys))])
+        name = f"__chunk_{len(self.chunks)}"
+        if group:
+            spread = self.rows.join(F.broadcast(hot), _same(group, "__hot_"), "left")
+        else:
+            only = hot.first()
+            literals = {c: F.lit(only[c]) for c in ("__by", "__lo", "__width")}
+            spread = self.rows.withColumns(literals)
+        self.rows = spread.withColumn(name, chunk.cast("bigint")).drop(
+            "__by", "__lo", "__width", *[f"__hot_{i}" for i in range(len(group))]
         )
+        self.chunks = [*self.chunks, name]
 
-    def _on(self, prefix: str) -> Column:
-        cond = F.lit(True)
-        for i, key in enumerate(self.keys):
-            cond = cond & F.col(key).eqNullSafe(F.col(f"{prefix}{i}"))
-        return cond
+    @property
+    def split(self) -> bool:
+        """Whether any key was cut into chunks."""
+        return bool(self.chunks)
 
     @property
     def window(self) -> WindowSpec:
         """Window of one chunk of one key, in order."""
-        parts = [*self.keys, _CHUNK] if self.split else self.keys
+        parts = [*self.keys, *self.chunks]
         ordered = Window.orderBy(*self.order)
         return ordered.partitionBy(*parts) if parts else ordered
 
     @property
     def chunk_window(self) -> WindowSpec:
         """Window over the chunk totals of one key."""
-        by_chunk = Window.orderBy(_CHUNK)
+        by_chunk = Window.orderBy(*self.chunks)
         return by_chunk.partitionBy(*self.keys) if self.keys else by_chunk
 
     def hot_rows(self) -> DataFrame:
-        return self.rows.filter(F.col(_CHUNK).isNotNull())
+        return self.rows.filter(F.col(self.chunks[0]).isNotNull())
 
     def with_carry(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
-        """Attach per-(key, chunk) columns, at most ``2 * MAX_SPLITS`` rows of them."""
-        names = [c for c in carry.columns if c not in (*self.keys, _CHUNK)]
+        """Attach per-(key, chunk) columns, a bounded number of rows of them."""
+        group = [*self.keys, *self.chunks]
         side = carry.select(
-            *[F.col(k).alias(f"__carry_{i}") for i, k in enumerate(self.keys)],
-            F.col(_CHUNK).alias("__carry_chunk"),
-            *names,
+            *[F.col(c).alias(f"__carry_{i}") for i, c in enumerate(group)],
+            *[c for c in carry.columns if c not in group],
         )
-        on = self._on("__carry_") & (F.col(_CHUNK) == F.col("__carry_chunk"))
-        return rows.join(F.broadcast(side), on, "left").drop(
-            "__carry_chunk", *[f"__carry_{i}" for i in range(len(self.keys))]
+        return rows.join(F.broadcast(side), _same(group, "__carry_"), "left").drop(
+            *[f"__carry_{i}" for i in range(len(group))]
         )
 
     def add(self, **values: Running) -> OrderedScan:
@@ -221,12 +271,12 @@ class OrderedScan:
         order = F.struct(*self.order) if len(self.order) > 1 else F.col(self.order[0])
         totals = (
             self.hot_rows()
-            .groupBy(*self.keys, _CHUNK)
+            .groupBy(*self.keys, *self.chunks)
             .agg(*[v.total(order).alias(f"__t_{name}") for name, v in values.items()])
         )
         carry = totals.select(
             *self.keys,
-            _CHUNK,
+            *self.chunks,
             *[
                 v.prefix(F.col(f"__t_{name}"), self.chunk_window).alias(f"__c_{name}")
                 for name, v in values.items()
@@ -264,31 +314,25 @@ class OrderedScan:
             .withColumn(
                 "__rank",
                 F.row_number().over(
-                    Window.partitionBy(*self.keys, _CHUNK).orderBy(F.col("__v").desc(), *self.order)
+                    Window.partitionBy(*self.keys, *self.chunks).orderBy(F.col("__v").desc(), *self.order)
                 ),
             )
             .filter(F.col("__rank") <= k)
-            .select(*self.keys, _CHUNK, "__rank", "__v")
+            .select(*self.keys, *self.chunks, "__rank", "__v")
         )
-        per_key = self.chunk_window.orderBy(_CHUNK, "__rank")
+        per_key = self.chunk_window.orderBy(*self.chunks, "__rank")
         folded, slots = _top_slots(ranked, F.col("__v"), per_key, k)
-        ends = folded.groupBy(*self.keys, _CHUNK).agg(
+        ends = folded.groupBy(*self.keys, *self.chunks).agg(
             F.max_by(F.array_compact(F.array(*slots)), "__rank").alias("__end")
         )
         # A chunk without any non-null value has no row in `ends`.
-        marks = self.hot_rows().select(*self.keys, _CHUNK).distinct()
-        on = F.lit(True)
-        for key in self.keys:
-            on = on & marks[key].eqNullSafe(ends[key])
-        on = on & (marks[_CHUNK] == ends[_CHUNK])
-        carry = marks.join(ends, on, "left").select(
-            *[marks[key] for key in self.keys],
-            marks[_CHUNK],
-            "__end",
-        )
+        group = [*self.keys, *self.chunks]
+        marks = self.hot_rows().select(*group).distinct()
+        named = ends.select(*[F.col(c).alias(f"__end_{i}") for i, c in enumerate(group)], "__end")
+        carry = marks.join(named, _same(group, "__end_"), "left")
         before = self.chunk_window.rowsBetween(Window.unboundedPreceding, -1)
         carry = carry.select(
-            *self.keys, _CHUNK, F.last("__end", ignorenulls=True).over(before).alias("__c_top")
+            *group, F.last("__end", ignorenulls=True).over(before).alias("__c_top")
         )
         both = F.concat(F.coalesce("__c_top", F.array().cast(_array_of(local))), F.col("__l_top"))
         merged = self.with_carry(local, carry).withColumn(
@@ -298,11 +342,19 @@ class OrderedScan:
 
     def _next(self, rows: DataFrame) -> OrderedScan:
         twin = object.__new__(OrderedScan)
-        twin.keys, twin.order, twin.split, twin.rows = self.keys, self.order, self.split, rows
+        twin.keys, twin.order, twin.chunks, twin.rows = self.keys, self.order, self.chunks, rows
         return twin
 
     def result(self) -> DataFrame:
-        return self.rows.drop(_CHUNK)
+        return self.rows.drop(*self.chunks)
+
+
+def _same(columns: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of columns with their renamed twins."""
+    on = F.lit(True)
+    for i, name in enumerate(columns):
+        on = on & F.col(name).eqNullSafe(F.col(f"{prefix}{i}"))
+    return on
 
 
 def _array_of(df: DataFrame) -> T.DataType:
