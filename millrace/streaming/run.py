@@ -64,10 +64,13 @@ def _state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[N
         spark.conf.set(name, before)
 
 
-def _finish(spark: SparkSession, writer: DataStreamWriter, partitions: int | None) -> None:
+def _finish(
+    spark: SparkSession, writer: DataStreamWriter, partitions: int | None, single_batch: bool = False
+) -> None:
     configure(spark)
+    trigger = {"once": True} if single_batch else {"availableNow": True}
     with _state_partitions(spark, partitions):
-        query = writer.trigger(availableNow=True).start()
+        query = writer.trigger(**trigger).start()
         query.awaitTermination()
 
 
@@ -78,10 +81,13 @@ def run_to_table(
     checkpoint: str | None = None,
     mode: str = "append",
     partitions: int | None = None,
+    single_batch: bool = False,
 ) -> DataFrame:
     """Run a stream over all available input into Parquet; return the table written.
 
     Giving the same ``path`` and ``checkpoint`` again resumes where the run stopped.
+    Processors on the ``ProcessingTime`` clock have no last batch, as a timer may
+    always be due; run those with ``single_batch``, once per batch wanted.
     """
     spark = stream.sparkSession
     path = path or scratch_dir(spark, f"{label}-out")
@@ -93,7 +99,7 @@ def run_to_table(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    _finish(spark, writer, partitions)
+    _finish(spark, writer, partitions, single_batch)
     return spark.read.schema(stream.schema).parquet(path)
 
 

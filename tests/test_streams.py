@@ -69,18 +69,22 @@ def test_count_windows_on_a_stream(spark):
     assert run(processors.CountWindows(5), "tumble") == [(5, 5, 15)]
 
 
-def test_value_expires_on_the_clock(spark):
+def batch_by_batch(spark, df, processor, steps):
+    """Run a processing-time processor over a replay, one run per step."""
+    out, checkpoint, path = (scratch_dir(spark, name) for name in ("out", "ckpt", "replay"))
+    for step in range(steps):
+        write_replay(df, "seq", steps, path=path, only=[step])
+        stream = read_replay(spark, path, df.schema)
+        applied = processors.apply(stream, "uid", processor, "ProcessingTime")
+        made = run_to_table(applied, "clock", out, checkpoint, partitions=2, single_batch=True)
+    return made
+
+
+@pytest.mark.parametrize("ttl_ms, second", [(3_600_000, 50), (1, None)])
+def test_value_expires_on_the_clock(spark, ttl_ms, second):
     df = rows_of(spark, ("a", 1, 50), ("a", 2, 1))
-    held = run_to_table(
-        processors.apply(in_two(df), "uid", processors.ExpiringValue(10, 3_600_000), "ProcessingTime"),
-        "held", partitions=2,
-    )
-    assert [r["state"] for r in held.orderBy("seq").collect()] == [None, 50]
-    gone = run_to_table(
-        processors.apply(in_two(df), "uid", processors.ExpiringValue(10, 1), "ProcessingTime"),
-        "gone", partitions=2,
-    )
-    assert [r["state"] for r in gone.orderBy("seq").collect()] == [None, None]
+    held = batch_by_batch(spark, df, processors.ExpiringValue(10, ttl_ms), 2)
+    assert [r["state"] for r in held.orderBy("seq").collect()] == [None, second]
 
 
 def test_event_timer_fires_when_the_watermark_passes(spark):
@@ -97,9 +101,8 @@ def test_event_timer_fires_when_the_watermark_passes(spark):
 
 def test_clock_timer(spark):
     df = rows_of(spark, ("a", 1, 1), ("b", 2, 1), ("c", 3, 1))
-    fired = processors.apply(one_by_one(df), "uid", processors.ClockTimer(1), "ProcessingTime")
-    got = {r["uid"] for r in run_to_table(fired, "clock", partitions=2).collect()}
-    assert {"a", "b"} <= got
+    fired = batch_by_batch(spark, df, processors.ClockTimer(1), 3)
+    assert {r["uid"] for r in fired.collect()} == {"a", "b"}
 
 
 LATE = [(1, 1), (9, 2), (12, 3), (8, 4), (13, 5), (7, 6), (14, 8), (6, 7), (25, 9)]
