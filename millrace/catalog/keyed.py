@@ -223,3 +223,10 @@ CHANGES = f"""WITH {SENSOR}, t AS (
 @query("q_changelog_sum", CHANGES)
 def changelog_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running.sum_changelog(sensor(spark, sf_dir), ["uid"], ["seq"], "vc")
+
+
+@query("q_state_top3_in_chunks", TOP3)
+def state_top3_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sensor(spark, sf_dir).select("uid", "seq", "vc")
+    top = running.running_top(rows, ["uid"], ["seq"], "vc", k=3, chunk_rows=70)
+    return top.select("uid", "seq", *three_of("top"))

@@ -68,9 +68,7 @@ def slide(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "q_session",
-    f"""WITH {SENSOR}, g AS (
+SESSIONS = f"""WITH {SENSOR}, g AS (
       SELECT id, seq, vc, epoch_us(ts) AS us,
         lag(epoch_us(ts)) OVER (PARTITION BY id ORDER BY ts, seq) AS before FROM sensor),
     c AS (
@@ -79,8 +77,10 @@ def slide(spark: SparkSession, sf_dir: str) -> DataFrame:
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM g)
     SELECT id, min(us) AS session_start, max(us) + {GAP_US} AS session_end,
       count(*) AS n, CAST(sum(vc) AS BIGINT) AS sum_vc
-    FROM c GROUP BY id, session""",
-)
+    FROM c GROUP BY id, session"""
+
+
+@query("q_session", SESSIONS)
 def session(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = windows.session_windows(
         sensor(spark, sf_dir), ["id"], "ts", ["seq"], GAP_US, count_and_sum()
@@ -143,13 +143,13 @@ def window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "q_window_process",
-    f"""WITH {TUMBLED} SELECT id, window_start, window_start + {SIX} AS window_end, seq, vc,
+ELEMENTS = f"""WITH {TUMBLED} SELECT id, window_start, window_start + {SIX} AS window_end, seq, vc,
       row_number() OVER (PARTITION BY id, window_start ORDER BY seq) AS place,
       count(*) OVER (PARTITION BY id, window_start) AS n
-    FROM w""",
-)
+    FROM w"""
+
+
+@query("q_window_process", ELEMENTS)
 def window_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = windows.window_elements(sensor(spark, sf_dir), "ts", WINDOW, ["id"], ["seq"])
     return in_seconds(rows).select("id", "window_start", "window_end", "seq", "vc", "place", "n")
@@ -255,15 +255,15 @@ def watermark_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on_time.groupBy("id", "start_ms").agg(*count_and_sum())
 
 
-@query(
-    "q_running_watermark",
-    f"""WITH {ARRIVING} SELECT seq, arrival,
+WATERMARKS = f"""WITH {ARRIVING} SELECT seq, arrival,
       max(ms) OVER (ORDER BY arrival, seq
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - {DELAY_MS} - 1 AS watermark_ms,
       max(ms) OVER (ORDER BY arrival, seq
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {DELAY_MS} - 1 AS visible_ms
-    FROM arriving""",
-)
+    FROM arriving"""
+
+
+@query("q_running_watermark", WATERMARKS)
 def running_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = out_of_order(sensor(spark, sf_dir)).select("seq", "arrival", "ts")
     seen = eventtime.running_watermark(
@@ -281,9 +281,7 @@ def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("id", "seq", "vc", "start_ms", "status")
 
 
-@query(
-    "q_allowed_lateness",
-    f"""WITH {SEEN}, base AS (
+FIRINGS = f"""WITH {SEEN}, base AS (
       SELECT id, start_ms, count(*) AS n, CAST(sum(vc) AS BIGINT) AS total
       FROM classed WHERE status = 'on_time' GROUP BY id, start_ms),
     again AS (
@@ -297,8 +295,10 @@ def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT a.id, a.start_ms, a.start_ms + {WINDOW_MS},
       a.k - CASE WHEN b.n IS NULL THEN 1 ELSE 0 END, a.k + coalesce(b.n, 0),
       a.more + coalesce(b.total, 0)
-    FROM again a LEFT JOIN base b ON a.id = b.id AND a.start_ms = b.start_ms""",
-)
+    FROM again a LEFT JOIN base b ON a.id = b.id AND a.start_ms = b.start_ms"""
+
+
+@query("q_allowed_lateness", FIRINGS)
 def allowed_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = classified(spark, sf_dir, LATENESS_MS)
     return eventtime.window_firings(rows, ["id"], ["arrival", "seq"], "vc")
@@ -390,3 +390,46 @@ def aggregate_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
         output="result string",
     )
     return aggregate_by(sensor(spark, sf_dir).select("id", "vc"), ["id"], summing)
+
+
+# The queries below cut small keys into chunks, as hot keys are cut at scale.
+SMALL_CHUNK = 700
+
+
+@query("q_session_in_chunks", SESSIONS)
+def session_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = windows.session_windows(
+        sensor(spark, sf_dir), ["id"], "ts", ["seq"], GAP_US, count_and_sum(), SMALL_CHUNK
+    )
+    return made.withColumns({c: F.unix_micros(c) for c in ("session_start", "session_end")})
+
+
+@query("q_running_watermark_in_chunks", WATERMARKS)
+def running_watermark_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = out_of_order(sensor(spark, sf_dir)).select("seq", "arrival", "ts")
+    order = ["arrival", "seq"]
+    seen = eventtime.running_watermark(rows, F.unix_millis("ts"), order, DELAY_MS, SMALL_CHUNK)
+    return seen.drop("ts")
+
+
+@query("q_allowed_lateness_in_chunks", FIRINGS)
+def allowed_lateness_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["arrival", "seq"]
+    rows = eventtime.classify_lateness(
+        out_of_order(sensor(spark, sf_dir)),
+        F.unix_millis("ts"),
+        order,
+        WINDOW_MS,
+        DELAY_MS,
+        LATENESS_MS,
+        SMALL_CHUNK,
+    )
+    return eventtime.window_firings(rows, ["id"], order, "vc", chunk_rows=2)
+
+
+@query("q_window_process_in_chunks", ELEMENTS)
+def window_process_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = windows.window_elements(
+        sensor(spark, sf_dir), "ts", WINDOW, ["id"], ["seq"], chunk_rows=15
+    )
+    return in_seconds(rows).select("id", "window_start", "window_end", "seq", "vc", "place", "n")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.plans.scan import (
@@ -119,7 +119,11 @@ def count_windows(
     return made.filter(F.col("n") == size)
 
 
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 65_536
+
+
+def _recent(value: str, frame: WindowSpec) -> dict[str, Column]:
+    return {"n": F.count(F.lit(1)).over(frame), "total": F.sum(value).over(frame)}
 
 
 def sliding_count_sums(
@@ -134,20 +138,24 @@ def sliding_count_sums(
 ) -> DataFrame:
     """Every ``slide`` rows per key, count and sum of the last ``size`` rows (fewer at first).
 
-    Rows are numbered per key, cut into blocks of ``block_rows``, and the first
-    rows of a block get copies of the last ``size - 1`` rows before them. So the
-    frame never looks outside its block, however many rows a key has.
+    Where a key is hot, rows are numbered and cut into blocks of ``block_rows``, and a
+    block gets copies of the last ``size - 1`` rows before it. So the frame never
+    looks outside its block, however many rows a key has.
     """
+    scan = OrderedScan(df, keys, order, chunk_rows)
+    if not scan.split:
+        frame = scan.window.rowsBetween(-(size - 1), 0)
+        summed = scan.add(__rn=running_count()).result().withColumns(_recent(value, frame))
+        fired = summed.filter(F.col("__rn") % slide == 0)
+        return fired.select(*keys, F.col("__rn").alias("firing"), "n", "total")
     step = max(block_rows, size)
-    numbered = OrderedScan(df, keys, order, chunk_rows).add(__rn=running_count()).result()
+    numbered = scan.add(__rn=running_count()).result()
     home = F.floor((F.col("__rn") - 1) / step)
     reach = F.floor((F.col("__rn") + (size - 2)) / step)
     blocks = numbered.withColumn("__home", home).withColumn(
         "__block", F.explode(F.sequence(home, reach))
     )
     frame = Window.partitionBy(*keys, "__block").orderBy("__rn").rowsBetween(-(size - 1), 0)
-    summed = blocks.withColumns(
-        {"n": F.count(F.lit(1)).over(frame), "total": F.sum(value).over(frame)}
-    )
+    summed = blocks.withColumns(_recent(value, frame))
     fired = summed.filter((F.col("__home") == F.col("__block")) & (F.col("__rn") % slide == 0))
     return fired.select(*keys, F.col("__rn").alias("firing"), "n", "total")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_SPLITS = 65_536
-CHUNK_ROWS = 4_096
+CHUNK_ROWS = 131_072
 # A chunk this many times larger than planned is cut again.
 TOO_LARGE = 4
 

@@ -17,6 +17,8 @@ SESSION_CONF = {
     # transformWithState keeps its state in RocksDB.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit the changes of a batch rather than a whole snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
