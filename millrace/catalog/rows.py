@@ -350,6 +350,19 @@ def side_output_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route.tag_first(sensor(spark, sf_dir), rules, "main").select("seq", "vc", "tag")
 
 
+@query(
+    "q_side_output_files",
+    f"""WITH {SENSOR} SELECT tag, count(*) AS n, CAST(sum(vc) AS BIGINT) AS sum_vc FROM (
+      SELECT vc, CASE id WHEN 'click' THEN 'first' WHEN 'view' THEN 'second' ELSE 'main' END AS tag
+      FROM sensor) GROUP BY tag""",
+)
+def side_output_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "outputs")
+    route.write_outputs(side_output_route(spark, sf_dir), path)
+    back = spark.read.schema("seq bigint, vc int, tag string").parquet(path)
+    return back.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.sum("vc").alias("sum_vc"))
+
+
 @query(
     "q_side_output_alert",
     f"""WITH {SENSOR}

@@ -23,9 +23,14 @@ def top_values(
     cuts every map task down to n rows per key before the shuffle, so a hot key
     costs no more than any other.
     """
-    order = Window.partitionBy(*keys) if keys else Window
     rows = df.select(*keys, F.col(value).alias("value")).filter(F.col("value") > 0)
-    ranked = rows.withColumn("rank", F.row_number().over(order.orderBy(F.col("value").desc())))
+    largest = F.col("value").desc()
+    if not keys:
+        # A rank over the whole table is not cut down per task, a limit is.
+        best = rows.orderBy(largest).limit(n)
+        return best.withColumn("rank", F.row_number().over(Window.orderBy(largest)))
+    order = Window.partitionBy(*keys).orderBy(largest)
+    ranked = rows.withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= n)
 
 

@@ -37,3 +37,8 @@ def with_alerts(df: DataFrame, holds: Column, message: Column, main: str, alert:
     return df.select("*", F.explode(tags).alias("tag")).withColumn(
         "message", F.when(F.col("tag") == alert, message)
     )
+
+
+def write_outputs(tagged: DataFrame, path: str, tag: str = "tag") -> None:
+    """Write every output in one pass, a folder ``tag=<name>`` each."""
+    tagged.write.partitionBy(tag).mode("append").parquet(path)

@@ -4,7 +4,7 @@
 key to one task, so a key with a third of the table decides the run time. Here
 the rows of such a *hot* key are cut into chunks along the order column:
 
-1. a count per key finds the *hot* keys, those above the threshold
+1. a count of the table and then per key finds the *hot* keys, those above the threshold
    ``T = max(chunk_rows, N / MAX_SPLITS)``. Fewer than ``N / T <= MAX_SPLITS`` keys
    can exceed it, so the list of them is bounded however large the table grows;
 2. rows of a hot key get a chunk number: the position of the order value within
@@ -161,7 +161,11 @@ class OrderedScan:
 
     def _cut_hot_keys(self, chunk_rows: int) -> None:
         at = self._positions()
-        limit: float | None = None
+        # On a plain scan this reads file footers only.
+        count = self.rows.count()
+        limit = max(chunk_rows, count / MAX_SPLITS)
+        if count <= limit:
+            return
         while True:
             group = [*self.keys, *self.chunks]
             source = self.hot_rows() if self.chunks else self.rows
@@ -184,14 +188,6 @@ class OrderedScan:
                 lo.cast("bigint").alias("__lo"),
                 hi.cast("bigint").alias("__hi"),
             )
-            if limit is None:
-                size = ranges.agg(
-                    F.sum("__n").alias("all"),
-                    F.max(F.when(F.col("__by").isNotNull(), F.col("__n"))).alias("largest"),
-                ).first()
-                limit = max(chunk_rows, (size["all"] or 0) / MAX_SPLITS)
-                if (size["largest"] or 0) <= limit:
-                    return
             most = limit * (TOO_LARGE if self.chunks else 1)
             width = (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / limit)
             hot = ranges.filter((F.col("__n") > most) & F.col("__by").isNotNull()).select(

@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import millrace
+
 SESSION_CONF = {
     # Timestamps are compared and formatted in UTC whatever the host's zone.
     "spark.sql.session.timeZone": "UTC",
@@ -22,12 +25,15 @@ SESSION_CONF = {
 }
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_root: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to an existing session."""
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    # Executors get our Python code with the tasks, without an installed package.
+    cloudpickle.register_pickle_by_value(millrace)
     return spark
 
 
@@ -51,6 +57,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all nodes")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="millrace-"))
+        root = _local_root[0]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
