@@ -24,10 +24,10 @@ def write_bucketed(
     """Write one line per row below ``bucket=<hour>`` folders.
 
     Rows are ranged by time first, so a task meets few hours (few open files) and a
-    busy hour is shared by several tasks.
+    busy hour is shared by several tasks. By default there is one range per core.
     """
-    spread = df.repartitionByRange(files, time) if files else df.repartitionByRange(time)
-    rows = with_bucket(spread, time, value)
+    ranges = files or df.sparkSession.sparkContext.defaultParallelism
+    rows = with_bucket(df.repartitionByRange(ranges, time), time, value)
     rows.write.partitionBy("bucket").option("maxRecordsPerFile", max_rows_per_file).mode(
         "append"
     ).text(path)
