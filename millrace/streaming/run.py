@@ -19,36 +19,39 @@ def write_replay(
     order: str,
     steps: int,
     path: str | None = None,
-    only: Sequence[int] | None = None,
+    part: tuple[int, int] = (0, 1),
     end: DataFrame | None = None,
 ) -> str:
-    """Write a table as ordered files that a stream then reads step by step.
+    """Write a table as ordered files that a stream then reads one by one.
 
-    The range of ``order``, a numeric column, is cut into ``steps`` equal spans.
-    Files of a span are written before those of the next, and a file stream takes
-    files by age. ``only`` writes some of the spans, ``end`` adds a last step.
+    The range of ``order``, an integer column, is cut into at least ``steps`` equal
+    spans, more where a file would exceed ``ROWS_PER_FILE``. A span is one file, and
+    spans are written one after the other, as a file stream takes files by age: so no
+    row overtakes a row of an earlier span. ``part`` (i, k) writes the i-th of k parts
+    of the spans, ``end`` adds a last file.
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark, "replay")
-    size = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    size = df.agg(
+        F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(F.lit(1)).alias("n")
+    ).first()
     lo, hi = size["lo"] or 0, size["hi"] or 0
+    steps = max(steps, -(-size["n"] // ROWS_PER_FILE))
     width = (hi - lo) // steps + 1
-    files = files_per_step(size["n"], steps)
-    for i in only if only is not None else range(steps):
-        span = df.filter((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width))
-        span.repartition(files, F.col(order)).write.mode("append").parquet(path)
+    i, k = part
+    for step in range(steps * i // k, steps * (i + 1) // k):
+        low = lo + step * width
+        span = df.filter((F.col(order) >= low) & (F.col(order) < low + width))
+        # Scanned in parallel; only the span itself goes to the one writer.
+        span.repartition(1).write.mode("append").parquet(path)
     if end is not None:
         end.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
-def files_per_step(rows: int, steps: int) -> int:
-    return max(1, -(-rows // (steps * ROWS_PER_FILE)))
-
-
-def read_replay(spark: SparkSession, path: str, schema: object, files: int = 1) -> DataFrame:
-    """Stream a replay, ``files`` files per micro-batch."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+def read_replay(spark: SparkSession, path: str, schema: object) -> DataFrame:
+    """Stream a replay, one file per micro-batch."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
     return reader.parquet(path)
 
 

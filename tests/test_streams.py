@@ -11,7 +11,7 @@ from millrace.sinks.tables import create_sink_table, insert_select, jdbc_options
 from millrace.sources.generator import bounded_random, generator_table, numbered, rate_stream
 from millrace.sources.log import FileLog, copy_log, kafka_source_options
 from millrace.sources.memory import from_elements
-from millrace.streaming import processors
+from millrace.streaming import processors, run
 from millrace.streaming.batchwise import follow_lateness, follow_settings
 from millrace.streaming.run import (
     BatchTable,
@@ -39,6 +39,16 @@ def in_two(df):
     return read_replay(df.sparkSession, write_replay(df, "seq", 2), df.schema)
 
 
+def test_long_replays_take_more_files(spark, monkeypatch):
+    monkeypatch.setattr(run, "ROWS_PER_FILE", 3)
+    df = rows_of(spark, *[("a", i, i) for i in range(10)])
+    path = scratch_dir(spark, "replay")
+    for part in ((0, 2), (1, 2)):
+        write_replay(df, "seq", 2, path=path, part=part)
+    sizes = spark.read.parquet(path).groupBy(F.input_file_name()).count()
+    assert sizes.count() == 4 and sizes.agg(F.max("count"), F.sum("count")).first() == (3, 10)
+
+
 STATE = [("s1", 1, 5), ("s1", 2, 16), ("s1", 3, 20), ("s1", 4, 9), ("s2", 5, 12), ("s2", 6, 1)]
 
 
@@ -73,7 +83,7 @@ def batch_by_batch(spark, df, processor, steps):
     """Run a processing-time processor over a replay, one run per step."""
     out, checkpoint, path = (scratch_dir(spark, name) for name in ("out", "ckpt", "replay"))
     for step in range(steps):
-        write_replay(df, "seq", steps, path=path, only=[step])
+        write_replay(df, "seq", steps, path=path, part=(step, steps))
         stream = read_replay(spark, path, df.schema)
         applied = processors.apply(stream, "uid", processor, "ProcessingTime")
         made = run_to_table(applied, "clock", out, checkpoint, partitions=2, single_batch=True)
