@@ -1,6 +1,6 @@
 """Imports every module that registers a query."""
 
-from millrace.llm import quality, secrets
+from millrace.llm import language, quality, secrets
 from millrace.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "quality", "secrets"]
+__all__ = ["ORACLES", "QUERIES", "language", "quality", "secrets"]

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import scratch_dir
 
@@ -15,6 +16,11 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def extended(df: DataFrame, *fields: tuple[str, str]) -> T.StructType:
+    """The schema of the table with (name, type) fields appended."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields)).fields])
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read again: cuts lineage, survives executors."""
     path = scratch_dir(df.sparkSession, label)
