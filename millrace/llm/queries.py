@@ -1,6 +1,6 @@
 """Imports every module that registers a query."""
 
-from millrace.llm import language, pii, quality, secrets
+from millrace.llm import language, packing, pii, quality, secrets
 from millrace.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "language", "pii", "quality", "secrets"]
+__all__ = ["ORACLES", "QUERIES", "language", "packing", "pii", "quality", "secrets"]
