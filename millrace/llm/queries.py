@@ -1,6 +1,6 @@
 """Imports every module that registers a query."""
 
-from millrace.llm import language, packing, pieces, pii, quality, secrets
+from millrace.llm import language, packing, pieces, pii, quality, secrets, vectors
 from millrace.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "language", "packing", "pieces", "pii", "quality", "secrets"]
+__all__ = ["ORACLES", "QUERIES", "language", "packing", "pieces", "pii", "quality", "secrets", "vectors"]
