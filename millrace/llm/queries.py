@@ -1,6 +1,6 @@
 """Imports every module that registers a query."""
 
-from millrace.llm import jaccard, language, packing, pieces, pii, quality, secrets, vectors
+from millrace.llm import jaccard, language, lines, packing, pieces, pii, quality, secrets, vectors
 from millrace.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "jaccard", "language", "packing", "pieces", "pii", "quality", "secrets", "vectors"]
+__all__ = ["ORACLES", "QUERIES", "jaccard", "language", "lines", "packing", "pieces", "pii", "quality", "secrets", "vectors"]
