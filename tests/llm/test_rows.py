@@ -1,0 +1,256 @@
+"""Operators that look at one document at a time: quality, secrets, PII, language, pieces, packing."""
+
+import hashlib
+import os
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import language, packing, pieces, pii, quality, secrets
+from edge import awkward, empty, prose
+
+SPACE = r"[^\x20\x09-\x0D]+"
+
+
+def repeated_words(words):
+    grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    return len({i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(5)})
+
+
+def test_quality_counts_against_loops(spark):
+    rng = random.Random(2)
+    texts = [None, "", "a", "a a a a a a a", "x y z w v x y z w v q", "# | <a>\n# | <a>\n\n \nb"] + [prose(rng, rng.randrange(80)) + "\n" * rng.randrange(3) + prose(rng, 7) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for row in quality.text_counts(df).collect():
+        text = row["text"] or ""
+        words = re.findall(SPACE, text)
+        lines = [x for x in text.split("\n") if re.search(SPACE, x)]
+        assert row["n_words"] == len(words) and row["word_chars"] == sum(map(len, words))
+        assert row["n_symbols"] == sum(c in "#*$%&|<>" for c in text)
+        assert row["n_dup_lines"] == len(lines) - len(set(lines))
+        assert row["n_repeat_words"] == repeated_words(words), text
+
+
+def test_cascade_orders_by_rejections_per_cost_and_keeps_what_passes_all(spark):
+    df = quality.text_counts(awkward(spark))
+    rules = [quality.Rule("never", F.lit(True)), quality.Rule("often", F.col("n_words") > 3), quality.Rule("null", F.lit(None).cast("boolean"))]
+    assert quality.rank_rules(df, rules)[0].name == "often"
+    rows = quality.apply_rules(df, rules).collect()
+    assert len(rows) == 12
+    for r in rows:
+        assert r["kept"] == (not r["base_failed"] and r["n_words"] > 3)
+    assert quality.apply_rules(quality.text_counts(empty(spark)), quality.standard_rules()).count() == 0
+
+
+def test_quality_plan_is_native(spark):
+    plan = quality.apply_rules(quality.text_counts(awkward(spark)), quality.standard_rules())._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def secret_loop(text):
+    out = []
+    for m in re.finditer(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+        out += [(m.start(), 0, m.end())] if len(m[2]) >= 8 else []
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(out))
+
+
+def test_secret_spans_against_loops(spark):
+    rng = random.Random(4)
+    bits = ["password", "Token", "api_key", "apikey", '"', ": ", "=", " ", "'", "AKIA", "AKIAAKIA", "ABCDEFGH12345", "deadbeef" * 5, "0123", "é😀", "secret: token=abcd1234ef", "\n", "xyz"]
+    texts = [None, "", "a" * 100_000] + ["".join(rng.choice(bits) for _ in range(rng.randrange(25))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = secrets.base_spans(df).select("text", secrets.span_list("assign", "access", "hex").alias("s")).collect()
+    for row in found:
+        assert row["s"] == secret_loop(row["text"] or ""), row["text"]
+
+
+def test_markov_models_tell_random_strings_from_identifiers(spark):
+    rng = random.Random(9)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    token = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    docs = [(i, f"{prose(rng, 60)} reader_of_paper_2 token = '{token(40)}'" if i % 2 else prose(rng, 80)) for i in range(200)]
+    model = secrets.train(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    hidden = [token(24) for _ in range(30)]
+    plain = ["river_stone_house_paper_7", "under_the_red_light_of_the_north_2"]
+    df = spark.createDataFrame([(i, f"see {x} there") for i, x in enumerate(hidden + plain)], "doc_id bigint, text string")
+    found = {r["doc_id"] for r in secrets.scan_secrets(df, model).where("size(random) > 0").collect()}
+    assert len(found & set(range(30))) >= 27 and not found & {30, 31}
+    assert len(secrets.train(empty(spark))) == len(secrets.ALPHABET) ** 2
+    assert secrets.scan_secrets(awkward(spark), model).count() == 12
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def pii_loop(text):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    return {
+        "email": [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)],
+        "ip": [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))],
+        "card": [m.span() for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 14 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))],
+        "phone": [m.span() for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(digits(m[0])) <= 15],
+    }
+
+
+def test_pii_base_spans_against_loops():
+    rng = random.Random(6)
+    bits = ["a", "b.c", "@", "@", ".", "x-y", "_", "%", "1", "22", "255", "0300", "4111 1111 1111 1111", "+1 (743) 555-3824", " ", "-", "+", "(", "é", "😀", "79927398713"]
+    for _ in range(6000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(16)))
+        assert pii.base_spans(text) == pii_loop(text), text
+    assert pii.base_spans("9" * 100_000 + "@" + "a" * 100_000)["card"] == []
+
+
+def test_trees_learn_and_calibrate():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 4))
+    y = (x[:, 0] > 0) & (x[:, 1] + 0.1 * rng.normal(size=3000) > 0.2)
+    model = pii.fit_trees(x, y)
+    test = rng.normal(size=(2000, 4))
+    truth, score = (test[:, 0] > 0) & (test[:, 1] > 0.2), model.score(test)
+    chosen = score >= model.threshold
+    assert truth[chosen].mean() > 0.95 and chosen.sum() > 0.6 * truth.sum()
+    assert pii.fit_trees(x[:3], y[:3]).threshold > 1
+
+
+def test_redaction_and_model_spans(spark):
+    rng = random.Random(8)
+    phone = lambda p: f"{p}({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+    docs = []
+    for i in range(400):
+        thing = phone("+1 ") if i % 2 else "".join(str(rng.randrange(10)) for _ in range(9))
+        docs.append((i, f"{prose(rng, 8)} {thing} {prose(rng, 8)}"))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    model = pii.train_on(docs)
+    found = pii.find_pii(docs, model).collect()
+    assert all((len(r["pii"]) > 0) == bool(r["doc_id"] % 2) for r in found)
+    rows = pii.redact(pii.find_pii(awkward(spark), model)).collect()
+    assert len(rows) == 12 and sum(r["text"] is None for r in rows) == 1
+    one = spark.createDataFrame([(1, "😀 mail a@b.co or +1 (743) 555-3824, a@b.c@d.e")], "doc_id bigint, text string")
+    assert pii.redact(pii.find_pii(one, pii.Trees())).first()["text"] == "😀 mail [email] or [phone], [email]@d.e"
+    assert pii.find_pii(empty(spark), pii.train_on(empty(spark))).count() == 0
+
+
+def test_language_by_held_out_accuracy_and_edges(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    net = language.train_on(docs, ~language.held_out())
+    found = language.identify(docs.withColumn("out", language.held_out()), net).where("out").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in found) / len(found) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in found)
+    rows = language.identify(awkward(spark), net).collect()
+    und = {r["doc_id"] for r in rows if r["lang_pred"] == "und"}
+    assert und == {1, 2, 3, 10} and all(r["score"] == 0 for r in rows if r["doc_id"] in und)
+    assert {r["lang_pred"] for r in language.identify(awkward(spark), None).collect()} == {"und"}
+    assert language.train_on(empty(spark), F.lit(True)) is None
+
+
+def test_windows_hold_every_byte():
+    data = np.frombuffer(b"ab" * 700 + b"c", np.uint8)
+    windows, doc = language.cut_windows(data, np.array([0, 0, 3, len(data)]))
+    assert doc.tolist() == [0, 1, 2, 2, 2] and np.count_nonzero(windows) == len(data)
+
+
+def unigram_model(path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.trainer_spec.model_type, model.trainer_spec.byte_fallback, model.trainer_spec.vocab_size = 1, True, 0
+    model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces = True, False
+    model.normalizer_spec.name = "identity"
+    rng = random.Random(1)
+    listed = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)]
+    texts = {"▁", "a", "b", "c", "▁a", "ab", "abc", "▁ab", "bc", "ca", "▁c", "cab", "aa", "▁▁"}
+    for piece, score, kind in listed + [(t, -rng.uniform(1, 9), 1) for t in sorted(texts)]:
+        model.pieces.add(piece=piece, score=score, type=kind)
+    path.write_bytes(model.SerializeToString())
+    return str(path)
+
+
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+def test_pieces_equal_the_library(kind, tmp_path):
+    import sentencepiece
+
+    path = pieces.model_path() if kind == "bpe" else unigram_model(tmp_path / "m.model")
+    mine, theirs = pieces.Pieces(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(3)
+    texts = ["", " ", "  a  b ", "\n", "x \n y\n", "日本語\tx  \n\n  y", "\x00a", "a" * 3000]
+    texts += ["".join(rng.choice(" \nabcthe▁é!日.") for _ in range(rng.randrange(30))) for _ in range(1500)]
+    for text, ids in zip(texts, mine.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == theirs.encode(text), text
+        if "▁" not in text:
+            assert mine.decode(ids) == text
+
+
+def test_pieces_on_tables(spark):
+    rows = pieces.decode_table(pieces.encode_table(awkward(spark), pieces.model_path()), pieces.model_path()).collect()
+    assert len(rows) == 12 and all(r["decoded"] == (r["text"] or "") for r in rows)
+    assert pieces.encode_table(empty(spark), pieces.model_path()).count() == 0
+
+
+def encoder():
+    import public_tokenizers
+
+    return packing.word_encoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_word_encoder_equals_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    whole, encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), encoder()()
+    rng = random.Random(5)
+    signs = "abzTHEéÉßçüµª²½İıŉ0123456789'.,!?-_#|<>()@\x00\x1c\x85\xa0\xad日Ωω😀 \n\t"
+    texts = ["", "it's", "I'LL DON'T", "x<|endoftext|>y", "ΟΔΟΣ"] + ["".join(rng.choice(signs) for _ in range(rng.randrange(25))) for _ in range(3000)]
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_least_squares_and_packs():
+    rng = np.random.default_rng(2)
+    a, x = rng.random((20, 8)), np.array([0, 3.0, 0, 1.5, 0, 0, 2.0, 0])
+    assert np.allclose(packing.nnls(a, a @ x), x, atol=1e-6)
+    columns = packing.combinations()
+    for lengths in ([1], [2048], [4096, 1], rng.integers(1, 6000, 700), np.full(500, 1024), np.full(300, 683)):
+        lengths = np.asarray(lengths)
+        made = packing.pack(lengths, columns)
+        cover = {}
+        fill = {}
+        for doc, start, size, seq, offset in sorted(made, key=lambda p: (p[0], p[1])):
+            assert size > 0 and start == cover.get(doc, 0)
+            cover[doc] = start + size
+            fill.setdefault(seq, []).append((offset, size))
+        assert [cover[i] for i in range(len(lengths))] == lengths.tolist()
+        for parts in fill.values():
+            at = 0
+            for offset, size in sorted(parts):
+                assert offset == at
+                at += size
+            assert at == 2048 or at & (at - 1) == 0
+    assert len(packing.pack(np.full(500, 1024), columns)) == 500
+
+
+def test_packing_tables(spark):
+    docs = awkward(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
+    rows = packing.pack_ids(docs, encoder()).collect()
+    encode = encoder()()
+    for doc in docs.collect():
+        ids = encode(doc["text"] or "") + b"\x01\0\0\0"
+        own = sorted((r for r in rows if r["doc_id"] == doc["doc_id"]), key=lambda r: r["start"])
+        assert sum(r["length"] for r in own) == len(ids) // 4 == own[0]["doc_tokens"]
+        assert all(r["ids_crc32"] == zlib.crc32(ids[4 * r["start"] : 4 * (r["start"] + r["length"])]) for r in own)
+    assert packing.pack_ids(awkward(spark), encoder()).select("doc_id").distinct().count() == 11
+    assert packing.pack_ids(empty(spark), encoder()).count() == 0
+
+
+def test_base_hashes_of_no_spans(spark):
+    none = hashlib.sha256(b"").hexdigest()
+    found = secrets.base_spans(awkward(spark)).select(F.sha2(secrets.span_list("assign", "access", "hex"), 256).alias("h")).distinct().collect()
+    assert [r["h"] for r in found] == [none]
