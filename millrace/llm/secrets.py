@@ -31,8 +31,10 @@ KINDS = ("assign", "access", "hex", "random")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 RUN_CLASS = r"[A-Za-z0-9+/_=-]"
 MIN_RUN = 20
-#: Documents with matches, and documents without, that train the models.
+#: Documents with matches, and documents without, that train the models; they are looked for
+#: among SEARCH times as many, those with the least hashes of the key.
 TRAIN_DOCS = 4000
+SEARCH = 20
 #: Least mean log-likelihood ratio of a secret, in nats per character step.
 MIN_RATIO = 0.35
 SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -100,13 +102,16 @@ def train(df: DataFrame, text: str = "text", key: str = "doc_id", docs: int = TR
 
     Labelled samples: values that the fixed patterns find are random; words of four to
     forty letters, digits and underscores outside them are ordinary. At most ``docs``
-    documents of either kind train the models, those with the least hash of the key.
+    documents of either kind train the models, found among ``SEARCH`` times as many.
     Half of the random model is the uniform one, so any even mix of characters counts.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(F.xxhash64(key).alias("h"), F.col(key).alias("k"), t.alias("t"))
+    share = min(1.0, SEARCH * docs / max(1, df.count()))
+    rows = rows.where(F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * share) + 1)
     marked = rows.where(t_hits := F.col("t").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).orderBy("h", "k").limit(docs)
-    plain = rows.where(~t_hits).orderBy("h", "k").limit(docs)
+    less = int(1_000_000 * share * 2 / SEARCH) + 1 if share < 1 else 1_000_000
+    plain = rows.where((F.pmod("h", F.lit(1_000_000)) < less) & ~t_hits).orderBy("h", "k").limit(docs)
     found = base_spans(marked, "t").select(
         F.explode(
             F.concat(
