@@ -44,7 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as sensor readings: ``id, uid, ts, vc, seq`` with ``seq`` the arrival order."""
-    return table(spark, sf_dir, "events").select(
+    return sensor_of(table(spark, sf_dir, "events"))
+
+
+def sensor_of(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_type").alias("id"),
         F.col("user_id").alias("uid"),
         F.col("ts").cast("timestamp").alias("ts"),

@@ -178,8 +178,7 @@ GROUP_SUM = f"""WITH {SENSOR} SELECT uid, CAST(sum(vc) AS BIGINT) AS sum_vc
 
 @query("q_sql_group_sum", GROUP_SUM)
 def sql_group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sensor(spark, sf_dir).createOrReplaceTempView("readings")
-    return spark.sql("SELECT uid, sum(vc) AS sum_vc FROM readings WHERE uid > 5 GROUP BY uid")
+    return spark.sql("SELECT uid, sum(vc) AS sum_vc FROM {r} WHERE uid > 5 GROUP BY uid", r=sensor(spark, sf_dir))
 
 
 @query("q_tableapi_group_sum", GROUP_SUM)
@@ -190,8 +189,7 @@ def tableapi_group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_sql_nested_view", f"SELECT uid, sum_vc FROM ({GROUP_SUM}) AS t WHERE uid > 7")
 def sql_nested_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql_group_sum(spark, sf_dir).createOrReplaceTempView("sums")
-    return spark.sql("SELECT uid, sum_vc FROM sums WHERE uid > 7")
+    return spark.sql("SELECT uid, sum_vc FROM {sums} WHERE uid > 7", sums=sql_group_sum(spark, sf_dir))
 
 
 FOLD = """CASE WHEN s = '' THEN 0 ELSE list_reduce(
@@ -280,8 +278,7 @@ def udtaf_top2_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def udf_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_functions(spark)
-    sensor(spark, sf_dir).createOrReplaceTempView("readings")
-    return spark.sql("SELECT seq, java_hash_text(id) AS hash FROM readings")
+    return spark.sql("SELECT seq, java_hash_text(id) AS hash FROM {r}", r=sensor(spark, sf_dir))
 
 
 @query(
@@ -291,10 +288,10 @@ def udf_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def udaf_sql_weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_functions(spark)
-    sensor(spark, sf_dir).createOrReplaceTempView("readings")
     return spark.sql(
         """SELECT id, weighted_mean(sum(vc * (uid + 1)), sum(uid + 1)) AS mean
-        FROM readings GROUP BY id"""
+        FROM {r} GROUP BY id""",
+        r=sensor(spark, sf_dir),
     )
 
 
@@ -305,7 +302,7 @@ def udaf_sql_weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lateral_udtf(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_functions(spark)
-    table(spark, sf_dir, "conversations").createOrReplaceTempView("turns")
     return spark.sql(
-        "SELECT conv_id, turn, word, length FROM turns, LATERAL split_words(text)"
+        "SELECT conv_id, turn, word, length FROM {turns}, LATERAL split_words(text)",
+        turns=table(spark, sf_dir, "conversations"),
     )

@@ -77,21 +77,20 @@ def src_datagen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_src_datagen_sql",
-    """WITH n AS (SELECT count(*) AS n FROM orders)
-    SELECT n, CAST(1 AS INT) AS low_vc, CAST(10 AS INT) AS high_vc,
-      CAST(1 AS BIGINT) AS low_ts, n AS high_ts FROM n""",
+    """SELECT o_custkey, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS sum_ts, TRUE AS in_range
+    FROM orders GROUP BY o_custkey""",
 )
 def src_datagen_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    count = table(spark, sf_dir, "orders").count()
-    generator_table(
-        spark,
-        "generated",
-        count,
-        {"id": ("random", 1, 10), "ts": ("sequence", 1, 1 << 40), "vc": ("random", 1, 10)},
-    )
+    """A generated row per order key, joined to its order in SQL."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    most = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    columns = {"id": ("random", 1, 10), "ts": ("sequence", 0, 1 << 40), "vc": ("random", 1, 10)}
     return spark.sql(
-        """SELECT count(*) AS n, min(vc) AS low_vc, max(vc) AS high_vc,
-             min(ts) AS low_ts, max(ts) AS high_ts FROM generated WHERE id BETWEEN 1 AND 10"""
+        """SELECT o_custkey, count(*) AS n, sum(ts) AS sum_ts,
+             bool_and(id BETWEEN 1 AND 10 AND vc BETWEEN 1 AND 10) AS in_range
+           FROM {made} JOIN {orders} ON ts = o_orderkey GROUP BY o_custkey""",
+        made=generator_table(spark, None, most + 1, columns),
+        orders=orders,
     )
 
 
@@ -153,8 +152,7 @@ def sink_keyed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sensor(spark, sf_dir).select(
         F.concat_ws(",", "id", epoch_s("ts"), "vc").alias("value"), F.col("seq").alias("offset")
     )
-    keyed = keyed_lines(lines).withColumn("offset", F.lit(0))
-    log.append(keyed, 0)
+    log.append(keyed_lines(lines), 0)
     return log.read().select("key", "value")
 
 
@@ -167,11 +165,12 @@ def sink_table_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = scratch_dir(spark, "sink")
     name = "sink_" + location.rsplit("-", 1)[-1]
     create_sink_table(spark, name, "uid BIGINT, sum_vc BIGINT", location)
-    sensor(spark, sf_dir).createOrReplaceTempView("readings")
     insert_select(
-        spark, name, "SELECT uid, sum(vc) AS sum_vc FROM readings WHERE uid > 5 GROUP BY uid"
+        spark, name, "SELECT uid, sum(vc) AS sum_vc FROM {r} WHERE uid > 5 GROUP BY uid", r=sensor(spark, sf_dir)
     )
-    return spark.table(name)
+    # The table is external: its files stay when its name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema("uid BIGINT, sum_vc BIGINT").parquet(location)
 
 
 @query("q_map_id", f"WITH {SENSOR} SELECT id FROM sensor")
@@ -191,8 +190,7 @@ def filter_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_sql_filter", f"WITH {SENSOR} SELECT id, seq, vc FROM sensor WHERE vc > 200")
 def sql_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sensor(spark, sf_dir).createOrReplaceTempView("readings")
-    return spark.sql("SELECT id, seq, vc FROM readings WHERE vc > 200")
+    return spark.sql("SELECT id, seq, vc FROM {r} WHERE vc > 200", r=sensor(spark, sf_dir))
 
 
 @query(

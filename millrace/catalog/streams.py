@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import (
     DELAY_MS,
+    GAP_US,
     HOUR_MS,
     JUMP,
     LATENESS_MS,
+    REGISTRY,
     SENSOR,
     SLIDE,
     WINDOW,
@@ -18,20 +20,22 @@ from millrace.catalog.base import (
     out_of_order,
     query,
     sensor,
+    sensor_of,
     table,
 )
 from millrace.catalog.joins import INTERVAL_JOIN, THRESHOLD, TOKENS, of_type
-from millrace.catalog.keyed import CHANGES, JUMPS, RUNNING_AVG, TOP3, VALUE_COUNTS, three_of
-from millrace.catalog.windowed import COUNT_SLIDE, LATE, TOP, TUMBLE, count_and_sum, in_seconds
+from millrace.catalog.keyed import CHANGES, FLOOR, JUMPS, RUNNING_AVG, TOP3, VALUE_COUNTS, three_of
+from millrace.catalog.windowed import COUNT_SLIDE, LATE, SESSIONS, TOP, TUMBLE, count_and_sum, in_seconds
 from millrace.functions.text import java_split
 from millrace.operators import topn, windows
-from millrace.operators.combine import keyed_connect
+from millrace.operators.combine import keyed_connect, lateral_tokens, window_join
+from millrace.operators.route import tag_first
 from millrace.session import scratch_dir
 from millrace.sources.log import FileLog, copy_log
 from millrace.sources.text import stream_lines
 from millrace.streaming import processors
 from millrace.streaming.batchwise import follow_lateness, follow_settings
-from millrace.streaming.run import BatchTable, read_replay, run_batches, run_to_table, write_replay
+from millrace.streaming.run import BatchTable, Replay, run_batches, run_to_table
 
 STEPS = 4
 HOUR_BOUND = "INTERVAL 2 HOURS"
@@ -40,7 +44,8 @@ SPOKEN_COUNTS = f"SELECT word, count(*) AS cnt FROM ({SPOKEN}) GROUP BY word"
 
 
 def end_of_input(rows: DataFrame) -> DataFrame:
-    """One row without a key, a day past the last, that lets the watermark pass every window."""
+    """One row a day past the last. It lets the watermark pass every window of the others, but
+    not its own, so it never comes out itself."""
     last = rows.agg(F.max("ts").alias("ts"), F.max("seq").alias("seq"))
     values = {"ts": F.col("ts") + F.expr("INTERVAL 24 HOURS"), "seq": F.col("seq") + 1}
     return last.select(
@@ -48,17 +53,48 @@ def end_of_input(rows: DataFrame) -> DataFrame:
     )
 
 
-def replay(rows: DataFrame, end: DataFrame | None = None) -> DataFrame:
-    path = write_replay(rows, "seq", STEPS, end=end)
-    return read_replay(rows.sparkSession, path, rows.schema)
+def replay(rows: DataFrame, end: DataFrame | None = None, order: str = "seq") -> Replay:
+    return Replay(rows, order, STEPS, end)
+
+
+def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's files as a stream, for queries that no order of rows changes."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    # A pattern, as the stream source takes a plain path for a folder and the table may be one file.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def windowed(spark: SparkSession, sf_dir: str, label: str, **options: object) -> DataFrame:
+    rows = sensor(spark, sf_dir)
+    source = replay(rows, end_of_input(rows))
+    made = windows.time_windows(source.stream().withWatermark("ts", "2 hours"), "ts", WINDOW, count_and_sum(), **options)
+    return in_seconds(run_to_table(made, label, replays=[source]))
 
 
 @query("q_tumble_stream", TUMBLE)
 def tumble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windowed(spark, sf_dir, "tumble", keys=["id"])
+
+
+@query("q_slide_stream", REGISTRY["q_slide"].oracle)
+def slide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windowed(spark, sf_dir, "slide", keys=["id"], slide=SLIDE)
+
+
+@query("q_window_all_stream", REGISTRY["q_window_all"].oracle)
+def window_all_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windowed(spark, sf_dir, "window_all")
+
+
+@query("q_session_stream", SESSIONS)
+def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark's own session windows; a row exactly one gap after the last opens a new one."""
     rows = sensor(spark, sf_dir)
-    stream = replay(rows, end_of_input(rows)).withWatermark("ts", "2 hours")
-    made = windows.time_windows(stream, "ts", WINDOW, count_and_sum(), keys=["id"])
-    return in_seconds(run_to_table(made, "tumble").filter(F.col("id").isNotNull()))
+    source = replay(rows, end_of_input(rows))
+    stream = source.stream().withWatermark("ts", "2 hours")
+    made = stream.groupBy("id", F.session_window("ts", f"{GAP_US + 1} microseconds").alias("w")).agg(*count_and_sum())
+    bounds = [F.unix_micros("w.start").alias("session_start"), (F.unix_micros("w.end") - 1).alias("session_end")]
+    return run_to_table(made.select("id", *bounds, "n", "sum_vc"), "session", replays=[source])
 
 
 def spoken_counts(stream: DataFrame) -> DataFrame:
@@ -72,39 +108,33 @@ def turns_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_wordcount_stream", SPOKEN_COUNTS)
 def wordcount_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = turns_of(spark, sf_dir)
-    path = write_replay(rows, "conv_id", STEPS)
     counts = BatchTable(spark, label="wordcount")
-    run_batches(
-        spoken_counts(read_replay(spark, path, rows.schema)), counts.write, "wordcount", mode="update"
-    )
+    stream = streamed(spark, sf_dir, "conversations").select("conv_id", "text")
+    run_batches(spoken_counts(stream), counts.write, "wordcount", mode="update")
     return counts.latest("word string, cnt bigint", ["word"])
 
 
 @query("q_restart_wordcount", SPOKEN_COUNTS)
 def restart_wordcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream stops half way; a new run takes up its checkpoint and finishes."""
-    rows = turns_of(spark, sf_dir)
+    source = Replay(turns_of(spark, sf_dir), "conv_id", STEPS)
     checkpoint = scratch_dir(spark, "restart-ckpt")
     counts = BatchTable(spark, label="restart")
-    path = scratch_dir(spark, "replay")
-    for half in (0, 1):
-        write_replay(rows, "conv_id", STEPS, path=path, part=(half, 2))
-        stream = read_replay(spark, path, rows.schema)
-        run_batches(spoken_counts(stream), counts.write, "restart", checkpoint, mode="update")
+    for upto in (STEPS // 2, STEPS):
+        run_batches(
+            spoken_counts(source.stream()), counts.write, "restart", checkpoint, "update", replays=[source], upto=upto
+        )
     return counts.latest("word string, cnt bigint", ["word"])
 
 
 @query("q_state_jump_alert_stream", JUMPS)
 def state_jump_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
-    return run_to_table(processors.apply(stream, "uid", processors.JumpAlerts(JUMP)), "jumps")
+    return processed(spark, sf_dir, processors.JumpAlerts(JUMP), "jumps")
 
 
 @query("q_changelog_sum_stream", CHANGES)
 def changelog_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
-    return run_to_table(processors.apply(stream, "uid", processors.SumChangelog()), "changes")
+    return processed(spark, sf_dir, processors.SumChangelog(), "changes")
 
 
 @query(
@@ -114,14 +144,18 @@ def changelog_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def event_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensor(spark, sf_dir).select("uid", "seq", "ts", "vc")
-    stream = (
-        replay(rows, end_of_input(rows))
-        .withColumn("time_ms", F.unix_millis("ts"))
-        .withColumn("uid", F.coalesce("uid", F.lit(-1)))
-        .withWatermark("ts", "2 hours")
-    )
+    source = replay(rows, end_of_input(rows))
+    stream = source.stream().withColumn("time_ms", F.unix_millis("ts")).withWatermark("ts", "2 hours")
     timers = processors.apply(stream, "uid", processors.FirstRowTimer(6 * HOUR_MS), "EventTime")
-    return run_to_table(timers, "timers")
+    return run_to_table(timers, "timers", replays=[source])
+
+
+def processed(
+    spark: SparkSession, sf_dir: str, processor: processors.KeyedProcessor, label: str
+) -> DataFrame:
+    """A processor over the readings by user, in arrival order."""
+    source = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    return run_to_table(processors.apply(source.stream(), "uid", processor), label, replays=[source])
 
 
 def log_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -182,8 +216,8 @@ def src_log_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_table_append_stream", f"WITH {SENSOR} SELECT id, seq, vc FROM sensor WHERE vc > 200")
 def table_append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream as a SQL view, and the query's rows as an append-only stream again."""
-    replay(sensor(spark, sf_dir)).createOrReplaceTempView("flowing")
-    return run_to_table(spark.sql("SELECT id, seq, vc FROM flowing WHERE vc > 200"), "appended")
+    stream = sensor_of(streamed(spark, sf_dir, "events"))
+    return run_to_table(spark.sql("SELECT id, seq, vc FROM {s} WHERE vc > 200", s=stream), "appended")
 
 
 @query(
@@ -192,13 +226,9 @@ def table_append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
 )
 def connect_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    sides = [
-        read_replay(spark, write_replay(rows, key, 2), rows.schema)
-        for rows, key in ((orders, "o_orderkey"), (items, "l_orderkey"))
-    ]
-    joined = keyed_connect(*sides, "o_orderkey", "l_orderkey")
+    orders = streamed(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    items = streamed(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    joined = keyed_connect(orders, items, "o_orderkey", "l_orderkey")
     return run_to_table(joined.drop("l_orderkey"), "connect")
 
 
@@ -206,85 +236,189 @@ def connect_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides carry a watermark, so the join's state is bounded by the interval."""
     rows = sensor(spark, sf_dir)
-    left = replay(of_type(rows, "purchase", "seq", "left_ts")).select(
-        F.col("uid"), F.col("seq").alias("left_seq"), "left_ts"
-    )
-    right = replay(of_type(rows, "view", "seq", "right_ts")).select(
-        F.col("uid").alias("right_uid"), F.col("seq").alias("right_seq"), "right_ts"
-    )
+    sources = [replay(of_type(rows, "purchase", "seq", "left_ts")), replay(of_type(rows, "view", "seq", "right_ts"))]
+    left = sources[0].stream().select("uid", F.col("seq").alias("left_seq"), "left_ts")
+    right = sources[1].stream().select(F.col("uid").alias("right_uid"), F.col("seq").alias("right_seq"), "right_ts")
     near = F.col("right_ts").between(
         F.col("left_ts") - F.expr(HOUR_BOUND), F.col("left_ts") + F.expr(HOUR_BOUND)
     )
-    joined = left.withWatermark("left_ts", "12 hours").join(
-        right.withWatermark("right_ts", "12 hours"),
+    # The two sides are cut at their own quantiles, days apart at most in so few steps.
+    joined = left.withWatermark("left_ts", "30 days").join(
+        right.withWatermark("right_ts", "30 days"),
         (F.col("uid") == F.col("right_uid")) & near,
     )
-    return run_to_table(joined.select("uid", "left_seq", "right_seq"), "near")
+    return run_to_table(joined.select("uid", "left_seq", "right_seq"), "near", replays=sources)
+
+
+@query("q_window_join_stream", REGISTRY["q_window_join"].oracle)
+def window_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join key holds the window, so both sides' state goes once the watermark passes it."""
+    rows = sensor(spark, sf_dir)
+    sources = [
+        replay(of_type(rows, kind, "seq", f"{side}_ts").withColumnRenamed("seq", f"{side}_seq"), order=f"{side}_seq")
+        for kind, side in (("purchase", "left"), ("click", "right"))
+    ]
+    left, right = (r.stream().withWatermark(f"{side}_ts", "30 days") for r, side in zip(sources, ("left", "right"), strict=True))
+    joined = window_join(left, right, "uid", "left_ts", "right_ts", WINDOW)
+    made = run_to_table(joined.select("uid", "window_start", "left_seq", "right_seq"), "window_join", replays=sources)
+    return in_seconds(made, "window_start")
 
 
 @query("q_topn_stream", f"{TOP} 2")
 def topn_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per value come out once a window closes; each batch ranks its closed windows."""
     rows = sensor(spark, sf_dir).select("ts", "seq", "vc")
-    stream = replay(rows, end_of_input(rows)).withWatermark("ts", "2 hours")
+    source = replay(rows, end_of_input(rows))
+    stream = source.stream().withWatermark("ts", "2 hours")
     counts = topn.windowed_counts(stream, "ts", "vc", WINDOW, SLIDE)
     ranked = BatchTable(spark, label="topn")
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        ranked.write(topn.rank_counts(batch.filter(F.col("vc").isNotNull()), "vc", 2), batch_id)
+        ranked.write(topn.rank_counts(batch, "vc", 2), batch_id)
 
-    run_batches(counts, rank, "topn")
+    run_batches(counts, rank, "topn", replays=[source])
     made = ranked.read("window_end timestamp, vc int, cnt bigint, rank int").drop("batch")
     return in_seconds(made, "window_end")
 
 
 @query("q_state_top3_stream", TOP3)
 def state_top3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
-    top = run_to_table(processors.apply(stream, "uid", processors.TopValues(3)), "top")
+    top = processed(spark, sf_dir, processors.TopValues(3), "top")
     return top.select("uid", "seq", *three_of("top"))
 
 
 @query("q_state_value_counts_stream", VALUE_COUNTS)
 def state_value_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
-    return run_to_table(processors.apply(stream, "uid", processors.ValueCounts()), "counts")
+    return processed(spark, sf_dir, processors.ValueCounts(), "counts")
 
 
 @query("q_state_running_avg_stream", RUNNING_AVG)
 def state_running_avg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
-    folds = run_to_table(processors.apply(stream, "uid", processors.RunningFold()), "folds")
+    folds = processed(spark, sf_dir, processors.RunningFold(), "folds")
     return folds.select("uid", "seq", "mean")
 
 
 @query("q_count_slide_stream", COUNT_SLIDE)
 def count_slide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
-    return run_to_table(processors.apply(stream, "uid", processors.CountWindows(5, 2)), "slides")
+    return processed(spark, sf_dir, processors.CountWindows(5, 2), "slides")
 
 
-@query("q_late_side_output_stream", LATE)
-def late_side_output_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def follow_late(spark: SparkSession, sf_dir: str, stops: tuple[int, ...]) -> DataFrame:
+    """Every reading with its status; the stream stops after so many steps and resumes."""
     rows = out_of_order(sensor(spark, sf_dir)).select("id", "seq", "ts", "vc", "arrival")
-    path = write_replay(rows, "arrival", STEPS)
-    stream = read_replay(spark, path, rows.schema)
-    classed = follow_lateness(
-        stream,
-        F.unix_millis("ts"),
-        ["arrival", "seq"],
-        WINDOW_MS,
-        DELAY_MS,
-        LATENESS_MS,
-        "lateness",
-    )
+    source, checkpoint = replay(rows, order="arrival"), scratch_dir(spark, "lateness")
+    for upto in stops:
+        classed = follow_lateness(
+            source.stream(), F.unix_millis("ts"), ["arrival", "seq"], WINDOW_MS, DELAY_MS, LATENESS_MS,
+            "lateness", checkpoint, [source], upto,
+        )
     late = classed.filter(F.col("status") != "on_time")
     return late.select("id", "seq", "vc", "start_ms", "status")
 
 
-@query("q_broadcast_threshold_stream", THRESHOLD)
-def broadcast_threshold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = replay(sensor(spark, sf_dir).select("id", "uid", "seq", "vc"))
-    current = follow_settings(stream, F.col("id") == "signup", "seq", "vc", 0, "thresholds")
+@query("q_late_side_output_stream", LATE)
+def late_side_output_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return follow_late(spark, sf_dir, (STEPS,))
+
+
+@query("q_restart_late_side_output", LATE)
+def restart_late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return follow_late(spark, sf_dir, (STEPS // 2, STEPS))
+
+
+def follow_threshold(spark: SparkSession, sf_dir: str, stops: tuple[int, ...]) -> DataFrame:
+    source, checkpoint = replay(sensor(spark, sf_dir).select("id", "uid", "seq", "vc")), scratch_dir(spark, "thresholds")
+    for upto in stops:
+        current = follow_settings(
+            source.stream(), F.col("id") == "signup", "seq", "vc", 0, "thresholds", checkpoint, [source], upto
+        )
     alerts = current.filter(F.col("vc") > F.col("threshold"))
     return alerts.select("seq", "uid", "vc", "threshold")
+
+
+@query("q_broadcast_threshold_stream", THRESHOLD)
+def broadcast_threshold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return follow_threshold(spark, sf_dir, (STEPS,))
+
+
+@query("q_restart_threshold", THRESHOLD)
+def restart_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return follow_threshold(spark, sf_dir, (STEPS // 2, STEPS))
+
+
+def extremes(spark: SparkSession, sf_dir: str, whole_row: bool) -> DataFrame:
+    rows = sensor(spark, sf_dir).select("uid", "seq", "id", epoch_s("ts").alias("ts"), "vc")
+    source = replay(rows)
+    made = processors.apply(source.stream(), "uid", processors.RunningExtreme(whole_row))
+    return run_to_table(made, "extremes", replays=[source])
+
+
+@query("q_running_max_stream", REGISTRY["q_running_max"].oracle)
+def running_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extremes(spark, sf_dir, False).drop("row_seq")
+
+
+@query("q_running_maxby_stream", REGISTRY["q_running_maxby"].oracle)
+def running_maxby_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extremes(spark, sf_dir, True)
+
+
+@query("q_state_running_sum_stream", REGISTRY["q_state_running_sum"].oracle)
+def state_running_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return processed(spark, sf_dir, processors.RunningFold(), "sums").select("uid", "seq", "total")
+
+
+@query(
+    "q_count_tumble_stream",
+    f"""WITH {SENSOR}, r AS (
+      SELECT uid, vc, row_number() OVER (PARTITION BY uid ORDER BY seq) AS n FROM sensor)
+    SELECT uid, ((n - 1) // 5 + 1) * 5 AS firing, CAST(5 AS BIGINT) AS n, CAST(sum(vc) AS BIGINT) AS total
+    FROM r GROUP BY uid, (n - 1) // 5 HAVING count(*) = 5""",
+)
+def count_tumble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return processed(spark, sf_dir, processors.CountWindows(5), "count_tumble")
+
+
+@query(
+    "q_state_ttl_stream",
+    f"""WITH {SENSOR} SELECT uid, seq, last_value(CASE WHEN vc > {FLOOR} THEN vc END IGNORE NULLS) OVER (
+      PARTITION BY uid ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS state FROM sensor""",
+)
+def state_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lifetime of a year on the clock, far beyond the run: equal to the plain last value."""
+    source = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    held = processors.apply(source.stream(), "uid", processors.ExpiringValue(FLOOR, 365 * 24 * HOUR_MS), "ProcessingTime")
+    return run_to_table(held, "ttl", replays=[source], single_batch=True)
+
+
+@query(
+    "q_process_context_stream",
+    f"""WITH {SENSOR} SELECT uid, seq, epoch_us(ts) // 1000 AS time_ms, TRUE AS in_time FROM sensor""",
+)
+def process_context_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key, time and watermark of each row as its batch sees them; no ordered row is behind."""
+    source = replay(sensor(spark, sf_dir).select("uid", "seq", "ts"))
+    stream = source.stream().withColumn("time_ms", F.unix_millis("ts")).withWatermark("ts", "0 seconds")
+    made = run_to_table(processors.apply(stream, "uid", processors.RowContext(), "EventTime"), "context", replays=[source])
+    return made.select("uid", "seq", "time_ms", (F.col("time_ms") >= F.col("watermark_ms")).alias("in_time"))
+
+
+@query("q_side_output_route_stream", REGISTRY["q_side_output_route"].oracle)
+def side_output_route_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch is tagged in one pass and written with a folder per output."""
+    rules = {"first": F.col("id") == "click", "second": F.col("id") == "view"}
+    tagged = tag_first(sensor_of(streamed(spark, sf_dir, "events")), rules, "main").select("seq", "vc", "tag")
+    path = scratch_dir(spark, "routed")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.partitionBy("tag").mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    run_batches(tagged, handle, "routed")
+    return spark.read.schema("seq bigint, vc int, batch bigint, tag string").parquet(path).drop("batch")
+
+
+@query("q_tokens_stream", REGISTRY["q_lateral_udtf"].oracle)
+def tokens_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = streamed(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    words = lateral_tokens(stream, java_split("text"), "word", "length")
+    return run_to_table(words.select("conv_id", "turn", "word", "length"), "tokens")

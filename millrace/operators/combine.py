@@ -38,9 +38,11 @@ def window_join(
 
     ``key`` and ``window_start`` appear once; other column names must differ.
     """
-    a = left.withColumn("window_start", F.window(left_time, length).getField("start"))
-    b = right.withColumn("window_start", F.window(right_time, length).getField("start"))
-    return a.join(b, [key, "window_start"])
+    # The join runs on the window itself, which carries the watermark on streams.
+    a = left.withColumn("__window", F.window(left_time, length))
+    b = right.withColumn("__window", F.window(right_time, length))
+    joined = a.join(b, [key, "__window"])
+    return joined.withColumn("window_start", F.col("__window.start")).drop("__window")
 
 
 def interval_join(
@@ -83,14 +85,15 @@ def latest_setting(
     """Each data row with the latest setting that arrived before it, else ``default``.
 
     Both inputs go through one global running value, so neither is broadcast and
-    the settings may grow like the data.
+    the settings may grow like the data. Of rows with equal order, data come first: a
+    setting counts from the next value on; of equal settings the larger one stays.
     """
     names = data.columns
     both = data.withColumn("__set", F.lit(None).cast(settings.schema[setting].dataType)).unionByName(
         settings.select(order, F.col(setting).alias("__set")).withColumn("__is_set", F.lit(True)),
         allowMissingColumns=True,
-    )
-    scan = OrderedScan(both, [], [order], chunk_rows).add(__latest=last_value(F.col("__set")))
+    ).withColumn("__side", F.when(F.col("__is_set"), 1).otherwise(0))
+    scan = OrderedScan(both, [], [order, "__side", "__set"], chunk_rows).add(__latest=last_value(F.col("__set")))
     return scan.result().filter(F.col("__is_set").isNull()).select(
         *names, F.coalesce("__latest", F.lit(default)).alias(setting)
     )

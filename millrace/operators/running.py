@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.plans.scan import (
     CHUNK_ROWS,
@@ -97,7 +98,14 @@ def running_reduce(
     summed: Sequence[str],
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Fold rows pairwise: ``first`` columns of the earliest row, sums of ``summed``, rest latest."""
+    """Fold rows pairwise: ``first`` columns of the earliest row, sums of ``summed``, rest latest.
+
+    Sums must be exact, whatever chunks the rows fall into, so floating-point columns
+    are refused: cast them to a decimal.
+    """
+    inexact = [c for c in summed if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))]
+    if inexact:
+        raise TypeError(f"running sums of floating-point columns depend on the order of addition: {inexact}")
     scan = OrderedScan(df, keys, order, chunk_rows).add(
         **{c: first_value(F.col(c)) for c in first},
         **{c: running_sum(F.col(c)) for c in summed},

@@ -23,6 +23,7 @@ recomputation draws them alike.
 
 from __future__ import annotations
 
+import warnings
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -190,10 +191,17 @@ class OrderedScan:
             )
             most = limit * (TOO_LARGE if self.chunks else 1)
             width = (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / limit)
-            hot = ranges.filter((F.col("__n") > most) & F.col("__by").isNotNull()).select(
+            hot = ranges.filter(F.col("__n") > most).select(
                 *[f"__hot_{i}" for i in range(len(group))], "__by", "__lo", width.alias("__width")
             )
             found = hot.collect()
+            whole = [r for r in found if r["__by"] is None]
+            if whole:
+                warnings.warn(
+                    f"{len(whole)} keys of more than {most:.0f} rows have one order value only and stay whole",
+                    stacklevel=2,
+                )
+            found = [r for r in found if r["__by"] is not None]
             if not found:
                 return
             self._add_chunks(group, at, self.rows.sparkSession.createDataFrame(found, hot.schema))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -59,5 +61,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all nodes")
         if not _local_root:
             _local_root.append(tempfile.mkdtemp(prefix="millrace-"))
+            atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
         root = _local_root[0]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -8,9 +8,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 
 def keyed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``key`` is the first comma-separated field, ``value`` the whole line."""
+    """``key`` is the first comma-separated field, ``value`` the whole line; other columns stay."""
+    others = [c for c in lines.columns if c not in (value, "key", "value")]
     return lines.select(
-        F.split(F.col(value), ",")[0].alias("key"), F.col(value).alias("value")
+        F.split(F.col(value), ",")[0].alias("key"), F.col(value).alias("value"), *others
     )
 
 

@@ -11,9 +11,19 @@ def create_sink_table(spark: SparkSession, name: str, schema: str, location: str
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet LOCATION '{location}'")
 
 
-def insert_select(spark: SparkSession, table: str, query: str) -> None:
-    """``INSERT INTO table SELECT …``; names and types must match the table's."""
-    spark.sql(f"INSERT INTO {table} {query}")
+def qualified(spark: SparkSession, table: str) -> str:
+    """A table's full name, which no temporary view can hide."""
+    if "." in table:
+        return table
+    return f"{spark.catalog.currentCatalog()}.{spark.catalog.currentDatabase()}.{table}"
+
+
+def insert_select(spark: SparkSession, table: str, query: str, **frames: DataFrame) -> None:
+    """``INSERT INTO table SELECT …``; names and types must match the table's.
+
+    ``{name}`` in the query stands for the frame given under that name.
+    """
+    spark.sql(f"INSERT INTO {qualified(spark, table)} {query}", **frames)
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,

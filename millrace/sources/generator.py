@@ -23,13 +23,13 @@ def bounded_random(index: Column, low: int, high: int, seed: int = 0) -> Column:
 
 def generator_table(
     spark: SparkSession,
-    name: str,
+    name: str | None,
     count: int,
     columns: dict[str, tuple[str, int, int]],
     partitions: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """Register a view of generated columns.
+    """A table of generated columns; a name also makes it a view.
 
     ``columns`` maps a name to ``("random", min, max)`` or ``("sequence", start, end)``;
     a sequence shorter than ``count`` ends the table, as its bound is inclusive.
@@ -48,7 +48,8 @@ def generator_table(
         else:
             raise ValueError(f"unknown generator kind {kind!r}")
     table = rows.select(*[value.alias(column) for column, value in made.items()])
-    table.createOrReplaceTempView(name)
+    if name:
+        table.createOrReplaceTempView(name)
     return table
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.combine import latest_setting
 from millrace.operators.eventtime import classify_lateness
-from millrace.streaming.run import BatchTable, run_batches
+from millrace.session import scratch_dir
+from millrace.streaming.run import BatchTable, Replay, run_batches
 
 
 class Carry:
@@ -27,9 +28,9 @@ class Carry:
         empty.write.mode("ignore").parquet(f"{self.rows.path}/batch=-1")
 
     def before(self, batch_id: int) -> Row | None:
-        """What the batches before ``batch_id`` left."""
-        past = self.rows.read(self.schema).filter(F.col("batch") < batch_id)
-        return past.orderBy(F.col("batch").desc()).limit(1).first()
+        """What the batch before ``batch_id`` left; batch numbers have no gaps."""
+        folder = f"{self.rows.path}/batch={batch_id - 1}"
+        return self.rows.spark.read.schema(self.schema).parquet(folder).first()
 
     def leave(self, row: DataFrame, batch_id: int) -> None:
         self.rows.write(row.coalesce(1), batch_id)
@@ -44,15 +45,20 @@ def follow_lateness(
     lateness_ms: int,
     label: str,
     checkpoint: str | None = None,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
 ) -> DataFrame:
     """``classify_lateness`` over a stream, row by row and exact.
 
     Spark itself drops late rows silently and judges them once per micro-batch; here
     every row comes out with its status. ``arrival`` must rise from batch to batch.
+    Carry and rows lie under the checkpoint, so a run that gives the same one goes on where
+    the last stopped and returns the rows of all runs.
     """
     spark = stream.sparkSession
-    carry = Carry(spark, "max_ms bigint")
-    out = BatchTable(spark, label=label)
+    checkpoint = checkpoint or scratch_dir(spark, f"{label}-ckpt")
+    carry = Carry(spark, "max_ms bigint", f"{checkpoint}/kept/carry")
+    out = BatchTable(spark, f"{checkpoint}/kept/rows")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -66,7 +72,7 @@ def follow_lateness(
         carry.leave(batch.agg(latest.alias("max_ms")), batch_id)
         batch.unpersist()
 
-    run_batches(stream, handle, label, checkpoint)
+    run_batches(stream, handle, label, checkpoint, replays=replays, upto=upto)
     kinds = ", ".join(f"{name} {kind}" for name, kind in stream.dtypes)
     return out.read(f"{kinds}, start_ms bigint, end_ms bigint, status string").drop("batch")
 
@@ -79,16 +85,19 @@ def follow_settings(
     default: int,
     label: str,
     checkpoint: str | None = None,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
 ) -> DataFrame:
     """``latest_setting`` over one stream that carries data rows and setting rows.
 
     ``setting`` is the column that holds a setting row's value. Data rows come out
-    with the setting in force in column ``threshold``.
+    with the setting in force in column ``threshold``. The same checkpoint resumes, as above.
     """
     spark = stream.sparkSession
     kind = dict(stream.dtypes)[setting]
-    carry = Carry(spark, f"setting {kind}")
-    out = BatchTable(spark, label=label)
+    checkpoint = checkpoint or scratch_dir(spark, f"{label}-ckpt")
+    carry = Carry(spark, f"setting {kind}", f"{checkpoint}/kept/carry")
+    out = BatchTable(spark, f"{checkpoint}/kept/rows")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -108,6 +117,6 @@ def follow_settings(
         carry.leave(last.select(kept), batch_id)
         batch.unpersist()
 
-    run_batches(stream, handle, label, checkpoint)
+    run_batches(stream, handle, label, checkpoint, replays=replays, upto=upto)
     kinds = ", ".join(f"{name} {t}" for name, t in stream.dtypes)
     return out.read(f"{kinds}, threshold {kind}").drop("batch")

@@ -1,16 +1,20 @@
 """Per-key state on streams, for ``groupBy(key).transformWithStateInPandas``.
 
-A processor handles the rows of a key that one micro-batch brings, in arrival
-order. Batches are bounded by the source's rate limit (``maxFilesPerTrigger``,
-``maxOffsetsPerTrigger``), and so is what a hot key hands to one task.
-Each class names its output in ``OUTPUT``; ``apply`` wires it to a stream.
+A processor takes the rows of a key that one micro-batch brings as one frame, in arrival
+order, and reads and writes its state once. Batches are bounded by the source's
+rate limit or the steps of a replay, and so is what a hot key hands to one task.
+Each class names its output in ``OUTPUT``; ``apply`` wires it to a stream. A null value
+is no value, as in the batch operators: it changes no sum, extreme or last value, and
+counts as a row. Values are 32-bit integers, which pandas holds exactly beside nulls.
 """
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -29,7 +33,7 @@ def apply(
 
 
 class KeyedProcessor(StatefulProcessor):
-    """Sorts a key's new rows and turns what ``on_row`` yields into output rows."""
+    """Sorts a key's new rows and hands them to ``on_rows``, which returns the columns of ``OUTPUT``."""
 
     OUTPUT = ""
     key = "uid"
@@ -40,47 +44,44 @@ class KeyedProcessor(StatefulProcessor):
         self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        raise NotImplementedError
+        """Declare the state."""
 
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        raise NotImplementedError
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any] | None:
+        """One array per output column, or nothing."""
 
-    def on_timer(self, at_ms: int) -> Iterator[tuple]:
-        return iter(())
+    def on_timer(self, at_ms: int) -> list[Any] | None:
+        """What an expired timer puts out."""
 
-    def begin(self) -> None:
-        """Load what the coming rows share."""
-
-    def end(self) -> None:
-        """Write it back."""
-
-    def _frame(self, key: tuple, made: list[tuple]) -> Iterator[pd.DataFrame]:
-        if made:
+    def _frame(self, key: tuple, columns: list[Any] | None) -> Iterator[pd.DataFrame]:
+        if columns is not None and len(columns[0]):
             names = [part.split()[0] for part in self.OUTPUT.split(", ")]
-            frame = pd.DataFrame(made, columns=names)
-            frame.insert(0, self.key, key[0])
-            yield frame
+            yield pd.DataFrame({self.key: [key[0]] * len(columns[0])} | dict(zip(names, columns, strict=True)))
 
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        made: list[tuple] = []
-        self.begin()
-        for row in batch.itertuples(index=False):
-            made.extend(self.on_row(row, timerValues))
-        self.end()
-        yield from self._frame(key, made)
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable", ignore_index=True)
+        yield from self._frame(key, self.on_rows(batch, timerValues))
 
     def handleExpiredTimer(
         self, key: tuple, timerValues: Any, expiredTimerInfo: Any
     ) -> Iterator[pd.DataFrame]:
-        yield from self._frame(key, list(self.on_timer(expiredTimerInfo.getExpiryTimeInMs())))
+        yield from self._frame(key, self.on_timer(expiredTimerInfo.getExpiryTimeInMs()))
 
     def close(self) -> None:
         pass
 
 
+def values_of(rows: pd.DataFrame) -> pd.Series:
+    return rows["vc"].astype("Int64")
+
+
+def last_of(values: pd.Series, before: Any) -> Any:
+    """The last value that is not null, else what was there before."""
+    known = values.dropna()
+    return int(known.iloc[-1]) if len(known) else before
+
+
 class JumpAlerts(KeyedProcessor):
     """Value state: rows more than ``limit`` away from the key's previous value (0 at first)."""
 
@@ -92,16 +93,13 @@ class JumpAlerts(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "vc int")
 
-    def begin(self) -> None:
-        self.seen = self.last.get()[0] if self.last.exists() else 0
-
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        before, self.seen = self.seen, int(row.vc)
-        if abs(self.seen - before) > self.limit:
-            yield int(row.seq), before, self.seen
-
-    def end(self) -> None:
-        self.last.update((self.seen,))
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        seen = self.last.get()[0] if self.last.exists() else 0
+        vc = values_of(rows)
+        last = vc.ffill().shift(1).fillna(seen)
+        jumps = ((vc - last).abs() > self.limit).fillna(False).to_numpy(bool)
+        self.last.update((last_of(vc, seen),))
+        return [rows["seq"][jumps], last[jumps], vc[jumps]]
 
 
 class TopValues(KeyedProcessor):
@@ -115,30 +113,38 @@ class TopValues(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.stored = handle.getListState("top", "vc int")
 
-    def begin(self) -> None:
-        self.held = [item[0] for item in self.stored.get()] if self.stored.exists() else []
-
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        self.held = sorted([*self.held, int(row.vc)], reverse=True)[: self.k]
-        yield int(row.seq), list(self.held)
-
-    def end(self) -> None:
-        self.stored.put([(v,) for v in self.held])
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        held = [-item[0] for item in self.stored.get()] if self.stored.exists() else []
+        tops = []
+        for value in values_of(rows).to_numpy(dtype=object, na_value=None):
+            if value is not None:
+                insort(held, -value)
+                del held[self.k :]
+            tops.append([-v for v in held])
+        if held:
+            self.stored.put([(-v,) for v in held])
+        return [rows["seq"], tops]
 
 
 class ValueCounts(KeyedProcessor):
-    """Map state: how often the row's value has come up for the key."""
+    """Map state: how often the row's value has come up for the key; null is a value of its own."""
 
     OUTPUT = "seq bigint, vc int, cnt bigint"
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "vc int", "cnt bigint")
+        self.counts = handle.getMapState("counts", "known boolean, vc int", "cnt bigint")
 
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        entry = (int(row.vc),)
-        count = (self.counts.getValue(entry)[0] if self.counts.containsKey(entry) else 0) + 1
-        self.counts.updateValue(entry, (count,))
-        yield int(row.seq), entry[0], count
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        vc = values_of(rows)
+        place = vc.groupby(vc, dropna=False).cumcount() + 1
+        before = {}
+        for value, n in vc.value_counts(dropna=False).items():
+            entry = (False, 0) if pd.isna(value) else (True, int(value))
+            known = self.counts.getValue(entry)[0] if self.counts.containsKey(entry) else 0
+            before[None if pd.isna(value) else int(value)] = known
+            self.counts.updateValue(entry, (known + int(n),))
+        start = [before[None if pd.isna(v) else int(v)] for v in vc]
+        return [rows["seq"], vc, place.to_numpy() + np.array(start)]
 
 
 class RunningFold(KeyedProcessor):
@@ -149,21 +155,19 @@ class RunningFold(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.stored = handle.getValueState("fold", "total bigint, n bigint, low int, high int")
 
-    def begin(self) -> None:
-        self.fold = tuple(self.stored.get()) if self.stored.exists() else None
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        total, n, low, high = self.stored.get() if self.stored.exists() else (None, 0, None, None)
+        vc = values_of(rows)
 
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        vc = int(row.vc)
-        if self.fold is None:
-            self.fold = (vc, 1, vc, vc)
-        else:
-            total, n, low, high = self.fold
-            self.fold = (total + vc, n + 1, min(low, vc), max(high, vc))
-        total, n, low, high = self.fold
-        yield int(row.seq), total, n, total / n, low, high
+        def with_state(state: int | None, fold: str) -> pd.Series:
+            series = pd.concat([pd.Series([pd.NA if state is None else state], dtype="Int64"), vc], ignore_index=True)
+            return getattr(series, fold)().ffill().iloc[1:].reset_index(drop=True)
 
-    def end(self) -> None:
-        self.stored.update(self.fold)
+        totals, lows, highs = with_state(total, "cumsum"), with_state(low, "cummin"), with_state(high, "cummax")
+        count = n + 1 + np.arange(len(vc))
+        ends = [None if pd.isna(s.iloc[-1]) else int(s.iloc[-1]) for s in (totals, lows, highs)]
+        self.stored.update((ends[0], int(count[-1]), ends[1], ends[2]))
+        return [rows["seq"], totals, count, totals.astype("Float64") / count, lows, highs]
 
 
 class SumChangelog(KeyedProcessor):
@@ -172,23 +176,23 @@ class SumChangelog(KeyedProcessor):
     OUTPUT = "seq bigint, op string, total bigint"
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.stored = handle.getValueState("total", "total bigint")
-
-    def begin(self) -> None:
-        self.total = self.stored.get()[0] if self.stored.exists() else None
-
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        seq, vc = int(row.seq), int(row.vc)
-        if self.total is None:
-            self.total = vc
-            yield seq, "+I", vc
-            return
-        yield seq, "-U", self.total
-        self.total += vc
-        yield seq, "+U", self.total
-
-    def end(self) -> None:
-        self.stored.update((self.total,))
+        self.stored = handle.getValueState("total", "total bigint, known boolean")
+
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        first = not self.stored.exists()
+        before, known = (0, False) if first else self.stored.get()
+        vc = values_of(rows)
+        seen = vc.notna().cummax() | known
+        new = (vc.fillna(0).cumsum() + before).where(seen)
+        old = new - vc.fillna(0)
+        seq = np.repeat(rows["seq"].to_numpy(), 2)
+        op = np.tile(np.array(["-U", "+U"], object), len(vc))
+        both = pd.concat([old, new], ignore_index=True)
+        total = both.iloc[np.arange(len(both)).reshape(2, -1).T.ravel()]
+        if first:
+            seq, op, total = seq[1:], np.r_[np.array(["+I"], object), op[2:]], total.iloc[1:]
+        self.stored.update((int(vc.fillna(0).sum()) + before, bool(seen.iloc[-1])))
+        return [seq, op, total.reset_index(drop=True)]
 
 
 class CountWindows(KeyedProcessor):
@@ -206,19 +210,20 @@ class CountWindows(KeyedProcessor):
         self.buffer = handle.getListState("rows", "vc int")
         self.count = handle.getValueState("count", "n bigint")
 
-    def begin(self) -> None:
-        self.recent = [item[0] for item in self.buffer.get()] if self.buffer.exists() else []
-        self.seen = self.count.get()[0] if self.count.exists() else 0
-
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        self.seen += 1
-        self.recent = [*self.recent, int(row.vc)][-self.size :]
-        if self.seen % self.slide == 0:
-            yield self.seen, len(self.recent), sum(self.recent)
-
-    def end(self) -> None:
-        self.buffer.put([(v,) for v in self.recent])
-        self.count.update((self.seen,))
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        recent = [item[0] for item in self.buffer.get()] if self.buffer.exists() else []
+        seen = self.count.get()[0] if self.count.exists() else 0
+        held = pd.concat([pd.Series(recent, dtype="Int64"), values_of(rows)], ignore_index=True)
+        sums = np.concatenate([[0], np.cumsum(held.fillna(0).to_numpy(np.int64))])
+        known = np.concatenate([[0], np.cumsum(held.notna().to_numpy())])
+        number = seen - len(recent) + 1 + np.arange(len(held))
+        fires = np.flatnonzero((number > seen) & (number % self.slide == 0))
+        low = np.maximum(0, fires + 1 - self.size)
+        total = pd.Series(sums[fires + 1] - sums[low], dtype="Int64")
+        total = total.where(pd.Series(known[fires + 1] > known[low]))
+        self.buffer.put([(None if pd.isna(v) else int(v),) for v in held.iloc[-self.size :]])
+        self.count.update((seen + len(rows),))
+        return [number[fires], fires + 1 - low, total]
 
 
 class ExpiringValue(KeyedProcessor):
@@ -236,24 +241,25 @@ class ExpiringValue(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.stored = handle.getValueState("last", "vc int", ttlDurationMs=self.ttl_ms)
 
-    def begin(self) -> None:
-        self.held = self.stored.get()[0] if self.stored.exists() else None
-
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        yield int(row.seq), self.held
-        if int(row.vc) > self.floor:
-            self.held = int(row.vc)
-
-    def end(self) -> None:
-        if self.held is not None:
-            self.stored.update((self.held,))
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        held = self.stored.get()[0] if self.stored.exists() else None
+        vc = values_of(rows)
+        put = vc.where((vc > self.floor).fillna(False))
+        state = put.ffill().shift(1)
+        if held is not None:
+            state = state.fillna(held)
+        last = last_of(put, held)
+        if last is not None:
+            self.stored.update((last,))
+        return [rows["seq"], state]
 
 
 class FirstRowTimer(KeyedProcessor):
-    """Event-time timer set by a key's first row, ``after_ms`` later; fires once.
+    """Event-time timer set by a key's first row, ``after_ms`` later; fires once per key.
 
-    ``time_ms`` is the event time of a row. With ``cancel_above`` a row of a larger
-    value deletes the pending timer.
+    ``time_ms`` is the event time of a row. With ``cancel_above`` a later row of a larger
+    value deletes the pending timer. The state that remembers it stays, so that no
+    second timer is set.
     """
 
     OUTPUT = "timer_ms bigint"
@@ -264,17 +270,17 @@ class FirstRowTimer(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.timer = handle.getValueState("timer", "at_ms bigint")
 
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        if not self.timer.exists():
-            at = int(row.time_ms) + self.after_ms
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> None:
+        first = not self.timer.exists()
+        at = int(rows["time_ms"].iloc[0]) + self.after_ms if first else self.timer.get()[0]
+        if first:
             self.timer.update((at,))
             self.handle.registerTimer(at)
-        elif self.cancel_above is not None and int(row.vc) > self.cancel_above:
-            self.handle.deleteTimer(self.timer.get()[0])
-        return iter(())
+        if self.cancel_above is not None and (values_of(rows).iloc[int(first) :] > self.cancel_above).any():
+            self.handle.deleteTimer(at)
 
-    def on_timer(self, at_ms: int) -> Iterator[tuple]:
-        yield (at_ms,)
+    def on_timer(self, at_ms: int) -> list[Any]:
+        return [[at_ms]]
 
 
 class ClockTimer(KeyedProcessor):
@@ -288,14 +294,54 @@ class ClockTimer(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.fired = handle.getValueState("fired", "n bigint")
 
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> None:
         self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.after_ms)
-        return iter(())
 
-    def on_timer(self, at_ms: int) -> Iterator[tuple]:
+    def on_timer(self, at_ms: int) -> list[Any]:
         count = (self.fired.get()[0] if self.fired.exists() else 0) + 1
         self.fired.update((count,))
-        yield (count,)
+        return [[count]]
+
+
+class RowContext(KeyedProcessor):
+    """Each row with its key, its event time and the watermark its batch sees."""
+
+    OUTPUT = "seq bigint, time_ms bigint, watermark_ms bigint"
+
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        return [rows["seq"], rows["time_ms"], np.full(len(rows), timers.getCurrentWatermarkInMs(), np.int64)]
+
+
+class RunningExtreme(KeyedProcessor):
+    """Running largest value with the columns of the key's first row, or of the row that holds it.
+
+    ``whole_row`` takes ``id`` and ``ts`` from the earliest row of the largest value (maxBy), else
+    from the first row (max).
+    """
+
+    OUTPUT = "seq bigint, id string, ts bigint, vc int, row_seq bigint"
+
+    def __init__(self, whole_row: bool = False) -> None:
+        self.whole_row = whole_row
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.stored = handle.getValueState("best", "id string, ts bigint, vc int, row_seq bigint")
+
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        new = rows[["id", "ts", "vc", "seq"]].rename(columns={"seq": "row_seq"})
+        if self.stored.exists():
+            new = pd.concat([pd.DataFrame([tuple(self.stored.get())], columns=new.columns), new], ignore_index=True)
+        vc = new["vc"].astype("Int64")
+        best = vc.cummax().ffill()
+        rises = (best > best.shift(1).fillna(np.iinfo(np.int64).min)).fillna(False).to_numpy(bool)
+        rises[0] = True
+        source = np.maximum.accumulate(np.where(rises, np.arange(len(new)), 0)) if self.whole_row else np.zeros(len(new), int)
+        held = new.take(source).reset_index(drop=True)
+        held["vc"] = best
+        last = held.iloc[-1]
+        self.stored.update((last["id"], int(last["ts"]), None if pd.isna(last["vc"]) else int(last["vc"]), int(last["row_seq"])))
+        held = held.iloc[len(new) - len(rows) :]
+        return [rows["seq"].to_numpy(), *[held[c].reset_index(drop=True) for c in ("id", "ts", "vc", "row_seq")]]
 
 
 class LatenessWindows(KeyedProcessor):
@@ -314,36 +360,39 @@ class LatenessWindows(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.windows = handle.getMapState("windows", "start bigint", "n bigint, total bigint, fired bigint")
 
-    def on_row(self, row: Any, timers: Any) -> Iterator[tuple]:
-        start = int(row.time_ms) // self.window_ms * self.window_ms
-        end = start + self.window_ms
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any] | None:
         watermark = timers.getCurrentWatermarkInMs()
-        if watermark >= end:
-            return
-        entry = (start,)
-        if self.windows.containsKey(entry):
-            n, total, fired = self.windows.getValue(entry)
-        else:
-            n, total, fired = 0, 0, 0
-            self.handle.registerTimer(end)
-            if watermark < end - self.lateness_ms:
-                self.handle.registerTimer(end - self.lateness_ms)
-        n, total = n + 1, total + int(row.vc)
-        if watermark >= end - self.lateness_ms:
-            yield start, fired, n, total
-            fired += 1
-        self.windows.updateValue(entry, (n, total, fired))
-
-    def on_timer(self, at_ms: int) -> Iterator[tuple]:
-        fires = at_ms + self.lateness_ms
+        starts = rows["time_ms"].astype("int64") // self.window_ms * self.window_ms
+        made = []
+        for start, values in values_of(rows).fillna(0).groupby(starts):
+            start, end = int(start), int(start) + self.window_ms
+            if watermark >= end:
+                continue
+            if self.windows.containsKey((start,)):
+                n, total, fired = self.windows.getValue((start,))
+            else:
+                n, total, fired = 0, 0, 0
+                self.handle.registerTimer(end)
+                if watermark < end - self.lateness_ms:
+                    self.handle.registerTimer(end - self.lateness_ms)
+            if watermark >= end - self.lateness_ms:
+                step = np.arange(len(values))
+                made.append((np.full(len(values), start), fired + step, n + 1 + step, total + values.cumsum().to_numpy(np.int64)))
+                fired += len(values)
+            self.windows.updateValue((start,), (n + len(values), total + int(values.sum()), fired))
+        return [np.concatenate(column) for column in zip(*made, strict=True)] if made else None
+
+    def on_timer(self, at_ms: int) -> list[Any] | None:
+        fires, out = at_ms + self.lateness_ms, None
         if fires % self.window_ms == 0:
             entry = (fires - self.window_ms,)
             if self.windows.containsKey(entry):
                 n, total, fired = self.windows.getValue(entry)
                 if fired == 0:
-                    yield entry[0], 0, n, total
+                    out = [[entry[0]], [0], [n], [total]]
                     self.windows.updateValue(entry, (n, total, 1))
         if at_ms % self.window_ms == 0:
             closed = (at_ms - self.window_ms,)
             if self.windows.containsKey(closed):
                 self.windows.removeKey(closed)
+        return out

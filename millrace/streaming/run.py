@@ -7,52 +7,48 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.session import configure, scratch_dir
 
-ROWS_PER_FILE = 1_000_000
+class Replay:
+    """A table published step by step to a folder that a stream reads.
 
-
-def write_replay(
-    df: DataFrame,
-    order: str,
-    steps: int,
-    path: str | None = None,
-    part: tuple[int, int] = (0, 1),
-    end: DataFrame | None = None,
-) -> str:
-    """Write a table as ordered files that a stream then reads one by one.
-
-    The range of ``order``, an integer column, is cut into at least ``steps`` equal
-    spans, more where a file would exceed ``ROWS_PER_FILE``. A span is one file, and
-    spans are written one after the other, as a file stream takes files by age: so no
-    row overtakes a row of an earlier span. ``part`` (i, k) writes the i-th of k parts
-    of the spans, ``end`` adds a last file.
+    ``order``, an integer column, is cut at its quantiles into ``steps`` spans; the number of
+    steps is the caller's alone. Two passes read the table whatever the steps: one for the
+    quantiles, one that writes all steps in one job, many files each. ``publish`` then
+    copies a step's folder to the stream's, and a run takes it as one micro-batch, so no row
+    overtakes a row of an earlier step. Rows of equal order share a step. ``end`` adds
+    a last step.
     """
-    spark = df.sparkSession
-    path = path or scratch_dir(spark, "replay")
-    size = df.agg(
-        F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(F.lit(1)).alias("n")
-    ).first()
-    lo, hi = size["lo"] or 0, size["hi"] or 0
-    steps = max(steps, -(-size["n"] // ROWS_PER_FILE))
-    width = (hi - lo) // steps + 1
-    i, k = part
-    for step in range(steps * i // k, steps * (i + 1) // k):
-        low = lo + step * width
-        span = df.filter((F.col(order) >= low) & (F.col(order) < low + width))
-        # Scanned in parallel; only the span itself goes to the one writer.
-        span.repartition(1).write.mode("append").parquet(path)
-    if end is not None:
-        end.coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
-def read_replay(spark: SparkSession, path: str, schema: object) -> DataFrame:
-    """Stream a replay, one file per micro-batch."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(path)
+
+    def __init__(self, df: DataFrame, order: str, steps: int, end: DataFrame | None = None) -> None:
+        self.spark, self.schema, self.steps = df.sparkSession, df.schema, steps
+        self.path, self.staged = scratch_dir(self.spark, "replay"), scratch_dir(self.spark, "staged")
+        self.next = 0
+        cuts = [i / steps for i in range(1, steps)]
+        bounds = df.agg(F.percentile_approx(order, cuts, 100_000)).first()[0] if cuts else []
+        place = sum((F.coalesce(F.col(order) > b, F.lit(False)).cast("int") for b in bounds or []), F.lit(0))
+        staged = df.withColumn("__step", place)
+        if end is not None:
+            staged = staged.unionByName(end.withColumn("__step", F.lit(steps)))
+            self.steps += 1
+        staged.hint("rebalance", F.col("__step")).write.partitionBy("__step").parquet(self.staged)
+        self.spark.createDataFrame([], self.schema).write.parquet(self.path)
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).parquet(self.path)
+
+    def publish(self) -> None:
+        """Hand the next step to the stream; nothing happens after the last."""
+        staged = self.spark.read.schema(f"{_ddl(self.schema)}, __step int").parquet(self.staged)
+        staged.where(F.col("__step") == self.next).drop("__step").write.mode("append").parquet(self.path)
+        self.next += 1
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 @contextmanager
@@ -68,13 +64,26 @@ def _state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[N
 
 
 def _finish(
-    spark: SparkSession, writer: DataStreamWriter, partitions: int | None, single_batch: bool = False
+    spark: SparkSession,
+    writer: Callable[[], DataStreamWriter],
+    partitions: int | None,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
+    single_batch: bool = False,
 ) -> None:
+    """Run over what is there, or over each step of the replays in turn, up to ``upto`` of them."""
     configure(spark)
     trigger = {"once": True} if single_batch else {"availableNow": True}
+    last = max((r.steps for r in replays), default=1)
     with _state_partitions(spark, partitions):
-        query = writer.trigger(**trigger).start()
-        query.awaitTermination()
+        while True:
+            for replay in replays:
+                if replay.next < replay.steps:
+                    replay.publish()
+            writer().trigger(**trigger).start().awaitTermination()
+            done = max((r.next for r in replays), default=1)
+            if done >= last or (upto is not None and done >= upto):
+                break
 
 
 def run_to_table(
@@ -85,9 +94,13 @@ def run_to_table(
     mode: str = "append",
     partitions: int | None = None,
     single_batch: bool = False,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
 ) -> DataFrame:
     """Run a stream over all available input into Parquet; return the table written.
 
+    With ``replays`` each of their steps is published and taken as one micro-batch.
+
     Giving the same ``path`` and ``checkpoint`` again resumes where the run stopped.
     Processors on the ``ProcessingTime`` clock have no last batch, as a timer may
     always be due; run those with ``single_batch``, once per batch wanted.
@@ -95,14 +108,17 @@ def run_to_table(
     spark = stream.sparkSession
     path = path or scratch_dir(spark, f"{label}-out")
     checkpoint = checkpoint or scratch_dir(spark, f"{label}-ckpt")
-    writer = (
-        stream.writeStream.queryName(label)
-        .format("parquet")
-        .outputMode(mode)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    _finish(spark, writer, partitions, single_batch)
+
+    def writer() -> DataStreamWriter:
+        return (
+            stream.writeStream.queryName(label)
+            .format("parquet")
+            .outputMode(mode)
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+        )
+
+    _finish(spark, writer, partitions, replays, upto, single_batch)
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -113,6 +129,8 @@ def run_batches(
     checkpoint: str | None = None,
     mode: str = "append",
     partitions: int | None = None,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
 ) -> None:
     """Run a stream over all available input, giving each micro-batch to ``handle``.
 
@@ -121,13 +139,16 @@ def run_batches(
     """
     spark = stream.sparkSession
     checkpoint = checkpoint or scratch_dir(spark, f"{label}-ckpt")
-    writer = (
-        stream.writeStream.queryName(label)
-        .foreachBatch(handle)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-    )
-    _finish(spark, writer, partitions)
+
+    def writer() -> DataStreamWriter:
+        return (
+            stream.writeStream.queryName(label)
+            .foreachBatch(handle)
+            .outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+        )
+
+    _finish(spark, writer, partitions, replays, upto)
 
 
 class BatchTable:
