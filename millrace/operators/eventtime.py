@@ -22,6 +22,7 @@ from millrace.plans.scan import (
     running_max,
     running_sum,
 )
+from millrace.session import settled
 
 
 def running_watermark(
@@ -94,7 +95,9 @@ def window_firings(
     Columns: keys, ``start_ms``, ``end_ms``, ``firing`` (from 0), ``n`` and ``total``
     of the rows the window holds at that firing.
     """
+    # Two aggregations and a scan read the rows, whose own scan is global: run it once.
     group = [*keys, "start_ms", "end_ms"]
+    classified = settled(classified.select(*group, *arrival, value, "status"), "classified")
     number = F.coalesce(F.col(value), F.lit(0)).cast("bigint")
     first = (
         classified.filter(F.col("status") == "on_time")
@@ -207,13 +210,17 @@ def interval_join_with_late(
     and ``right_id``.
     """
     needed = list(dict.fromkeys([key, row_id, time, *arrival]))
-    tagged = tag_late_of_pair(
-        left.select(*needed),
-        right.select(*needed),
-        F.unix_millis(F.col(time)),
-        arrival,
-        delay_ms,
-        chunk_rows,
+    # Three outputs read the tagged rows, whose scan is global: run it once.
+    tagged = settled(
+        tag_late_of_pair(
+            left.select(*needed),
+            right.select(*needed),
+            F.unix_millis(F.col(time)),
+            arrival,
+            delay_ms,
+            chunk_rows,
+        ),
+        "tagged",
     )
 
     def in_time(side: str) -> DataFrame:

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 import millrace
 
@@ -64,3 +64,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
         root = _local_root[0]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the scratch folder and read again: several uses cost one run."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,11 +23,11 @@ def write_bucketed(
 ) -> None:
     """Write one line per row below ``bucket=<hour>`` folders.
 
-    Rows are ranged by time first, so a task meets few hours (few open files) and a
-    busy hour is shared by several tasks. By default there is one range per core.
+    Rows are dealt by hour; adaptive execution splits an hour of many rows among tasks and
+    lets quiet hours share one. ``files`` bounds the number of tasks.
     """
-    ranges = files or df.sparkSession.sparkContext.defaultParallelism
-    rows = with_bucket(df.repartitionByRange(ranges, time), time, value)
+    placed = with_bucket(df, time, value)
+    rows = placed.hint("rebalance", files, "bucket") if files else placed.hint("rebalance", "bucket")
     rows.write.partitionBy("bucket").option("maxRecordsPerFile", max_rows_per_file).mode(
         "append"
     ).text(path)
