@@ -264,10 +264,10 @@ def removals(df: DataFrame, key: str, text: str, edits: int, min_bytes: int) ->
     lines = line_table(docs)
     first = lines.groupBy("h").agg(F.min(F.struct("id", "no")).alias("f"))
     met = written(meetings(key_table(docs, edits, min_bytes)), "line-keys")
-    wanted = met.select("h").distinct().join(first, "h").groupBy(F.col("f.id").alias("id")).agg(F.collect_list(F.struct("h", "f.no")).alias("wanted"))
-    found = cut_lines(
-        docs.join(wanted.hint("shuffle_hash"), "id", "left").select("id", F.when(F.col("wanted").isNotNull(), F.col("text")).alias("text"), "wanted")
-    )
+    wanted = met.select("h").distinct().join(first, "h").groupBy(F.col("f.id").alias("_id")).agg(F.collect_list(F.struct("h", "f.no")).alias("wanted"))
+    # The same columns by the same key as when the lines are cut out: the texts are dealt once for both.
+    placed = df.join(wanted.hint("shuffle_hash"), df[key].cast("bigint") == wanted["_id"], "left")
+    found = cut_lines(placed.select("_id", F.when(F.col("wanted").isNotNull(), F.col(text)).alias("text"), "wanted"))
     crowds = met.groupBy("k").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK).select("k", F.ceil(F.col("c") / BLOCK).cast("int").alias("n"))
     blocked = (
         met.join(crowds, "k", "left")
