@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.udtf import UserDefinedTableFunction
 
 
 def weighted_avg(score: Column, weight: Column) -> Column:
@@ -34,29 +33,13 @@ def top_values(
     return ranked.filter(F.col("rank") <= n)
 
 
-def _split_words() -> UserDefinedTableFunction:
-    class SplitWords:
-        def eval(self, text: str) -> Iterator[tuple[str, int]]:
-            if text is None:
-                return
-            words = text.split(" ")
-            if text:
-                while words and not words[-1]:
-                    words.pop()
-            for word in words:
-                yield word, len(word)
-
-    return F.udtf(SplitWords, returnType="word string, length int")
-
-
 def register_functions(spark: SparkSession) -> None:
     """Make the functions callable by name from SQL and ``F.call_function``.
 
-    ``split_words`` is a table function for ``LATERAL``. The others are SQL
-    functions over built-in expressions. An average weighted by a column reads
+    All are SQL functions over built-in expressions; ``split_words`` is a table
+    function for ``LATERAL``. An average weighted by a column reads
     ``weighted_mean(sum(score * weight), sum(weight))``, so its sums stay two-phase.
     """
-    spark.udtf.register("split_words", _split_words())
     for name, body in SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")
 
@@ -83,4 +66,9 @@ SQL_FUNCTIONS = {
         CASE WHEN s = '' THEN array('')
              WHEN rtrim(s) = '' THEN CAST(array() AS ARRAY<STRING>)
              ELSE split(rtrim(s), ' ') END""",
+    "split_words": """(s STRING) RETURNS TABLE(word STRING, length INT) RETURN
+        SELECT t.w, char_length(t.w) FROM explode(
+          CASE WHEN s = '' THEN array('')
+               WHEN rtrim(s) = '' THEN CAST(array() AS ARRAY<STRING>)
+               ELSE split(rtrim(s), ' ') END) AS t(w)""",
 }

@@ -5,7 +5,8 @@ with input, accumulator and output of different types. ``add`` gets all rows of
 key in an Arrow batch at once, so its body can be vectorised.
 
 Each task folds its own rows first. Accumulators are then merged in two steps, by
-key and slot and then by key, so a hot key's accumulators never meet all at once.
+key and slot and then by key, so a hot key's accumulators never meet all at once. A merging
+task takes sorted rows of many keys in one pass.
 Prefer built-in aggregates where they express the same fold.
 """
 
@@ -16,9 +17,11 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SLOTS = 64
 HELD_KEYS = 50_000
@@ -69,23 +72,45 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFra
         if folded:
             yield rows_of(folded, slot)
 
-    def merged(frame: pd.DataFrame) -> tuple:
-        total = None
-        for row in frame[held].itertuples(index=False, name=None):
-            total = row if total is None else agg.merge(total, row)
-        return total
-
-    def merge_slot(frame: pd.DataFrame) -> pd.DataFrame:
-        head = frame[[*keys, "__slot"]].iloc[0]
-        return pd.DataFrame([(*head, *merged(frame))], columns=_names(parts)).astype(object)
-
-    def finish(frame: pd.DataFrame) -> pd.DataFrame:
-        result = agg.result(merged(frame))
-        values = result if isinstance(result, tuple) else (result,)
-        return pd.DataFrame(
-            [(*frame[keys].iloc[0], *values)], columns=_names(out)
-        ).astype(object)
+    def merging(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Merge the runs of equal keys in sorted rows; ``whole`` gives results, else accumulators."""
+        width = len(keys) if whole else len(keys) + 1
+        schema = to_arrow_schema(out if whole else parts)
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+            )
+
+        def finished(key: tuple, total: tuple) -> tuple:
+            if not whole:
+                return (*key, *total)
+            result = agg.result(total)
+            return (*key, *(result if isinstance(result, tuple) else (result,)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            key, total, rows = None, None, []
+            for batch in batches:
+                values = batch.to_pydict()
+                heads = zip(*[values[c] for c in _names(parts)[:width]], strict=True)
+                for head, acc in zip(heads, zip(*[values[c] for c in held], strict=True), strict=True):
+                    if head == key:
+                        total = agg.merge(total, acc)
+                        continue
+                    if key is not None:
+                        rows.append(finished(key, total))
+                    key, total = head, acc
+                    if len(rows) >= HELD_KEYS:
+                        yield made(rows)
+                        rows = []
+            if key is not None:
+                yield made([*rows, finished(key, total)])
+
+        return run
 
     partial = df.mapInPandas(fold, parts)
-    per_slot = partial.groupBy(*keys, "__slot").applyInPandas(merge_slot, parts)
-    return per_slot.groupBy(*keys).applyInPandas(finish, out)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = [*keys, "__slot"]
+    per_slot = partial.repartition(n, *slots).sortWithinPartitions(*slots).mapInArrow(merging(False), parts)
+    return per_slot.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(merging(True), out)
