@@ -346,21 +346,25 @@ def restart_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return follow_threshold(spark, sf_dir, (STEPS // 2, STEPS))
 
 
-def extremes(spark: SparkSession, sf_dir: str, whole_row: bool) -> DataFrame:
+def folded(spark: SparkSession, sf_dir: str, processor: processors.KeyedProcessor) -> DataFrame:
     rows = sensor(spark, sf_dir).select("uid", "seq", "id", epoch_s("ts").alias("ts"), "vc")
     source = replay(rows)
-    made = processors.apply(source.stream(), "uid", processors.RunningExtreme(whole_row))
-    return run_to_table(made, "extremes", replays=[source])
+    return run_to_table(processors.apply(source.stream(), "uid", processor), "folded", replays=[source])
 
 
 @query("q_running_max_stream", REGISTRY["q_running_max"].oracle)
 def running_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extremes(spark, sf_dir, False).drop("row_seq")
+    return folded(spark, sf_dir, processors.RunningExtreme()).drop("row_seq")
 
 
 @query("q_running_maxby_stream", REGISTRY["q_running_maxby"].oracle)
 def running_maxby_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extremes(spark, sf_dir, True)
+    return folded(spark, sf_dir, processors.RunningExtreme(whole_row=True))
+
+
+@query("q_running_reduce_stream", REGISTRY["q_running_reduce"].oracle)
+def running_reduce_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return folded(spark, sf_dir, processors.RunningReduce())
 
 
 @query("q_state_running_sum_stream", REGISTRY["q_state_running_sum"].oracle)

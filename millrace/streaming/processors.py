@@ -344,6 +344,23 @@ class RunningExtreme(KeyedProcessor):
         return [rows["seq"].to_numpy(), *[held[c].reset_index(drop=True) for c in ("id", "ts", "vc", "row_seq")]]
 
 
+class RunningReduce(KeyedProcessor):
+    """Pairwise fold: ``id`` of the key's first row, ``ts`` of the latest, sum of the values."""
+
+    OUTPUT = "seq bigint, id string, ts bigint, vc bigint"
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.stored = handle.getValueState("fold", "id string, vc bigint")
+
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        name, before = self.stored.get() if self.stored.exists() else (rows["id"].iloc[0], None)
+        vc = pd.concat([pd.Series([pd.NA if before is None else before], dtype="Int64"), values_of(rows)], ignore_index=True)
+        total = vc.cumsum().ffill().iloc[1:].reset_index(drop=True)
+        last = total.iloc[-1]
+        self.stored.update((name, None if pd.isna(last) else int(last)))
+        return [rows["seq"], [name] * len(rows), rows["ts"], total]
+
+
 class LatenessWindows(KeyedProcessor):
     """Tumbling windows that fire at their end and again for each accepted late row.
 

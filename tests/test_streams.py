@@ -1,6 +1,9 @@
 """Streams: state, timers, lateness, restart and repeated batches."""
 
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from millrace.operators import combine, running, windows
@@ -339,3 +342,36 @@ def test_settings_with_equal_order_come_after_the_data(spark):
     settings = spark.createDataFrame([(1, 9), (2, 3), (2, 4)], "seq bigint, threshold int")
     made = combine.latest_setting(data, settings, "seq", "threshold", 0)
     assert sorted(map(tuple, made.collect())) == [(1, 5, 0), (2, 6, 9)]
+
+
+class Accessors(processors.KeyedProcessor):
+    """Uses the list and map state calls that the shipped processors do without."""
+
+    OUTPUT = "seq bigint, held array<int>, entries bigint, keys array<int>, left bigint"
+
+    def open(self, handle):
+        self.values = handle.getListState("values", "vc int")
+        self.counts = handle.getMapState("counts", "vc int", "n bigint")
+
+    def on_rows(self, rows, timers):
+        for value in rows["vc"].tolist():
+            if value < 0:
+                self.values.clear()
+                self.counts.clear()
+            else:
+                self.values.appendValue((value,))
+                self.counts.updateValue((value,), (1,))
+        keys = sorted(k[0] for k in self.counts.keys())
+        entries = len(list(self.counts.iterator()))
+        if keys:
+            self.counts.removeKey((keys[0],))
+        held = [v[0] for v in self.values.get()]
+        return [[int(rows["seq"].iloc[-1])], [held], [entries], [keys], [len(list(self.counts.keys()))]]
+
+
+def test_list_and_map_state_accessors(spark):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    source = in_two(rows_of(spark, ("a", 1, 5), ("a", 2, 3), ("a", 3, -1), ("a", 4, 8)))
+    made = run_to_table(processors.apply(source.stream(), "uid", Accessors()), "calls", partitions=2, replays=[source])
+    got = [tuple(r)[1:] for r in made.orderBy("seq").collect()]
+    assert got == [(1, [5, 3], 2, [3, 5], 1), (3, [8], 1, [8], 0)]
