@@ -10,7 +10,8 @@ counts are exact and have no cap, and no pair is ever a row.
 
 Crowds are thinned twice without losing links: texts with the same words are one
 class from the start, and within a prefix a document whose sketch is almost the
-sketch of another only keeps its link to that one.
+sketch of another only keeps its link to that one. Prefixes that stay crowded are cut into blocks
+that meet pairwise.
 
 A text of one to four words has one shingle, all its words. Null texts and texts without
 a word link with nothing. Repeated rows are copies of each other; rows with a null id
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.buffers import U64, forest, mix, powers, prefix_hash, runs, span_hash, text_chunks, word_spans
 from millrace.llm.registry import query, table
-from millrace.llm.tables import components, shuffle_partitions, whole_groups, written
+from millrace.llm.tables import components, crowds, paired_blocks, shuffle_partitions, whole_groups, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -41,6 +42,8 @@ ABSORB = 0.9
 #: Least estimate of a candidate: 0.6 by the triangle inequality over two absorptions, less noise.
 CANDIDATE = 0.55
 BLOCK = 128
+#: Documents under one prefix that meet another such block in one task.
+CROWD = 4096
 COLUMNS = 8192
 
 _SEEDS = np.random.default_rng(97)
@@ -186,6 +189,7 @@ def planted(reps: DataFrame, depth: int) -> DataFrame:
             part = pa.table({"id": batch.column(0), "sketch": pa.array([r.tobytes() for r in packed], pa.binary())})
             paths = sig.reshape(n, TREES, STEPS).copy().view(">u8")[:, :, 0].astype(np.uint64)
             ids, sketches = part["id"].combine_chunks(), part["sketch"].combine_chunks()
+            links = []
             for t in range(TREES):
                 order = np.argsort(paths[:, t], kind="stable")
                 path = paths[order, t]
@@ -198,12 +202,13 @@ def planted(reps: DataFrame, depth: int) -> DataFrame:
                      ids.take(pa.array(keep)), sketches.take(pa.array(keep)), none, none],
                     schema_of(TREE),
                 )
-                if len(a):
-                    rest = pa.nulls(len(a), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(len(a), pa.int32()), rest, rest, rest, pa.nulls(len(a), pa.binary()), pa.array(a), pa.array(b)],
-                        schema_of(TREE),
-                    )
+                links.append(np.stack([a, b]))
+            # One spanning link per document, whatever the number of trees and pairs.
+            a, b = forest(*np.concatenate(links, axis=1))
+            rest = pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(a), pa.int32()), rest, rest, rest, pa.nulls(len(a), pa.binary()), pa.array(a), pa.array(b)], schema_of(TREE)
+            )
 
     return reps.select("id", "sig").mapInArrow(run, TREE)
 
@@ -217,22 +222,27 @@ def candidate_links(reps: DataFrame, depth: int) -> DataFrame:
     rows = written(planted(reps, depth), "forest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_groups(batches, ["tree", "prefix"]):
-            tree, prefix = group["tree"].to_numpy(), group["prefix"].to_numpy()
-            cut = np.flatnonzero((tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1])) + 1
+        held = np.zeros((2, 0), np.int64)
+        for group in whole_groups(batches, key):
+            tree, prefix, lo, hi = (group[c].to_numpy() for c in key)
+            cut = np.flatnonzero(
+                (tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+            ) + 1
             bounds = np.r_[0, cut], np.r_[cut, len(tree)]
             if (bounds[1] - bounds[0] < 2).all():
                 continue
             a, b, _ = tree_rows(group, np.arange(len(tree)), bounds)
-            a, b = forest(a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            held = np.stack(forest(*np.concatenate([held, np.stack([a, b])], axis=1)))
+        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["a", "b"])
 
-    n = shuffle_partitions(reps)
+    n, key = shuffle_partitions(reps), ["tree", "prefix", "lo", "hi"]
+    leaves = rows.where("tree is not null").select("tree", "prefix", "path", "id", "sketch")
+    large = crowds(leaves, ["tree", "prefix"], CROWD)
     met = (
-        rows.where("tree is not null")
-        .select("tree", "prefix", "path", "id", "sketch")
-        .repartition(n, "tree", "prefix")
-        .sortWithinPartitions("tree", "prefix", "path", "id")
+        paired_blocks(leaves, ["tree", "prefix"], "id", large)
+        .select(*key, "path", "id", "sketch")
+        .repartition(n, *key)
+        .sortWithinPartitions(*key, "path", "id")
         .mapInArrow(run, EDGE)
     )
     return met.union(rows.where("a is not null").select("a", "b"))

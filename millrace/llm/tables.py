@@ -71,6 +71,26 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     )
 
 
+def crowds(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """(keys, n): how many blocks of about ``limit`` rows each key with more rows is cut into."""
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("c")).where(F.col("c") > limit)
+    return counted.select(*keys, F.ceil(F.col("c") / limit).cast("int").alias("n"))
+
+
+def paired_blocks(rows: DataFrame, keys: list[str], member: str, large: DataFrame) -> DataFrame:
+    """Adds lo, hi and own: a key's rows meet by pairs of blocks, so that all its pairs meet somewhere.
+
+    ``large`` is from ``crowds``; other keys are one block. Members are spread by their hash.
+    """
+    sized = rows.join(large, keys, "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    return (
+        sized.withColumn("own", F.pmod(F.xxhash64(member), F.col("n")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+        .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+        .drop("n", "other")
+    )
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables that hold whole groups, from batches sorted by the keys; many small groups each."""
     import numpy as np
