@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.buffers import SPACE, U64, mix, prefix_hash, span_hash, text_chunks
 from millrace.llm.registry import query, table
-from millrace.llm.tables import shuffle_partitions, whole_groups, written
+from millrace.llm.tables import crowds, paired_blocks, shuffle_partitions, whole_groups, written
 
 MAX_EDITS = 1
 MIN_BYTES = 40
@@ -268,14 +268,7 @@ def removals(df: DataFrame, key: str, text: str, edits: int, min_bytes: int) ->
     # The same columns by the same key as when the lines are cut out: the texts are dealt once for both.
     placed = df.join(wanted.hint("shuffle_hash"), df[key].cast("bigint") == wanted["_id"], "left")
     found = cut_lines(placed.select("_id", F.when(F.col("wanted").isNotNull(), F.col(text)).alias("text"), "wanted"))
-    crowds = met.groupBy("k").agg(F.count("*").alias("c")).where(F.col("c") > BLOCK).select("k", F.ceil(F.col("c") / BLOCK).cast("int").alias("n"))
-    blocked = (
-        met.join(crowds, "k", "left")
-        .withColumn("n", F.coalesce("n", F.lit(1)))
-        .withColumn("own", F.pmod(F.xxhash64("h"), F.col("n")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .select("k", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "role", "h")
-    )
+    blocked = paired_blocks(met, ["k"], "h", crowds(met, ["k"], BLOCK))
     late = later_lines(blocked.join(found, "h"), edits).withColumn("near", F.lit(True))
     state = first.join(late, "h", "left")
     return (

@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.buffers import U64, mix, powers, prefix_hash, runs, span_hash, text_chunks
 from millrace.llm.registry import query, table
-from millrace.llm.tables import extended, shuffle_partitions, whole_groups, written
+from millrace.llm.tables import crowds, extended, paired_blocks, shuffle_partitions, whole_groups, written
 
 LENGTH = 200
 TOKEN = 48
+#: Suffixes of one token, with different surroundings, that meet another such block in one task.
+CROWD = 8192
 _SIDE = LENGTH - TOKEN
 _NONE = U64(2**64 - 1)
 
@@ -185,11 +187,12 @@ def surroundings(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "token bigint, id bigint, at int, left int, around binary")
 
 
-def string_spans(near: DataFrame) -> DataFrame:
+def string_spans(near: DataFrame, large: DataFrame) -> DataFrame:
     """(id, lo, hi) covered by 200-byte strings that suffixes of one token share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, ["token"]):
+        for rows in whole_groups(batches, key):
+            lo, hi = rows["lo"].to_numpy(), rows["hi"].to_numpy()
             token, ids, at, left = (rows[c].to_numpy() for c in ("token", "id", "at", "left"))
             parts = rows["around"].to_pylist()
             size = np.array([len(p) for p in parts])
@@ -199,8 +202,9 @@ def string_spans(near: DataFrame) -> DataFrame:
             count = np.maximum(0, size - LENGTH + 1)
             row = np.repeat(np.arange(len(size)), count)
             step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            key = mix(hashes[offsets[row] + step] + mix(token[row].view(U64) + (step - left[row] + LENGTH).astype(U64)))
-            _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
+            group = mix(token.view(U64) + (lo.astype(U64) << U64(32)) + hi.astype(U64))
+            string = mix(hashes[offsets[row] + step] + mix(group[row] + (step - left[row] + LENGTH).astype(U64)))
+            _, inverse, times = np.unique(string, return_inverse=True, return_counts=True)
             found = np.flatnonzero(times[inverse] > 1)
             if not len(found):
                 continue
@@ -211,8 +215,9 @@ def string_spans(near: DataFrame) -> DataFrame:
                 [pa.array(ids[row[new]]), pa.array(start[new].astype(np.int32)), pa.array((start[last] + LENGTH).astype(np.int32))], ["id", "lo", "hi"]
             )
 
-    n = shuffle_partitions(near)
-    return near.repartition(n, "token").sortWithinPartitions("token").mapInArrow(run, "id bigint, lo int, hi int")
+    n, key = shuffle_partitions(near), ["token", "lo", "hi"]
+    met = paired_blocks(near, ["token"], "id", large).select(*key, "id", "at", "left", "around")
+    return met.repartition(n, *key).sortWithinPartitions(*key).mapInArrow(run, "id bigint, lo int, hi int")
 
 
 def joined_spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,11 +262,14 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     base = df.drop("kept", "removed")
     docs = base.where(base[key].isNotNull()).select(base[key].cast("bigint").alias("id"), base[text].alias("text"))
     found = written(neighbours(suffix_table(docs)), "suffixes")
-    wanted = found.where("coalesce(open, true)").groupBy("id").agg(F.collect_list(F.struct("token", "at")).alias("wanted"))
-    near = surroundings(docs.join(wanted.hint("shuffle_hash"), "id", "left").select("id", F.when(F.col("wanted").isNotNull(), F.col("text")).alias("text"), "wanted"))
+    several = found.where("coalesce(open, true)")
+    wanted = several.groupBy("id").agg(F.collect_list(F.struct("token", "at")).alias("wanted")).withColumnRenamed("id", "_id")
+    # The same columns by the same key as in the last join: the texts are dealt once for both.
+    placed = base.join(wanted.hint("shuffle_hash"), base[key].cast("bigint") == wanted["_id"], "left")
+    near = surroundings(placed.select(F.col("_id").alias("id"), F.when(F.col("wanted").isNotNull(), F.col(text)).alias("text"), "wanted"))
     # A text with an anchor has 200 bytes around it; the end of the text is cut off below.
     whole = found.where("not open").select("id", F.greatest(F.lit(0), F.col("at") - _SIDE).alias("lo"), (F.col("at") + LENGTH).alias("hi"))
-    spans = whole.union(string_spans(near)).union(chunk_spans(docs))
+    spans = whole.union(string_spans(near, crowds(several, ["token"], CROWD))).union(chunk_spans(docs))
     spans = spans.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("_spans")).withColumnRenamed("id", "_id")
     return cut_spans(base.join(spans.hint("shuffle_hash"), base[key].cast("bigint") == spans["_id"], "left").drop("_id"), text)
 

@@ -78,7 +78,9 @@ def near_texts(rng, crowd):
     return texts + [texts[3]] * 5 + ["a b c", "a b  c", "a b", None, "", " \n"]
 
 
-def test_jaccard_against_all_pairs(spark):
+@pytest.mark.parametrize("crowd", [4096, 12])
+def test_jaccard_against_all_pairs(spark, monkeypatch, crowd):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
     texts = near_texts(random.Random(3), 300)
     rows = list(enumerate(texts))
     random.Random(1).shuffle(rows)
@@ -123,7 +125,9 @@ def marked(texts, length=200):
     return [(bytes(c for c, m in zip(r, k, strict=True) if not m), [m.span() for m in re.finditer(b"\1+", bytes(k))]) for r, k in zip(raw, mark, strict=True)]
 
 
-def test_repeats_against_all_strings(spark):
+@pytest.mark.parametrize("crowd", [8192, 3])
+def test_repeats_against_all_strings(spark, monkeypatch, crowd):
+    monkeypatch.setattr(repeats, "CROWD", crowd)
     rng = random.Random(7)
     passages = [prose(rng, n) for n in (20, 38, 45, 80, 160)]
     texts = [None, "", "x" * 199, "x" * 200, "x" * 430, "ab" * 300, "é" * 150]
