@@ -16,7 +16,7 @@ as needed. Repeated rows are packed each. Extra columns are not read.
 
 from __future__ import annotations
 
-import unicodedata
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import combinations_with_replacement
@@ -36,7 +36,10 @@ WINDOW_DOCS = 4096
 #: Ids held of one window, at least one document's.
 WINDOW_IDS = 1 << 24
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+#: The tokenizer's own cuts, for words of Latin characters without numbers other than digits.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+ODD = re.compile("[\x80-\xa0\xad\xb2\xb3\xb9\xbc-\xbe\u0130]")
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint"
 )
@@ -45,9 +48,9 @@ PIECES = (
 class WordEncoder:
     """Ids of a word-level BPE: each distinct word is encoded once.
 
-    Texts are cut at spaces and line ends, which this vocabulary drops. Words of letters with a
-    closing comma or stop go to the BPE model directly, as the tokenizer's own steps would give
-    them; all others go through the whole tokenizer.
+    Texts are cut at spaces and line ends, which this vocabulary drops. Words of Latin characters
+    are put in small letters and cut as the tokenizer does it, and the parts go to its BPE model;
+    all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,43 +58,38 @@ class WordEncoder:
 
         self.whole = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+        self.raw = [np.array([i], "<u4").tobytes() for i in range(self.whole.get_vocab_size())]
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         # Byte-level vocabularies write a byte without a visible character as one from 256 on.
         self.bytes_as = {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    def model_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.whole.model.tokenize(word.encode().decode("latin-1").translate(self.bytes_as))]
+    def part(self, part: str) -> bytes:
+        """Ids of a run of letters, a digit or a run of signs, in small letters."""
+        found = self.parts.get(part)
+        if found is None:
+            as_bytes = part if part.isascii() else part.encode().decode("latin-1").translate(self.bytes_as)
+            found = self.parts[part] = b"".join([self.raw[t.id] for t in self.whole.model.tokenize(as_bytes)])
+        return found
 
     def word(self, word: str) -> bytes:
-        ids = None
-        stem, tail = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-        if stem.isalpha() and max(stem) < "ƀ" and unicodedata.is_normalized("NFC", stem) and "İ" not in stem:
-            if tail:
-                found = self.known.get(stem)
-                if found is None:
-                    found = self.word(stem)
-                out = found + self.known.setdefault(tail, self.full(tail))
-            else:
-                low = stem.lower()
-                found = self.known.get(low) if low != stem else None
-                if found is None:
-                    ids = self.model_ids(low)
-                    found = np.array(ids, "<u4").tobytes()
-                    self.known[low] = found
-                out = found
+        simple = word.isascii() or (max(word) < "\u0180" and not ODD.search(word))
+        if simple and min(word) > " " and "<|" not in word:
+            parts = PARTS.findall(word.lower())
+            out = self.part(parts[0]) if len(parts) == 1 else b"".join([self.part(p) for p in parts])
         else:
             out = self.full(word)
         self.known[word] = out
         return out
 
     def full(self, word: str) -> bytes:
-        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join([self.raw[i] for i in self.whole.encode(word, add_special_tokens=False).ids])
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
+            self.known, self.parts = {"": b""}, {}
         known, parts = self.known, []
         for word in text.replace("\n", " ").split(" "):
             ids = known.get(word)
