@@ -58,8 +58,9 @@ class Pieces:
         kept = [(i, p) for i, p in enumerate(model.pieces) if p.type == NORMAL]
         self.ids = {p.piece: i for i, p in kept}
         self.scores = {p.piece: p.score for _, p in kept}
-        self.longest = max(len(p.piece) for _, p in kept)
-        self.names = [p.piece for p in model.pieces]
+        #: Every beginning of a piece, and whether it is one.
+        self.trie = {p.piece[:n]: False for _, p in kept for n in range(1, len(p.piece))}
+        self.trie |= dict.fromkeys(self.ids, True)
         self.low = min(p.score for _, p in kept) - UNKNOWN_PENALTY
         self.byte_ids = [0] * 256
         self.raw = np.empty(len(model.pieces), object)
@@ -72,35 +73,45 @@ class Pieces:
         inner = [p.piece for _, p in kept if len(p.piece) > 1]
         if any(MARK in p.lstrip(MARK) for p in inner):
             raise ValueError("pieces that hold a space mark after another character are not supported")
+        self.packed: dict[str | int, bytes] = {k: np.array([i], "<u4").tobytes() for k, i in [*self.ids.items(), *enumerate(self.byte_ids)]}
         self.cuts_lines = not any("\n" in p for p in inner)
         self.apart: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """Merge neighbours by score, leftmost first, until none can be."""
-        symbols = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                score = self.scores.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if at < 0:
-                return symbols
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-
     def stays_apart(self, left: str, right: str) -> bool:
+        """Whether merging neighbours by score, leftmost first, ends with these two (or with the right one alone)."""
         found = self.apart.get((left, right))
         if found is None:
-            found = self.merged(left + right) == ([left, right] if left else [right])
-            self.apart[left, right] = found
+            found = self.apart[left, right] = self.merges_to(left, right)
         return found
 
+    def merges_to(self, left: str, right: str) -> bool:
+        get, none = self.scores.get, -np.inf
+        symbols, edge = list(left + right), len(left)
+        pairs = [get(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while pairs:
+            best = max(pairs)
+            if best == none:
+                break
+            at = pairs.index(best)
+            if at == edge - 1:
+                return False
+            if at < edge:
+                edge -= 1
+            joined = symbols[at] = symbols[at] + symbols.pop(at + 1)
+            del pairs[at]
+            if at:
+                pairs[at - 1] = get(symbols[at - 1] + joined, none)
+            if at < len(pairs):
+                pairs[at] = get(joined + symbols[at + 1], none)
+        return len(symbols) == (2 if left else 1)
+
     def forward(self, words: list[str]) -> Iterator[list[str]]:
         """Pieces of each word; the words are sorted. Characters outside the vocabulary stand alone."""
-        ids, scores, longest = self.ids, self.scores, self.longest
+        ids, scores, trie, apart = self.ids, self.scores, self.trie, self.apart
         last: list[str] = [""]
         best = [0.0]
+        open_at: list[list[int]] = [[]]  # by prefix: where a piece that goes on may have started
         before = ""
         for word in words:
             shared = 0
@@ -108,27 +119,32 @@ class Pieces:
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], best[shared + 1 :]
+            del last[shared + 1 :], best[shared + 1 :], open_at[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                piece, value = word[end - 1], best[end - 1] + self.low
-                outside = piece not in ids
-                if self.unigram:
-                    for start in range(max(0, end - longest), end):
-                        part = word[start:end]
-                        if part in ids and (total := best[start] + scores[part]) > value:
+                piece, value, found, going = word[end - 1], best[end - 1] + self.low, False, []
+                for start in (*open_at[end - 1], end - 1):
+                    part = word[start:end]
+                    whole = trie.get(part)
+                    if whole is None:
+                        continue
+                    going.append(start)
+                    if not whole:
+                        continue
+                    if self.unigram:
+                        if (total := best[start] + scores[part]) > value:
                             piece, value = part, total
-                elif not outside:
-                    for start in range(max(0, end - longest), end):
-                        part = word[start:end]
-                        if part in ids:
-                            previous = last[start]
-                            if previous and previous not in ids:
-                                previous = ""
-                            if self.stays_apart(previous, part):
-                                piece = part
-                                break
+                    elif not found:
+                        previous = last[start]
+                        if previous and previous not in ids:
+                            previous = ""
+                        found = apart.get((previous, part))
+                        if found is None:
+                            found = self.stays_apart(previous, part)
+                        if found:
+                            piece = part
                 last.append(piece)
                 best.append(value)
+                open_at.append(going)
             out, end = [], len(word)
             while end:
                 out.append(last[end])
@@ -151,11 +167,9 @@ class Pieces:
             self.known[key] = (line_end if line else b"") + done[word]
 
     def to_ids(self, pieces: list[str]) -> bytes:
-        out: list[int] = []
-        for p in pieces:
-            i = self.ids.get(p)
-            out.extend([i] if i is not None else [self.byte_ids[b] for b in p.encode()])
-        return np.array(out, "<u4").tobytes()
+        """Bytes of the ids; a character outside the vocabulary gives its bytes' pieces."""
+        known = self.packed
+        return b"".join([known[p] if p in known else b"".join([known[b] for b in p.encode()]) for p in pieces])
 
     def keys(self, text: str) -> list[str]:
         """Marked words of a text, as ``learn`` takes them."""
