@@ -3,10 +3,12 @@
 Each pass orders the vectors of a label by 64 random projection signs, read as one
 number, and compares every vector with its next ``WINDOW`` neighbours. Neighbours are
 compared by a sketch of 512 further signs; pairs within ``MAX_BITS`` signs are candidates, and the
-exact cosine decides. A vector's nearest ``LINKS`` candidates of a pass are enough to join a crowd into
-one component; once components are known, all pairs within each are compared exactly,
+exact cosine decides for every one of them. Once components are known, all pairs within each are compared exactly,
 in blocks, so link counts have no cap. The passes move sketches, not vectors.
 
+Equal vectors of a label are folded before the passes into the one of least id, which stands for all of
+them in the windows and counts as often in the links; equality is by 128 bits of hash.
+
 Rows whose label, id or vector is null, or whose vector is zero or holds null or non-finite
 components, link with nothing and stay alone; so do vectors of different lengths. Of rows that
 repeat an id one is compared, and each is returned. Windows end at the borders of range
@@ -22,7 +24,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.buffers import runs
 from millrace.llm.registry import query, table
 from millrace.llm.tables import components, shuffle_partitions, whole_groups, written
 
@@ -32,7 +33,6 @@ WINDOW = 32
 SKETCH_BITS = 512
 #: Expected 33 of 512 signs differ at a cosine of 0.98; this is five deviations more.
 MAX_BITS = 60
-LINKS = 8
 #: Vectors of a component that meet another such block in one task.
 BLOCK = 512
 
@@ -83,8 +83,8 @@ def sketched(df: DataFrame, passes: int = PASSES) -> DataFrame:
     return df.mapInArrow(run, f"pass int, grp {kind}, dim int, place bigint, id bigint, sketch binary")
 
 
-def window_pairs(df: DataFrame, window: int = WINDOW, max_bits: int = MAX_BITS, links: int = LINKS) -> DataFrame:
-    """Candidate pairs (a, b), a < b, among neighbours in sorted partitions."""
+def window_pairs(df: DataFrame, window: int = WINDOW, max_bits: int = MAX_BITS) -> DataFrame:
+    """All candidate pairs (a, b), a < b, among neighbours in sorted partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail: pa.Table | None = None
@@ -96,24 +96,16 @@ def window_pairs(df: DataFrame, window: int = WINDOW, max_bits: int = MAX_BITS,
             ids = rows["id"].to_numpy()
             sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(rows), -1)
             same = [rows[c].to_numpy() for c in ("pass", "grp", "dim")]
-            left, right, bits = [], [], []
+            left, right = [], []
             for o in range(1, min(window, len(rows) - 1) + 1):
                 first = np.arange(max(0, fresh - o), len(rows) - o)
                 first = first[np.logical_and.reduce([c[first] == c[first + o] for c in same]) & (ids[first] != ids[first + o])]
-                differ = np.bitwise_count(sketch[first] ^ sketch[first + o]).sum(axis=1, dtype=np.int64)
-                near = differ <= max_bits
-                left.append(first[near])
-                right.append(first[near] + o)
-                bits.append(differ[near])
+                near = first[np.bitwise_count(sketch[first] ^ sketch[first + o]).sum(axis=1, dtype=np.int64) <= max_bits]
+                left.append(near)
+                right.append(near + o)
             if not left:
                 continue
-            a, b, d = np.concatenate(left), np.concatenate(right), np.concatenate(bits)
-            owner, edge = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
-            order = np.lexsort((np.tile(d, 2), owner))
-            start, end = runs(owner[order])
-            rank = np.arange(len(order)) - np.repeat(start, end - start)
-            chosen = np.unique(edge[order][rank < links])
-            x, y = ids[a[chosen]], ids[b[chosen]]
+            x, y = ids[np.concatenate(left)], ids[np.concatenate(right)]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     n = shuffle_partitions(df)
@@ -139,22 +131,24 @@ def verified(pairs: DataFrame, vectors: DataFrame, min_cosine: float = MIN_COSIN
 
 
 def counted_links(members: DataFrame, min_cosine: float = MIN_COSINE, block: int = BLOCK) -> DataFrame:
-    """(id, n_links) over all pairs within components; members has (id, component, v).
+    """(id, n_links) over all pairs within components; members has (id, component, v) and may have copies.
 
+    A vector counts once for each of its copies in the links of others, and as one where there is no such column.
     A component of m vectors is cut into m / block blocks; each pair of blocks meets in one group.
     """
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
+    copies = F.col("copies") if "copies" in members.columns else F.lit(1)
     blocked = (
-        members.join(sizes, "component")
+        members.withColumn("copies", copies.cast("bigint")).join(sizes, "component")
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "v")
+        .select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "copies", "v")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["component", "lo", "hi"]):
             rows = rows.combine_chunks()
-            comp, lo, hi, own, ids = (rows[c].to_numpy() for c in ("component", "lo", "hi", "own", "id"))
+            comp, lo, hi, own, ids, copies = (rows[c].to_numpy() for c in ("component", "lo", "hi", "own", "id", "copies"))
             vectors = rows["v"].chunk(0) if rows["v"].num_chunks else rows["v"].combine_chunks()
             cut = np.flatnonzero((comp[1:] != comp[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
             found_ids, found = [], []
@@ -168,7 +162,7 @@ def counted_links(members: DataFrame, min_cosine: float = MIN_COSINE, block: int
                 else:
                     near &= mine[:, None] != mine[None, :]
                 found_ids.append(ids[s:e][first])
-                found.append(near.sum(axis=1))
+                found.append(near @ copies[s:e][first])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_ids)), pa.array(np.concatenate(found), pa.int64())], ["id", "n"])
 
     n = shuffle_partitions(members)
@@ -177,15 +171,30 @@ def counted_links(members: DataFrame, min_cosine: float = MIN_COSINE, block: int
     return parts.groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
+def folded(vectors: DataFrame) -> DataFrame:
+    """(id, first, copies) of the vectors with an equal one in their label: the least id among them, and how many they are."""
+    hashes = vectors.select("id", F.xxhash64("grp", "v").alias("h"), F.xxhash64(F.lit(1), "v", "grp").alias("g"))
+    equal = hashes.groupBy("h", "g").agg(F.min("id").alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    return hashes.join(equal, ["h", "g"]).select("id", "first", "copies")
+
+
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", min_cosine: float = MIN_COSINE) -> DataFrame:
     """(id, n_links, component) of each vector that has a link."""
     good = df.where(usable(vector, label, key)).select(
         F.col(key).cast("bigint").alias("id"), F.col(label).alias("grp"), F.col(vector).alias("v")
     )
-    edges = verified(window_pairs(sketched(good)), good, min_cosine)
+    good = written(good.groupBy("id").agg(F.min(F.struct("grp", "v")).alias("x")).select("id", "x.grp", "x.v"), "vectors")
+    equal = written(folded(good), "vector-copies")
+    alone = good.join(equal.where("id <> first").select("id"), "id", "left_anti")
+    edges = verified(window_pairs(sketched(alone)), good, min_cosine)
     groups = written(components(edges).select(F.col("node").alias("id"), "component"), "vector-groups")
-    members = groups.join(good.select("id", "v"), "id")
-    return groups.join(counted_links(members, min_cosine), "id")
+    counts = equal.where("id = first").select("id", "copies")
+    members = groups.join(good.select("id", "v"), "id").join(counts, "id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    linked = written(groups.join(counted_links(members, min_cosine), "id").select("id", "n_links", "component"), "vector-links")
+    copied = equal.join(linked.withColumnRenamed("id", "first"), "first", "left").select(
+        "id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "first").alias("component")
+    )
+    return linked.join(equal.select("id"), "id", "left_anti").union(copied)
 
 
 SQL = """

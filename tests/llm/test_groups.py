@@ -57,6 +57,37 @@ def test_vectors_against_all_pairs(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def settled(spark, vecs):
+    """What the operator finds for these vectors of one label, and what all pairs give."""
+    unit = np.float32(vecs).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+    low = groups(range(len(vecs)), zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
+    expected = {i: (int(n), low[i]) for i, n in enumerate(near.sum(axis=1)) if n}
+    df = spark.createDataFrame([(i, 0, np.float32(v).tolist()) for i, v in enumerate(vecs)], "vec_id bigint, label int, embedding array<float>")
+    return {r["id"]: (r["n_links"], r["component"]) for r in vectors.near_duplicates(df).collect()}, expected
+
+
+def at_cosine(rng, x, cosine):
+    """A unit vector at this cosine from the unit vector x."""
+    y = rng.normal(size=len(x))
+    y -= (y @ x) * x
+    return cosine * x + (1 - cosine**2) ** 0.5 * y / np.linalg.norm(y)
+
+
+def test_vectors_link_groups_of_copies(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=32)
+    x /= np.linalg.norm(x)
+    y = at_cosine(rng, x, 0.985)
+    z = rng.normal(size=32)
+    vecs = [x, y, z] * 50
+    found, expected = settled(spark, vecs)
+    assert found == expected
+    assert expected[0] == (99, 0) and expected[1] == (99, 0) and expected[2] == (49, 2)
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
