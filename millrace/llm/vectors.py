@@ -1,22 +1,25 @@
-"""Near-duplicate embeddings by sorted projection passes.
+"""Near-duplicate embeddings by prefixes of projection signs.
 
-Each pass orders the vectors of a label by 64 random projection signs, read as one
-number, and compares every vector with its next ``WINDOW`` neighbours. Neighbours are
-compared by a sketch of 512 further signs; pairs within ``MAX_BITS`` signs are candidates, and the
-exact cosine decides for every one of them. Once components are known, all pairs within each are compared exactly,
-in blocks, so link counts have no cap. The passes move sketches, not vectors.
+Each pass deals the vectors of a label by the signs of some random projections; all vectors of
+equal signs meet, however many they are. The signs of a pass follow the size of the label,
+and the passes follow the signs so that a pair at the threshold fails to meet with a chance of ``MISS``; labels of
+up to ``BLOCK`` vectors are compared whole. Of those that meet, the ones with a sketch of 512 further signs
+near another's get their vectors back, and the exact cosine decides for every pair of these; only a
+spanning forest of the true links leaves the task. Prefixes with many vectors are split into blocks that meet pairwise.
+Once components are known, all pairs within each are compared exactly, in blocks, so link counts have
+no cap. The passes move sketches, not vectors.
 
 Equal vectors of a label are folded before the passes into the one of least id, which stands for all of
-them in the windows and counts as often in the links; equality is by 128 bits of hash.
+them in the passes and counts as often in the links; equality is by 128 bits of hash.
 
 Rows whose label, id or vector is null, or whose vector is zero or holds null or non-finite
 components, link with nothing and stay alone; so do vectors of different lengths. Of rows that
-repeat an id one is compared, and each is returned. Windows end at the borders of range
-partitions, which differ from pass to pass. Extra columns are not read.
+repeat an id one is compared, and each is returned. Extra columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,22 +27,48 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.buffers import forest
 from millrace.llm.registry import query, table
-from millrace.llm.tables import components, shuffle_partitions, whole_groups, written
+from millrace.llm.tables import components, crowds, paired_blocks, shuffle_partitions, whole_groups, written
 
 MIN_COSINE = 0.98
-PASSES = 16
+#: Chance that a pair at the threshold meets in no pass.
+MISS = 1e-5
+#: Signs are added to a prefix as long as by chance so many vectors of the label share it.
 WINDOW = 32
 SKETCH_BITS = 512
-#: Expected 33 of 512 signs differ at a cosine of 0.98; this is five deviations more.
-MAX_BITS = 60
-#: Vectors of a component that meet another such block in one task.
+#: Vectors of a component that meet another such block in one task; the vectors of a label compared without a prefix.
 BLOCK = 512
+#: Vectors of one prefix that meet another such block in one task.
+CROWD = 1024
+PAIRS = 1 << 18
+PREFIX = ["pass", "grp", "dim", "place"]
 
 
-def planes(dim: int, passes: int = PASSES) -> np.ndarray:
-    """The projections of the sketch and then of each pass; fixed by the dimension."""
-    return np.random.default_rng(dim).standard_normal((dim, SKETCH_BITS + 64 * passes)).astype(np.float32)
+def planes(dim: int, signs: int) -> np.ndarray:
+    """The projections of the sketch and then of all passes; fixed by the dimension and their number."""
+    return np.random.default_rng(dim).standard_normal((dim, SKETCH_BITS + signs)).astype(np.float32)
+
+
+def agreement(min_cosine: float) -> float:
+    """The chance that a projection has the same sign for two vectors at this cosine."""
+    return 1 - math.acos(min_cosine) / math.pi
+
+
+def depths(sizes: np.ndarray) -> np.ndarray:
+    """The signs of a prefix for labels of these sizes."""
+    return np.where(sizes <= BLOCK, 0, np.log2(np.maximum(sizes, WINDOW) / WINDOW).astype(np.int64))
+
+
+def passes_for(depth: int, min_cosine: float = MIN_COSINE) -> int:
+    """As many passes as a pair at the threshold needs to share a whole prefix in one of them."""
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-(agreement(min_cosine) ** depth)))) if depth and min_cosine < 1 else 1
+
+
+def sketch_limit(min_cosine: float) -> int:
+    """Signs in which sketches at the threshold may differ: five deviations more than expected."""
+    p = 1 - agreement(min_cosine)
+    return int(SKETCH_BITS * p + 5 * math.sqrt(SKETCH_BITS * p * (1 - p)))
 
 
 def usable(vector: str, label: str, key: str) -> Column:
@@ -56,78 +85,107 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def sketched(df: DataFrame, passes: int = PASSES) -> DataFrame:
-    """(pass, grp, dim, place, id, sketch) for each vector and pass."""
+def sketched(df: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """(pass, grp, dim, place, id, sketch) for each vector and pass; df has (id, grp, v)."""
+    sized = df.withColumn("dim", F.size("v"))
+    sized = sized.join(sized.groupBy("grp", "dim").agg(F.count("*").alias("size")), ["grp", "dim"]).select("id", "grp", "v", "size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, np.ndarray] = {}
+        kept: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            dims = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
-            for dim in np.unique(dims):
-                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                if dim not in kept:
-                    kept[dim] = planes(int(dim), passes)
-                x = unit(as_matrix(part.column(2), int(dim))).astype(np.float32)
-                bits = np.packbits(x @ kept[dim] > 0, axis=1)
-                sketch = pa.array([r.tobytes() for r in bits[:, : SKETCH_BITS // 8]], pa.binary())
-                places = bits[:, SKETCH_BITS // 8 :].copy().view(">u8").astype(np.uint64) ^ np.uint64(1 << 63)
+            dims = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            depth = depths(batch.column(3).to_numpy())
+            for dim, d in np.unique(np.stack([dims, depth], axis=1), axis=0).tolist():
+                part = batch.take(pa.array(np.flatnonzero((dims == dim) & (depth == d))))
+                passes = passes_for(d, min_cosine)
+                if (dim, d) not in kept:
+                    kept[dim, d] = planes(dim, passes * d)
+                signs = unit(as_matrix(part.column(2), dim)).astype(np.float32) @ kept[dim, d] > 0
+                sketch = pa.array([r.tobytes() for r in np.packbits(signs[:, :SKETCH_BITS], axis=1)], pa.binary())
                 n = len(part)
                 for p in range(passes):
+                    place = signs[:, SKETCH_BITS + p * d : SKETCH_BITS + (p + 1) * d] @ (np.int64(1) << np.arange(d, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(n, p, np.int32)), part.column(1), pa.array(np.full(n, dim, np.int32)),
-                         pa.array(places[:, p].astype(np.int64)), part.column(0), sketch],
+                         pa.array(place, pa.int64()), part.column(0), sketch],
                         ["pass", "grp", "dim", "place", "id", "sketch"],
                     )
 
     kind = df.schema["grp"].dataType.simpleString()
-    return df.mapInArrow(run, f"pass int, grp {kind}, dim int, place bigint, id bigint, sketch binary")
-
-
-def window_pairs(df: DataFrame, window: int = WINDOW, max_bits: int = MAX_BITS) -> DataFrame:
-    """All candidate pairs (a, b), a < b, among neighbours in sorted partitions."""
+    return sized.mapInArrow(run, f"pass int, grp {kind}, dim int, place bigint, id bigint, sketch binary")
+
+
+def near_sketches(sketch: np.ndarray, side: np.ndarray | None, limit: int) -> np.ndarray:
+    """Which rows have a sketch within so many signs of another row's, on the other side if there are sides."""
+    n = len(sketch)
+    words = np.ascontiguousarray(sketch.T)
+    near = np.zeros(n, bool)
+    step = max(1, PAIRS // n)
+    for lo in range(0, n, step):
+        hi = min(n, lo + step)
+        differ = np.zeros((hi - lo, n), np.uint16)
+        for w in words:
+            differ += np.bitwise_count(w[lo:hi, None] ^ w[None, :])
+        hit = differ <= limit
+        hit[np.arange(hi - lo), np.arange(lo, hi)] = False
+        if side is not None:
+            hit &= side[lo:hi, None] != side[None, :]
+        near[lo:hi] = hit.any(axis=1)
+    return near
+
+
+def bounds(rows: pa.Table, keys: list[str]) -> list[tuple[int, int]]:
+    """Starts and ends of the runs of equal keys."""
+    new = np.zeros(max(0, len(rows) - 1), bool)
+    for k in keys:
+        c = rows[k].to_numpy()
+        new |= c[1:] != c[:-1]
+    cut = np.flatnonzero(new) + 1
+    return list(zip(np.r_[0, cut].tolist(), np.r_[cut, len(rows)].tolist(), strict=True))
+
+
+def meetings(sketches: DataFrame, limit: int) -> DataFrame:
+    """(pass, grp, dim, place, lo, hi, own, id): the rows that meet a near sketch under a prefix."""
+    large = written(crowds(sketches, PREFIX, CROWD), "vector-crowds")
+    blocked = paired_blocks(sketches, PREFIX, "id", large)
+    key = [*PREFIX, "lo", "hi"]
+    out = [*key, "own", "id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail: pa.Table | None = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([tail, now]) if tail is not None else now
-            fresh = len(rows) - len(now)
-            tail = rows.slice(max(0, len(rows) - window))
-            ids = rows["id"].to_numpy()
+        for rows in whole_groups(batches, key):
             sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(rows), -1)
-            same = [rows[c].to_numpy() for c in ("pass", "grp", "dim")]
-            left, right = [], []
-            for o in range(1, min(window, len(rows) - 1) + 1):
-                first = np.arange(max(0, fresh - o), len(rows) - o)
-                first = first[np.logical_and.reduce([c[first] == c[first + o] for c in same]) & (ids[first] != ids[first + o])]
-                near = first[np.bitwise_count(sketch[first] ^ sketch[first + o]).sum(axis=1, dtype=np.int64) <= max_bits]
-                left.append(near)
-                right.append(near + o)
-            if not left:
-                continue
-            x, y = ids[np.concatenate(left)], ids[np.concatenate(right)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
-    n = shuffle_partitions(df)
-    key = ["pass", "grp", "dim", "place", "id"]
-    return df.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def verified(pairs: DataFrame, vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """The pairs whose cosine, in double precision, reaches the threshold."""
+            lo, hi, own = (rows[c].to_numpy() for c in ("lo", "hi", "own"))
+            keep = np.zeros(len(rows), bool)
+            for s, e in bounds(rows, key):
+                if e - s > 1:
+                    keep[s:e] = near_sketches(sketch[s:e], own[s:e] if lo[s] != hi[s] else None, limit)
+            if keep.any():
+                yield from rows.select(out).filter(pa.array(keep)).combine_chunks().to_batches()
+
+    schema = blocked.select(*out).schema
+    return blocked.repartition(shuffle_partitions(sketches), *key).sortWithinPartitions(*key).mapInArrow(run, schema)
+
+
+def true_links(met: DataFrame, vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """(a, b) that span the links, by cosines in double precision, among the rows of each prefix and pair of blocks."""
+    key = [*PREFIX, "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
-            for dim in np.unique(dims):
-                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                x, y = (unit(as_matrix(part.column(c), int(dim))) for c in (2, 3))
-                keep = np.flatnonzero((x * y).sum(axis=1) >= min_cosine)
-                yield part.select([0, 1]).take(pa.array(keep))
+        for rows in whole_groups(batches, key):
+            rows = rows.combine_chunks()
+            lo, hi, own, ids = (rows[c].to_numpy() for c in ("lo", "hi", "own", "id"))
+            vectors = rows["v"].chunk(0)
+            for s, e in bounds(rows, key):
+                x = unit(as_matrix(vectors.slice(s, e - s), len(vectors[s])))
+                near = np.triu(x @ x.T >= min_cosine, 1)
+                if lo[s] != hi[s]:
+                    near &= own[s:e, None] != own[None, s:e]
+                i, j = np.nonzero(near)
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in forest(ids[s:e][i], ids[s:e][j])], ["a", "b"])
 
-    left = vectors.select(F.col("id").alias("a"), F.col("v").alias("va"))
-    right = vectors.select(F.col("id").alias("b"), F.col("v").alias("vb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(run, "a bigint, b bigint")
+    joined = met.join(vectors.select("id", "v"), "id").select(*key, "own", "id", "v")
+    return joined.repartition(shuffle_partitions(met), *key).sortWithinPartitions(*key).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def counted_links(members: DataFrame, min_cosine: float = MIN_COSINE, block: int = BLOCK) -> DataFrame:
@@ -186,7 +244,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     good = written(good.groupBy("id").agg(F.min(F.struct("grp", "v")).alias("x")).select("id", "x.grp", "x.v"), "vectors")
     equal = written(folded(good), "vector-copies")
     alone = good.join(equal.where("id <> first").select("id"), "id", "left_anti")
-    edges = verified(window_pairs(sketched(alone)), good, min_cosine)
+    edges = true_links(meetings(sketched(alone, min_cosine), sketch_limit(min_cosine)), good, min_cosine)
     groups = written(components(edges).select(F.col("node").alias("id"), "component"), "vector-groups")
     counts = equal.where("id = first").select("id", "copies")
     members = groups.join(good.select("id", "v"), "id").join(counts, "id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))

@@ -88,6 +88,25 @@ def test_vectors_link_groups_of_copies(spark):
     assert expected[0] == (99, 0) and expected[1] == (99, 0) and expected[2] == (49, 2)
 
 
+@pytest.mark.parametrize("crowd", [1024, 200])
+def test_vectors_link_a_crowd_to_its_centre(spark, monkeypatch, crowd):
+    monkeypatch.setattr(vectors, "CROWD", crowd)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=256)
+    x /= np.linalg.norm(x)
+    vecs = [at_cosine(rng, x, 0.985) for _ in range(1500)] + [x] + [2.0**i * x for i in range(-20, 20)]
+    found, expected = settled(spark, vecs)
+    assert found == expected
+    assert expected[1500] == (1540, 0) and expected[0] == (41, 0)
+
+
+def test_passes_follow_the_label():
+    for n in (100, 10**4, 10**9):
+        d = int(vectors.depths(np.array([n]))[0])
+        assert (1 - vectors.agreement(0.98) ** d) ** vectors.passes_for(d) <= vectors.MISS
+        assert n <= vectors.BLOCK and d == 0 or vectors.WINDOW <= n / 2**d < 2 * vectors.WINDOW
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
