@@ -2,7 +2,8 @@
 
 Lines are split at \\n and ordered by document id and place. A line with a word goes if an
 earlier line has the same bytes, or if both have at least ``MIN_BYTES`` bytes and an earlier line
-lies within ``MAX_EDITS`` edits of bytes (insert, delete, replace). Lines of white space stay.
+lies within the edits (insert, delete, replace a code point) that ``STEPS`` allow the shorter of both. A caller
+may fix the number of edits instead; these are then edits of bytes. Lines of white space stay.
 
 Each line is cut into one segment more than the edits allowed; a near line of the
 same length or up to that many bytes longer must hold one of the segments unchanged
@@ -30,7 +31,8 @@ from millrace.llm.buffers import SPACE, U64, mix, prefix_hash, span_hash, text_c
 from millrace.llm.registry import query, table
 from millrace.llm.tables import crowds, paired_blocks, shuffle_partitions, whole_groups, written
 
-MAX_EDITS = 1
+#: (code points, edits): lines of at least so many may differ by so many edits.
+STEPS = ((0, 1), (40, 2))
 MIN_BYTES = 40
 #: Lines under one key that meet another such block in one task.
 BLOCK = 4096
@@ -63,23 +65,63 @@ def segments(length: np.ndarray, edits: int, i: int) -> tuple[np.ndarray, np.nda
     return i * size + np.maximum(0, i - short), size + (i >= short)
 
 
-def segment_keys(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(key, line, role) of every segment and probe."""
+def allowed(length: np.ndarray, steps: tuple[tuple[int, int], ...]) -> np.ndarray:
+    """The edits for pairs whose shorter line has these lengths."""
+    out = np.zeros(len(length), np.int64)
+    for least, edits in steps:
+        out[length >= least] = edits
+    return out
+
+
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(code points before each byte, first byte of each code point and the end); nothing where they are the bytes."""
+    lead = (data & 0xC0) != 0x80
+    if (data < 128).all():
+        return None
+    return np.r_[0, np.cumsum(lead)], np.r_[np.flatnonzero(lead), len(data)]
+
+
+def as_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One number per code point, the bytes of its encoding, and the offsets among these."""
+    found = code_points(data)
+    if found is None:
+        return data, offsets
+    index, place = found
+    at, size = place[:-1], np.diff(place)
+    codes = data[at].astype(np.uint32)
+    for k in (1, 2, 3):
+        more = size > k
+        codes[more] = (codes[more] << np.uint32(8)) | data[at[more] + k]
+    return codes, index[offsets]
+
+
+def segment_keys(
+    prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: tuple[tuple[int, int], ...], first_byte: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(key, line, role) of every segment and probe; starts and ends count code points where first_byte is given."""
     length = ends - starts
-    every = np.arange(len(starts))
-    for shorter in range(edits + 1):
-        other = length - shorter
-        for i in range(edits + 1):
-            place, size = segments(other, edits, i)
-            tag = mix(other.astype(U64) * U64(64) + U64(i))
-            low = max(-i, shorter - (edits - i))
-            high = min(i, shorter + (edits - i))
-            for shift in range(low, high + 1):
-                at = starts + place + shift
-                good = (place + shift >= 0) & (at + size <= ends)
-                key = mix(span_hash(prefix, at[good], (at + size)[good]) ^ tag[good])
-                own = shorter == 0 and shift == 0
-                yield key, every[good], INDEX | PROBE if own else PROBE
+    numbers = sorted({edits for _, edits in steps})
+    for shorter in range(numbers[-1] + 1):
+        limit = allowed(length - shorter, steps)
+        for edits in numbers:
+            every = np.flatnonzero(limit == edits)
+            if shorter > edits or not len(every):
+                continue
+            other, begin, end = length[every] - shorter, starts[every], ends[every]
+            for i in range(edits + 1):
+                place, size = segments(other, edits, i)
+                tag = mix(other.astype(U64) * U64(64) + U64(i))
+                low = max(-i, shorter - (edits - i))
+                high = min(i, shorter + (edits - i))
+                for shift in range(low, high + 1):
+                    at = begin + place + shift
+                    good = (place + shift >= 0) & (at + size <= end)
+                    a, b = at[good], (at + size)[good]
+                    if first_byte is not None:
+                        a, b = first_byte[a], first_byte[b]
+                    key = mix(span_hash(prefix, a, b) ^ tag[good])
+                    own = shorter == 0 and shift == 0
+                    yield key, every[good], INDEX | PROBE if own else PROBE
 
 
 def line_table(df: DataFrame) -> DataFrame:
@@ -96,7 +138,7 @@ def line_table(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "h bigint, id bigint, no bigint")
 
 
-def key_table(df: DataFrame, edits: int, min_bytes: int) -> DataFrame:
+def key_table(df: DataFrame, steps: tuple[tuple[int, int], ...], min_bytes: int, chars: bool) -> DataFrame:
     """(k, h, role): keys of the distinct lines of each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +149,10 @@ def key_table(df: DataFrame, edits: int, min_bytes: int) -> DataFrame:
                 starts, ends = starts[long], ends[long]
                 prefix = prefix_hash(data)
                 h, first = np.unique(span_hash(prefix, starts, ends), return_index=True)
-                for key, line, role in segment_keys(prefix, starts[first], ends[first], edits):
+                starts, ends, first_byte = starts[first], ends[first], None
+                if chars and (found := code_points(data)) is not None:
+                    starts, ends, first_byte = found[0][starts], found[0][ends], found[1]
+                for key, line, role in segment_keys(prefix, starts, ends, steps, first_byte):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(h[line].view(np.int64)), pa.array(np.full(len(key), role, np.int8))], ["k", "h", "role"]
                     )
@@ -149,11 +194,12 @@ def within(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray,
     final = x_size - y_size + edits
     possible = (final >= 0) & (final < band)
     longest = int(y_size.max(initial=0))
-    padded = np.zeros((n, edits + max(longest, x.shape[1]) + edits + 1), np.uint16)
+    kind = np.uint32 if x.dtype == np.uint32 else np.uint16
+    padded = np.zeros((n, edits + max(longest, x.shape[1]) + edits + 1), kind)
     padded[:, edits : edits + x.shape[1]] = x
     padded[:, edits : edits + x.shape[1]][np.arange(x.shape[1])[None, :] < x_size[:, None]] += 1
     cols = np.ascontiguousarray(padded.T)
-    text = np.ascontiguousarray(y.T).astype(np.uint16) + 1
+    text = np.ascontiguousarray(y.T).astype(kind) + kind(1)
     for j in range(longest + 1):
         done = possible & (y_size == j)
         if done.any():
@@ -172,15 +218,15 @@ def within(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray,
 
 
 def rows_of(data: np.ndarray, offsets: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
-    """Lines as rows of bytes, padded with zeros."""
+    """Lines as rows of bytes or code points, padded with zeros."""
     at = offsets[rows][:, None] + np.arange(width)[None, :]
     out = data[np.minimum(at, len(data) - 1)]
     out[at >= offsets[rows + 1][:, None]] = 0
     return out
 
 
-def near_pairs(data: np.ndarray, offsets: np.ndarray, group: np.ndarray, role: np.ndarray, side: np.ndarray, cross: np.ndarray, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of one group within the edits; groups are runs, ``cross`` ones pair unequal sides only."""
+def near_pairs(data: np.ndarray, offsets: np.ndarray, group: np.ndarray, role: np.ndarray, side: np.ndarray, cross: np.ndarray, steps: tuple[tuple[int, int], ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group within the edits of its shorter row; groups are runs, ``cross`` ones pair unequal sides only."""
     size = np.diff(offsets)
     counts = np.zeros((len(size), 32), np.int16)
     np.add.at(counts, (np.repeat(np.arange(len(size)), size), data & 31), 1)
@@ -191,21 +237,24 @@ def near_pairs(data: np.ndarray, offsets: np.ndarray, group: np.ndarray, role: n
 
     def settle() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         a, b = (np.concatenate(p) for p in zip(*held, strict=True))
-        order = np.argsort(size[a], kind="stable")
-        for lo in range(0, len(order), PAIRS // 8):
-            p, q = a[order[lo : lo + PAIRS // 8]], b[order[lo : lo + PAIRS // 8]]
-            width = int(max(size[p].max(), size[q].max()))
-            good = within(rows_of(data, offsets, p, width), size[p], rows_of(data, offsets, q, width), size[q], edits)
-            yield p[good], q[good]
+        limit = allowed(np.minimum(size[a], size[b]), steps)
+        for edits in np.unique(limit).tolist():
+            order = np.flatnonzero(limit == edits)
+            order = order[np.argsort(size[a[order]], kind="stable")]
+            for lo in range(0, len(order), PAIRS // 8):
+                p, q = a[order[lo : lo + PAIRS // 8]], b[order[lo : lo + PAIRS // 8]]
+                width = int(max(size[p].max(), size[q].max()))
+                good = within(rows_of(data, offsets, p, width), size[p], rows_of(data, offsets, q, width), size[q], edits)
+                yield p[good], q[good]
 
     for o in range(1, longest + 1):
         a = np.flatnonzero(group[o:] == group[:-o])
         b = a + o
         good = ((role[a] & INDEX) | (role[b] & INDEX)) > 0
         good &= ~cross[a] | (side[a] != side[b])
-        good &= np.abs(size[a] - size[b]) <= edits
+        good &= np.abs(size[a] - size[b]) <= allowed(np.minimum(size[a], size[b]), steps)
         a, b = a[good], b[good]
-        near = np.abs(counts[a] - counts[b]).sum(axis=1) <= 2 * edits
+        near = np.abs(counts[a] - counts[b]).sum(axis=1) <= 2 * allowed(np.minimum(size[a], size[b]), steps)
         a, b = a[near], b[near]
         if len(a):
             held.append((a, b))
@@ -217,7 +266,7 @@ def near_pairs(data: np.ndarray, offsets: np.ndarray, group: np.ndarray, role: n
         yield from settle()
 
 
-def later_lines(met: DataFrame, edits: int) -> DataFrame:
+def later_lines(met: DataFrame, steps: tuple[tuple[int, int], ...], chars: bool) -> DataFrame:
     """(h) of lines with an earlier near line; met has (k, lo, hi, own, role, h, id, no, line)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,9 +276,10 @@ def later_lines(met: DataFrame, edits: int) -> DataFrame:
             _, offsets, data = lines.buffers()
             offsets = np.frombuffer(offsets, np.int64, len(lines) + 1, lines.offset * 8)
             data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+            data, offsets = as_codes(data, offsets - offsets[0]) if chars else (data, offsets - offsets[0])
             group = np.cumsum(np.r_[True, (k[1:] != k[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
             found = []
-            for a, b in near_pairs(data, offsets - offsets[0], group, role, own, lo != hi, edits):
+            for a, b in near_pairs(data, offsets, group, role, own, lo != hi, steps):
                 after = (ids[a] > ids[b]) | ((ids[a] == ids[b]) & (no[a] > no[b]))
                 found.append(np.where(after, h[a], h[b]))
             if found:
@@ -258,18 +308,19 @@ def cut_lines(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "h bigint, id bigint, no bigint, line binary")
 
 
-def removals(df: DataFrame, key: str, text: str, edits: int, min_bytes: int) -> DataFrame:
+def removals(df: DataFrame, key: str, text: str, edits: int | None, min_bytes: int) -> DataFrame:
     """(id, gone): per document, the (number, near) of lines to remove."""
+    steps, chars = (STEPS, True) if edits is None else (((0, edits),), False)
     docs = df.where(df[key].isNotNull()).select(df[key].cast("bigint").alias("id"), df[text].alias("text"))
     lines = line_table(docs)
     first = lines.groupBy("h").agg(F.min(F.struct("id", "no")).alias("f"))
-    met = written(meetings(key_table(docs, edits, min_bytes)), "line-keys")
+    met = written(meetings(key_table(docs, steps, min_bytes, chars)), "line-keys")
     wanted = met.select("h").distinct().join(first, "h").groupBy(F.col("f.id").alias("_id")).agg(F.collect_list(F.struct("h", "f.no")).alias("wanted"))
     # The same columns by the same key as when the lines are cut out: the texts are dealt once for both.
     placed = df.join(wanted.hint("shuffle_hash"), df[key].cast("bigint") == wanted["_id"], "left")
     found = cut_lines(placed.select("_id", F.when(F.col("wanted").isNotNull(), F.col(text)).alias("text"), "wanted"))
     blocked = paired_blocks(met, ["k"], "h", crowds(met, ["k"], BLOCK))
-    late = later_lines(blocked.join(found, "h"), edits).withColumn("near", F.lit(True))
+    late = later_lines(blocked.join(found, "h"), steps, chars).withColumn("near", F.lit(True))
     state = first.join(late, "h", "left")
     return (
         lines.join(state, "h")
@@ -280,7 +331,7 @@ def removals(df: DataFrame, key: str, text: str, edits: int, min_bytes: int) ->
     )
 
 
-def dedupe_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int = MAX_EDITS, min_bytes: int = MIN_BYTES) -> DataFrame:
+def dedupe_lines(df: DataFrame, key: str = "doc_id", text: str = "text", edits: int | None = None, min_bytes: int = MIN_BYTES) -> DataFrame:
     """All columns, the text without its removed lines; n_lines, n_removed and n_near appended."""
     base = df.drop("n_lines", "n_removed", "n_near")
     gone = removals(base, key, text, edits, min_bytes)

@@ -266,6 +266,27 @@ def test_lines_against_all_pairs(spark, monkeypatch, limit, block):
     assert sum(n for n, _ in expected.values()) > 50
 
 
+def test_lines_within_the_edits_of_their_length(spark):
+    rng = random.Random(4)
+    pool = [prose(rng, n) for n in (7, 8, 9, 12, 60)] + ["é" * 25, "漢字仮名交じり文の長い行をここに置く", "河" * 20 + "石を運ぶ人々の長い列が町まで続く" * 3]
+    pool.append(prose(rng, 6)[:39].strip() + "ü" * 3)
+    rows = []
+    for i in range(150):
+        line = list(rng.choice(pool))
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(line) + 1)
+            line[at : at + rng.randrange(2)] = rng.choice(["", "ö", "語", "z", "😀"])
+        rows.append((i, "".join(line)))
+    expected = {}
+    for i, line in rows:
+        limit = lambda o: 2 if min(len(line), len(o)) >= 40 else 1  # noqa: E731, B023
+        long = [o for _, o in rows[:i] if min(len(o.encode()), len(line.encode())) >= lines.MIN_BYTES]
+        expected[i] = int(any(o == line for _, o in rows[:i]) or any(abs(len(o) - len(line)) <= 2 and edits(line, o) <= limit(o) for o in long))
+    found = {r["doc_id"]: r["n_removed"] for r in lines.dedupe_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert found == expected
+    assert 20 < sum(expected.values()) < 145
+
+
 def test_lines_on_awkward_tables(spark):
     rows = lines.dedupe_lines(awkward(spark)).collect()
     assert len(rows) == 12 and sum(r["text"] is None for r in rows) == 1
