@@ -126,3 +126,30 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             break
     rest = np.flatnonzero(root != np.arange(len(nodes)))
     return nodes[rest], nodes[root[rest]]
+
+
+def spans_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, document) of the runs of marked bytes; no run crosses a document's end."""
+    edge = np.diff(np.r_[np.int8(0), inside.view(np.int8), np.int8(0)])
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    cuts = np.unique(offsets[1:-1])
+    cuts = cuts[(cuts > 0) & (cuts < len(inside))]
+    cuts = cuts[inside[cuts] & inside[cuts - 1]]
+    if len(cuts):
+        starts, ends = np.sort(np.r_[starts, cuts]), np.sort(np.r_[ends, cuts])
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+
+def packed_words(data: np.ndarray, taken: np.ndarray, sizes: np.ndarray) -> pa.LargeStringArray:
+    """The marked bytes as strings of these sizes, in order."""
+    offsets = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data[taken].tobytes()))
+
+
+def filled(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """Marks the bytes of spans that do not overlap."""
+    edge = np.zeros(size + 1, np.int8)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, ends, -1)
+    return np.cumsum(edge[:-1], dtype=np.int8).view(bool)
