@@ -6,9 +6,10 @@ sets apart. All bigrams have one order, the rarest first; a word's gram prefix i
 that order, with all places of the last one's bigram. Dynamic programming chooses two of the first three that
 share no letter and are rarest together: the pivots. One edit breaks at most one of them. Of two near words
 take the one whose prefix ends earlier in the order: a whole pivot of it stands in the other's prefix, and the
-edit lies on one side of it. So the other side is equal in both words: the pivots are indexed by the word up to the
-pivot's end and by the word from its start, and prefix bigrams look there. Lengths and a mask of letters filter, and the
-edit distance decides.
+edit lies on one side of it. So the other side is equal in both words and limits the place: the pivots are indexed by the
+word up to the pivot's end and by the word from its start, and prefix bigrams look there. Where this leaves fewer
+than ``CONTEXT`` letters, one half of the rest is equal too and joins the key, with the length of the rest. Lengths and
+a mask of letters filter, and the edit distance decides.
 
 ``variant_forms`` gives each word its most frequent near word of at least ten times its count, and follows these to the last.
 
@@ -44,10 +45,13 @@ FORM_RATIO = 10
 SYMBOLS = 26 + 64
 #: Longer runs are hashed one by one, and longer words go through the join as their SHA-256, as all their grams may be alike.
 LONG_RUN = 64
+#: Fewer letters on the equal side are joined by half of the other side.
+CONTEXT = 6
 #: Pivots under one key that meet a block of prefix grams in one task.
 BLOCK = 4096
 EDITS = 1
 PREFIX = 2 * EDITS + 1
+SHIFTS = (-1, 0, 1)
 
 _byte = np.arange(256)
 LOWER = np.where((_byte >= 65) & (_byte <= 90), _byte + 32, _byte).astype(np.uint8)
@@ -181,6 +185,34 @@ def pivots_of(place: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return pair[:, 0], pair[:, 1]
 
 
+def side_keys(
+    prefix: np.ndarray, byte_at: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray, shifts: tuple[int, ...]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(entries, keys) of bigrams at letter ``at`` of words from ``begin`` to ``end``.
+
+    ``shifts`` are the lengths, against its own, that the other word's rest may have; the other word knows its own only.
+    """
+
+    def spans(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return span_hash(prefix, byte_at[low], byte_at[high])
+
+    for side, low, high in ((0, begin, at + 2), (1, at, end)):
+        rest = end - high if side == 0 else low - begin
+        whole = np.flatnonzero(high - low >= CONTEXT)
+        yield whole, mix(spans(low[whole], high[whole]) ^ U64(side + 1))
+        for shift in shifts:
+            i = np.flatnonzero((high - low < CONTEXT) & (rest + shift >= 0))
+            other = rest[i] + shift
+            tag = mix(other.astype(U64) * U64(4) + U64(side))
+            half = other // 2
+            a, b = (low[i], high[i] + half) if side == 0 else (low[i] - half, high[i])
+            yield i, mix(spans(a, b) ^ mix(tag + U64(3)))
+            fits = other - half <= rest[i]
+            i, far, tag = i[fits], (other - half)[fits], tag[fits]
+            c, d = (end[i] - far, end[i]) if side == 0 else (begin[i], begin[i] + far)
+            yield i, mix(mix(spans(low[i], high[i]) ^ tag) + spans(c, d))
+
+
 def references(words: pa.Array, sizes: np.ndarray) -> pa.Array:
     """The words, with long ones as # and their digest, which is no word."""
     long = np.flatnonzero(sizes > LONG_RUN)
@@ -221,15 +253,14 @@ def pivot_rows(words: DataFrame, order: dict[int, tuple[int, int]], pivots: bool
             else:
                 chosen = np.flatnonzero(rank <= last[word])
             owner, at = word[chosen], offsets[word[chosen]] + place[chosen]
-            lead = np.r_[np.flatnonzero((data & 0xC0) != 0x80), len(data)]
-            prefix = prefix_hash(data)
-            left = mix(span_hash(prefix, byte_at[owner], lead[at + 2]) ^ U64(1))
-            right = span_hash(prefix, lead[at], byte_at[owner + 1])
+            starts = np.r_[np.flatnonzero((data & 0xC0) != 0x80), len(data)]
+            made = list(side_keys(prefix_hash(data), starts, offsets[owner], offsets[owner + 1], at, SHIFTS if pivots else (0,)))
+            owner, key = owner[np.concatenate([i for i, _ in made])], np.concatenate([k for _, k in made])
             masks = np.bitwise_or.reduceat(U64(1) << (symbol % 64).astype(U64), offsets[:-1]).view(np.int64)
-            owner, sizes = np.r_[owner, owner], np.diff(offsets)
+            sizes = np.diff(offsets)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.r_[left, right].view(np.int64)),
+                    pa.array(key.view(np.int64)),
                     pa.array(last[owner].astype(np.int16)),
                     pa.array(masks[owner]),
                     pa.array(sizes[owner].astype(np.int32)),
