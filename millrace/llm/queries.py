@@ -1,6 +1,6 @@
 """Imports every module that registers a query."""
 
-from millrace.llm import jaccard, language, lines, packing, pieces, pii, quality, repeats, secrets, spelling, vectors
+from millrace.llm import audit, jaccard, language, licenses, lines, packing, pieces, pii, quality, repeats, secrets, spelling, vectors
 from millrace.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "jaccard", "language", "lines", "packing", "pieces", "pii", "quality", "repeats", "secrets", "spelling", "vectors"]
+__all__ = ["ORACLES", "QUERIES", "audit", "jaccard", "language", "licenses", "lines", "packing", "pieces", "pii", "quality", "repeats", "secrets", "spelling", "vectors"]
