@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from millrace.llm.buffers import SPACE, packed_words, spans_of, text_chunks
 from millrace.llm.registry import query, table
 from millrace.llm.tables import shuffle_partitions, written
+from millrace.session import scratch_dir
 
 #: Texts of so many bytes make a shard.
 SHARD_BYTES = 1 << 24
@@ -43,7 +44,7 @@ HOT = 4096
 
 SHARD = (
     "shard bigint, ids array<bigint>, parts array<string>, points array<bigint>, capitals array<bigint>, marked array<boolean>, "
-    "hashes array<binary>, row_ends array<bigint>, terms array<int>, counts array<int>, words array<string>"
+    "hashes array<binary>, row_ends array<bigint>, gaps array<int>, counts array<int>, words array<string>"
 )
 ROW = "id bigint, part string, n_words bigint, n_distinct bigint, points bigint, capitals bigint, marked boolean, hash binary"
 
@@ -60,14 +61,27 @@ def per_document(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def shard_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(end of each row, term and count of each entry, the words that the terms number)."""
+    """(end of each row, gap and count of each entry, the words that the terms number).
+
+    A row's terms rise; a gap is a term less the one before it in the row, which packs better.
+    """
     solid = ~SPACE[data]
     starts, ends, doc = spans_of(solid, offsets)
     coded = packed_words(data, solid, ends - starts).dictionary_encode()
     width = max(1, len(coded.dictionary))
     cell, count = np.unique(doc * width + coded.indices.to_numpy(), return_counts=True)
     row_ends = np.searchsorted(cell, np.arange(1, len(offsets)) * width)
-    return row_ends, (cell % width).astype(np.int32), count.astype(np.int32), coded.dictionary
+    term, row = cell % width, cell // width
+    gap = term.copy()
+    gap[1:] -= np.where(row[1:] == row[:-1], term[:-1], 0)
+    return row_ends, gap.astype(np.int32), count.astype(np.int32), coded.dictionary
+
+
+def terms_of(gaps: np.ndarray, row_of: np.ndarray) -> np.ndarray:
+    """The terms of entries from their gaps."""
+    total = np.cumsum(gaps, dtype=np.int64)
+    before = np.concatenate([[0], total])
+    return total - before[np.searchsorted(row_of, row_of)]
 
 
 def document_terms(df: DataFrame, key: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
@@ -77,7 +91,7 @@ def document_terms(df: DataFrame, key: str = "doc_id", text: str = "text", part:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch, "text", SHARD_BYTES):
-                row_ends, terms, counts, words = shard_of(data, offsets)
+                row_ends, gaps, counts, words = shard_of(data, offsets)
                 whole = data.tobytes()
                 hashes = [hashlib.sha256(whole[a:b]).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 columns = [
@@ -89,7 +103,7 @@ def document_terms(df: DataFrame, key: str = "doc_id", text: str = "text", part:
                     one_list(pa.array(per_document(MARKS[data], offsets) > 0)),
                     one_list(pa.array(hashes, pa.binary())),
                     one_list(pa.array(row_ends, pa.int64())),
-                    one_list(pa.array(terms)),
+                    one_list(pa.array(gaps)),
                     one_list(pa.array(counts)),
                     one_list(words.cast(pa.string())),
                 ]
@@ -134,7 +148,7 @@ def matrix_rows(shards: DataFrame) -> DataFrame:
             shard = {name: left[name].combine_chunks().slice(row, 1).flatten() for name in left.column_names if name != "shard"}
             ends = shard["row_ends"].to_numpy()
             row_of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-            terms, counts = term[shard["terms"].to_numpy()], shard["counts"].to_numpy()
+            terms, counts = term[terms_of(shard["gaps"].to_numpy(), row_of)], shard["counts"].to_numpy()
             # Entries of a row are of different terms, as the global numbers are.
             order = np.lexsort((terms, row_of))
             new = np.ones(len(order), bool)
@@ -220,7 +234,9 @@ def interactions(counted: DataFrame) -> DataFrame:
 
 def audit(df: DataFrame, labels: DataFrame) -> DataFrame:
     """The report of the five filters over documents (doc_id, text, source) and labels (doc_id, quality, toxic)."""
-    rows = written(matrix_rows(written(document_terms(df), "shards")), "matrix-rows")
+    path = scratch_dir(df.sparkSession, "shards")
+    document_terms(df).write.option("compression", "zstd").parquet(path)
+    rows = written(matrix_rows(df.sparkSession.read.schema(SHARD).parquet(path)), "matrix-rows")
     flagged = with_first_of_text(rows)
     flagged = flagged.select("id", "part", failures(flagged).alias("fails"))
     known = labels.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(
