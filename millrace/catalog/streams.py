@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import (
@@ -27,17 +29,21 @@ from millrace.catalog.joins import INTERVAL_JOIN, THRESHOLD, TOKENS, of_type
 from millrace.catalog.keyed import CHANGES, FLOOR, JUMPS, RUNNING_AVG, TOP3, VALUE_COUNTS, three_of
 from millrace.catalog.windowed import COUNT_SLIDE, LATE, SESSIONS, TOP, TUMBLE, count_and_sum, in_seconds
 from millrace.functions.text import java_split
-from millrace.operators import topn, windows
+from millrace.operators import running, topn, windows
 from millrace.operators.combine import keyed_connect, lateral_tokens, window_join
 from millrace.operators.route import tag_first
+from millrace.plans.scan import Running, first_value, last_value, running_count, running_max, running_sum
 from millrace.session import scratch_dir
 from millrace.sources.log import FileLog, copy_log
 from millrace.sources.text import stream_lines
 from millrace.streaming import processors
 from millrace.streaming.batchwise import follow_lateness, follow_settings
+from millrace.streaming.keyed import follow_running, follow_top
 from millrace.streaming.run import BatchTable, Replay, run_batches, run_to_table
 
 STEPS = 4
+#: A step of a replay has no more rows than this where a batch meets in one task per key.
+BATCH_ROWS = 100_000
 HOUR_BOUND = "INTERVAL 2 HOURS"
 SPOKEN = f"SELECT unnest({TOKENS}) AS word FROM conversations"
 SPOKEN_COUNTS = f"SELECT word, count(*) AS cnt FROM ({SPOKEN}) GROUP BY word"
@@ -57,6 +63,11 @@ def replay(rows: DataFrame, end: DataFrame | None = None, order: str = "seq") ->
     return Replay(rows, order, STEPS, end)
 
 
+def small_steps(rows: DataFrame, end: DataFrame | None = None) -> Replay:
+    """For processors, which take a key's rows of a batch as one frame: the steps grow with the table, not the batches."""
+    return Replay(rows, "seq", max(STEPS, -(-rows.count() // BATCH_ROWS)), end)
+
+
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table's files as a stream, for queries that no order of rows changes."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
@@ -129,12 +140,17 @@ def restart_wordcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_state_jump_alert_stream", JUMPS)
 def state_jump_alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed(spark, sf_dir, processors.JumpAlerts(JUMP), "jumps")
+    last = F.coalesce("last", F.lit(0))
+    return running_values(
+        spark, sf_dir, "jumps", {"last": last_value(F.col("vc"), before=True)},
+        lambda rows: rows.withColumn("last", last).where(F.abs(F.col("vc") - last) > JUMP),
+    )
 
 
 @query("q_changelog_sum_stream", CHANGES)
 def changelog_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed(spark, sf_dir, processors.SumChangelog(), "changes")
+    values = {"total": running_sum(F.col("vc").cast("bigint")), "n": running_count()}
+    return running_values(spark, sf_dir, "changes", values, lambda rows: running.change_rows(rows, "vc", "total", "n"))
 
 
 @query(
@@ -144,7 +160,7 @@ def changelog_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def event_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sensor(spark, sf_dir).select("uid", "seq", "ts", "vc")
-    source = replay(rows, end_of_input(rows))
+    source = small_steps(rows, end_of_input(rows))
     stream = source.stream().withColumn("time_ms", F.unix_millis("ts")).withWatermark("ts", "2 hours")
     timers = processors.apply(stream, "uid", processors.FirstRowTimer(6 * HOUR_MS), "EventTime")
     return run_to_table(timers, "timers", replays=[source])
@@ -154,10 +170,24 @@ def processed(
     spark: SparkSession, sf_dir: str, processor: processors.KeyedProcessor, label: str
 ) -> DataFrame:
     """A processor over the readings by user, in arrival order."""
-    source = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    source = small_steps(sensor(spark, sf_dir).select("uid", "seq", "vc"))
     return run_to_table(processors.apply(source.stream(), "uid", processor), label, replays=[source])
 
 
+def running_values(
+    spark: SparkSession,
+    sf_dir: str,
+    label: str,
+    values: dict[str, Running],
+    then: Callable[[DataFrame], DataFrame],
+    columns: Sequence[str | Column] = ("uid", "seq", "vc"),
+    keys: Sequence[str] = ("uid",),
+) -> DataFrame:
+    """Running values of the readings by user, whatever share of them one user has."""
+    source = replay(sensor(spark, sf_dir).select(*columns))
+    return follow_running(source.stream(), keys, ["seq"], values, label, then, replays=[source])
+
+
 def log_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The readings as log records, the earlier and the later half."""
     records = sensor(spark, sf_dir).select(
@@ -283,19 +313,22 @@ def topn_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_state_top3_stream", TOP3)
 def state_top3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = processed(spark, sf_dir, processors.TopValues(3), "top")
+    source = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    top = follow_top(source.stream(), ["uid"], ["seq"], "vc", 3, "top", replays=[source])
     return top.select("uid", "seq", *three_of("top"))
 
 
 @query("q_state_value_counts_stream", VALUE_COUNTS)
 def state_value_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed(spark, sf_dir, processors.ValueCounts(), "counts")
+    """An entry of the map per user and value."""
+    return running_values(spark, sf_dir, "counts", {"cnt": running_count()}, lambda rows: rows, keys=("uid", "vc"))
 
 
 @query("q_state_running_avg_stream", RUNNING_AVG)
 def state_running_avg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds = processed(spark, sf_dir, processors.RunningFold(), "folds")
-    return folds.select("uid", "seq", "mean")
+    values = {"total": running_sum(F.col("vc").cast("bigint")), "n": running_count()}
+    mean = (F.col("total").cast("double") / F.col("n")).alias("mean")
+    return running_values(spark, sf_dir, "folds", values, lambda rows: rows.select("uid", "seq", mean))
 
 
 @query("q_count_slide_stream", COUNT_SLIDE)
@@ -346,30 +379,36 @@ def restart_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return follow_threshold(spark, sf_dir, (STEPS // 2, STEPS))
 
 
-def folded(spark: SparkSession, sf_dir: str, processor: processors.KeyedProcessor) -> DataFrame:
-    rows = sensor(spark, sf_dir).select("uid", "seq", "id", epoch_s("ts").alias("ts"), "vc")
-    source = replay(rows)
-    return run_to_table(processors.apply(source.stream(), "uid", processor), "folded", replays=[source])
+def folded(spark: SparkSession, sf_dir: str, values: dict[str, Running], then: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return running_values(spark, sf_dir, "folded", values, then, ("uid", "seq", "id", epoch_s("ts").alias("ts"), "vc"))
 
 
 @query("q_running_max_stream", REGISTRY["q_running_max"].oracle)
 def running_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folded(spark, sf_dir, processors.RunningExtreme()).drop("row_seq")
+    first = {f"first_{c}": first_value(F.col(c)) for c in ("id", "ts")}
+    names = [F.col("first_id").alias("id"), F.col("first_ts").alias("ts"), F.col("best").alias("vc")]
+    return folded(spark, sf_dir, first | {"best": running_max(F.col("vc"))}, lambda rows: rows.select("uid", "seq", *names))
 
 
 @query("q_running_maxby_stream", REGISTRY["q_running_maxby"].oracle)
 def running_maxby_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folded(spark, sf_dir, processors.RunningExtreme(whole_row=True))
+    # The earliest row of equal values is the greater struct.
+    whole = F.struct(F.col("vc"), (-F.col("seq")).alias("less"), F.col("id"), F.col("ts"), F.col("seq").alias("row_seq"))
+    best = {"best": running_max(F.when(F.col("vc").isNotNull(), whole))}
+    return folded(spark, sf_dir, best, lambda rows: rows.select("uid", "seq", "best.id", "best.ts", "best.vc", "best.row_seq"))
 
 
 @query("q_running_reduce_stream", REGISTRY["q_running_reduce"].oracle)
 def running_reduce_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folded(spark, sf_dir, processors.RunningReduce())
+    values = {"first_id": first_value(F.col("id")), "total": running_sum(F.col("vc").cast("bigint"))}
+    names = [F.col("first_id").alias("id"), "ts", F.col("total").alias("vc")]
+    return folded(spark, sf_dir, values, lambda rows: rows.select("uid", "seq", *names))
 
 
 @query("q_state_running_sum_stream", REGISTRY["q_state_running_sum"].oracle)
 def state_running_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed(spark, sf_dir, processors.RunningFold(), "sums").select("uid", "seq", "total")
+    values = {"total": running_sum(F.col("vc").cast("bigint"))}
+    return running_values(spark, sf_dir, "sums", values, lambda rows: rows.select("uid", "seq", "total"))
 
 
 @query(
@@ -390,21 +429,27 @@ def count_tumble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def state_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lifetime of a year on the clock, far beyond the run: equal to the plain last value."""
-    source = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    source = small_steps(sensor(spark, sf_dir).select("uid", "seq", "vc"))
     held = processors.apply(source.stream(), "uid", processors.ExpiringValue(FLOOR, 365 * 24 * HOUR_MS), "ProcessingTime")
     return run_to_table(held, "ttl", replays=[source], single_batch=True)
 
 
 @query(
     "q_process_context_stream",
-    f"""WITH {SENSOR} SELECT uid, seq, epoch_us(ts) // 1000 AS time_ms, TRUE AS in_time FROM sensor""",
+    f"""WITH {SENSOR}, half AS (SELECT (min(seq) + max(seq)) // 2 AS cut FROM sensor), step AS (
+      SELECT uid, seq, epoch_us(ts) // 1000 AS time_ms, seq > cut AS later FROM sensor, half)
+    SELECT uid, seq, time_ms, CASE WHEN later THEN (SELECT max(time_ms) FROM step WHERE NOT later) ELSE 0 END AS watermark_ms
+    FROM step""",
 )
 def process_context_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key, time and watermark of each row as its batch sees them; no ordered row is behind."""
-    source = replay(sensor(spark, sf_dir).select("uid", "seq", "ts"))
+    """Key, time and watermark of each row as its batch sees them: the largest time of the step before, 0 in the first."""
+    rows = sensor(spark, sf_dir).select("uid", "seq", "ts")
+    span = rows.agg(F.min("seq"), F.max("seq")).first()
+    halves = rows.withColumn("half", (F.col("seq") > (span[0] + span[1]) // 2).cast("int") if span[0] is not None else F.lit(0))
+    source = Replay(halves, "half", 2)
     stream = source.stream().withColumn("time_ms", F.unix_millis("ts")).withWatermark("ts", "0 seconds")
     made = run_to_table(processors.apply(stream, "uid", processors.RowContext(), "EventTime"), "context", replays=[source])
-    return made.select("uid", "seq", "time_ms", (F.col("time_ms") >= F.col("watermark_ms")).alias("in_time"))
+    return made.select("uid", "seq", "time_ms", "watermark_ms")
 
 
 @query("q_side_output_route_stream", REGISTRY["q_side_output_route"].oracle)

@@ -8,7 +8,7 @@ less the allowed delay and one millisecond. The running maximum is global, and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,12 +139,15 @@ def source_watermark(
     delay_ms: int,
     idle_ms: int,
     chunk_rows: int = CHUNK_ROWS,
+    before: Mapping[str, tuple[int | None, int | None]] | None = None,
+    low_before_ms: int | None = None,
 ) -> DataFrame:
     """Adds ``watermark_ms`` of several sources together: the lowest of the active ones.
 
     A source without an arrival for ``idle_ms`` of ``clock_ms`` is left out. One that
     has never sent anything counts as idle. The watermark never goes back when an
-    idle source returns.
+    idle source returns. Where the table is one batch of a stream, ``before`` gives each source's largest
+    event time and latest arrival so far, and ``low_before_ms`` the watermark.
     """
     scan = OrderedScan(
         df.withColumns({"__t": time_ms, "__now": clock_ms}), [], arrival, chunk_rows
@@ -155,13 +158,20 @@ def source_watermark(
         values[f"__t_{i}"] = running_max(F.when(mine, F.col("__t")))
         values[f"__at_{i}"] = last_value(F.when(mine, F.col("__now")))
     scan = scan.add(**values)
+    if before:
+        past = {name: before.get(name, (None, None)) for name in sources}
+        scan = scan.map(
+            **{f"__t_{i}": F.greatest(f"__t_{i}", F.lit(past[name][0]).cast("bigint")) for i, name in enumerate(sources)},
+            **{f"__at_{i}": F.coalesce(f"__at_{i}", F.lit(past[name][1]).cast("bigint")) for i, name in enumerate(sources)},
+        )
     active = [
         F.when(F.col("__now") - F.col(f"__at_{i}") <= idle_ms, F.col(f"__t_{i}"))
         for i in range(len(sources))
     ]
     lowest = F.least(*active) if len(active) > 1 else active[0]
     scan = scan.map(__low=lowest - (delay_ms + 1)).add(watermark_ms=running_max(F.col("__low")))
-    return scan.result().select(*df.columns, "watermark_ms")
+    watermark = F.greatest("watermark_ms", F.lit(low_before_ms).cast("bigint"))
+    return scan.result().select(*df.columns, watermark.alias("watermark_ms"))
 
 
 def tag_late_of_pair(
@@ -172,18 +182,35 @@ def tag_late_of_pair(
     delay_ms: int,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Both inputs in one table with ``side`` and ``late``.
-
-    A row is late when its time lies below the watermark it sees, which is the lower
-    of both inputs' watermarks and absent until both have sent a row.
-    """
+    """Both inputs in one table with ``side`` and ``late``; see ``tag_late_sides``."""
     both = left.withColumn("side", F.lit("left")).unionByName(
         right.withColumn("side", F.lit("right")), allowMissingColumns=True
     )
+    return tag_late_sides(both, time_ms, arrival, delay_ms, chunk_rows)
+
+
+def tag_late_sides(
+    both: DataFrame,
+    time_ms: Column,
+    arrival: Sequence[str],
+    delay_ms: int,
+    chunk_rows: int = CHUNK_ROWS,
+    before: tuple[int | None, int | None] = (None, None),
+) -> DataFrame:
+    """Adds ``late`` to rows whose ``side`` is left or right.
+
+    A row is late when its time lies below the watermark it sees, which is the lower
+    of both inputs' watermarks and absent until both have sent a row. ``before`` gives the largest times
+    of either side in the batches before this one.
+    """
     scan = OrderedScan(both.withColumn("__t", time_ms), [], arrival, chunk_rows).add(
         __l=running_max(F.when(F.col("side") == "left", F.col("__t")), before=True),
         __r=running_max(F.when(F.col("side") == "right", F.col("__t")), before=True),
     )
+    if before != (None, None):
+        scan = scan.map(
+            __l=F.greatest("__l", F.lit(before[0]).cast("bigint")), __r=F.greatest("__r", F.lit(before[1]).cast("bigint"))
+        )
     watermark = F.when(
         F.col("__l").isNotNull() & F.col("__r").isNotNull(),
         F.least("__l", "__r") - (delay_ms + 1),

@@ -217,16 +217,18 @@ def sum_changelog(
         __new=running_sum(F.col(value).cast("bigint")), __n=running_count()
     )
 
-    def change(op: str, total: Column) -> Column:
-        return F.struct(F.lit(op).alias("op"), total.alias("total"))
+    rows = change_rows(scan.result(), value, "__new", "__n")
+    return rows.select(*order, *keys, "op", "total")
 
-    new = F.col("__new")
+
+def change_rows(df: DataFrame, value: str, total: str, n: str) -> DataFrame:
+    """Rows with their running sum and count as change rows: ``op`` and ``total`` in place of the three columns."""
+
+    def change(op: str, amount: Column) -> Column:
+        return F.struct(F.lit(op).alias("op"), amount.alias("total"))
+
+    new = F.col(total)
     old = new - F.coalesce(F.col(value), F.lit(0)).cast("bigint")
-    changes = F.when(F.col("__n") == 1, F.array(change("+I", new))).otherwise(
-        F.array(change("-U", old), change("+U", new))
-    )
-    return (
-        scan.result()
-        .select(*order, *keys, F.explode(changes).alias("__change"))
-        .select(*order, *keys, "__change.op", "__change.total")
-    )
+    changes = F.when(F.col(n) == 1, F.array(change("+I", new))).otherwise(F.array(change("-U", old), change("+U", new)))
+    others = [c for c in df.columns if c not in (value, total, n)]
+    return df.select(*others, F.explode(changes).alias("__change")).select(*others, "__change.op", "__change.total")

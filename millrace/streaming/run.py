@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,12 +42,12 @@ class Replay:
 
     def publish(self) -> None:
         """Hand the next step to the stream; nothing happens after the last."""
-        staged = self.spark.read.schema(f"{_ddl(self.schema)}, __step int").parquet(self.staged)
+        staged = self.spark.read.schema(f"{ddl(self.schema)}, __step int").parquet(self.staged)
         staged.where(F.col("__step") == self.next).drop("__step").write.mode("append").parquet(self.path)
         self.next += 1
 
 
-def _ddl(schema: T.StructType) -> str:
+def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
@@ -74,7 +74,6 @@ def _finish(
     """Run over what is there, or over each step of the replays in turn, up to ``upto`` of them."""
     configure(spark)
     trigger = {"once": True} if single_batch else {"availableNow": True}
-    last = max((r.steps for r in replays), default=1)
     with _state_partitions(spark, partitions):
         while True:
             for replay in replays:
@@ -82,7 +81,7 @@ def _finish(
                     replay.publish()
             writer().trigger(**trigger).start().awaitTermination()
             done = max((r.next for r in replays), default=1)
-            if done >= last or (upto is not None and done >= upto):
+            if all(r.next >= r.steps for r in replays) or (upto is not None and done >= upto):
                 break
 
 
@@ -122,6 +121,23 @@ def run_to_table(
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def run_to_sink(
+    stream: DataFrame,
+    sink: str,
+    options: Mapping[str, str],
+    label: str,
+    checkpoint: str,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
+) -> None:
+    """Run a stream over all available input into a data source that takes streams."""
+
+    def writer() -> DataStreamWriter:
+        return stream.writeStream.queryName(label).format(sink).options(**options).option("checkpointLocation", checkpoint)
+
+    _finish(stream.sparkSession, writer, None, replays, upto)
+
+
 def run_batches(
     stream: DataFrame,
     handle: Callable[[DataFrame, int], None],
