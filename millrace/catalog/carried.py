@@ -124,9 +124,7 @@ def log_stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.split("value", ",")
     readings = records.select(F.col("key").alias("id"), F.col("created").alias("ts"), F.try_element_at(fields, F.lit(3)).cast("int").alias("vc"))
     counts = windows.time_windows(readings, "ts", WINDOW, count_and_sum(), keys=["id"])
-    backlog = Backlog(path, limit, "readings")
-    for upto in (STEPS // 2, None):
-        made = run_to_table(counts, "read-log", out, checkpoint, replays=[backlog], upto=upto)
-    return in_seconds(made)
+    run_to_table(counts, "read-log", out, checkpoint, replays=[Backlog(path, limit, "readings")], upto=STEPS // 2)
+    return in_seconds(run_to_table(counts, "read-log", out, checkpoint, drain=True))
 
 

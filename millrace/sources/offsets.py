@@ -279,23 +279,19 @@ def log_table(spark: SparkSession, path: str) -> DataFrame:
 class Backlog:
     """What a group has not read yet, in the steps that ``limit`` allows; a run takes one step as one micro-batch.
 
-    Spark gives a source of this kind one batch per run, so what the last batch's watermark closes comes out in one more run.
+    Spark gives a source of this kind one batch per run and then ends it, before it closes the windows that the batch's
+    watermark reaches. Use ``run_to_table(..., drain=True)`` to read to the end in one run.
     """
 
     def __init__(self, path: str, limit: int, group: str = "default") -> None:
         self.log, self.group, self.limit = LogFolder(path), group, limit
-        self.next, self.owed = 0, True
-
-    def left(self) -> int:
-        done = (self.log.planned(self.group) or {"offset": 0})["offset"]
-        return -(-(self.log.last()["end"] - done) // self.limit)
+        self.next = 0
 
     @property
     def steps(self) -> int:
-        left = self.left()
-        return self.next + left + (left > 0 or self.owed)
+        done = (self.log.planned(self.group) or {"offset": 0})["offset"]
+        return self.next + -(-(self.log.last()["end"] - done) // self.limit)
 
     def publish(self) -> None:
         """The records are there; the source hands them out."""
-        self.owed = self.left() > 0
         self.next += 1

@@ -70,9 +70,18 @@ def _finish(
     replays: Sequence[Replay] = (),
     upto: int | None = None,
     single_batch: bool = False,
+    drain: bool = False,
 ) -> None:
     """Run over what is there, or over each step of the replays in turn, up to ``upto`` of them."""
     configure(spark)
+    if drain:
+        with _state_partitions(spark, partitions):
+            running = writer().start()
+            try:
+                running.processAllAvailable()
+            finally:
+                running.stop()
+        return
     trigger = {"once": True} if single_batch else {"availableNow": True}
     with _state_partitions(spark, partitions):
         while True:
@@ -95,10 +104,12 @@ def run_to_table(
     single_batch: bool = False,
     replays: Sequence[Replay] = (),
     upto: int | None = None,
+    drain: bool = False,
 ) -> DataFrame:
     """Run a stream over all available input into Parquet; return the table written.
 
-    With ``replays`` each of their steps is published and taken as one micro-batch.
+    With ``replays`` each of their steps is published and taken as one micro-batch. ``drain`` lets a source that
+    sets the size of its batches go through all of them, and close what their watermark reaches, in one run.
 
     Giving the same ``path`` and ``checkpoint`` again resumes where the run stopped.
     Processors on the ``ProcessingTime`` clock have no last batch, as a timer may
@@ -117,7 +128,7 @@ def run_to_table(
             .option("checkpointLocation", checkpoint)
         )
 
-    _finish(spark, writer, partitions, replays, upto, single_batch)
+    _finish(spark, writer, partitions, replays, upto, single_batch, drain)
     return spark.read.schema(stream.schema).parquet(path)
 
 

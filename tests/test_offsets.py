@@ -76,6 +76,8 @@ def test_limit_holds_over_a_restart(spark):
         made = run_to_table(stream, "limited", out, checkpoint, replays=[backlog], upto=upto and 1)
         sizes.append(made.count())
     assert sizes == [30, 60, 100]
+    again = run_to_table(offsets.log_stream(spark, path, "earliest", 30, "h"), "drained", drain=True)
+    assert values(again) == list(range(100))
     assert values(made) == list(range(100))
 
 
