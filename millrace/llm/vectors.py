@@ -1,11 +1,14 @@
-"""Near-duplicate embeddings by prefixes of projection signs.
-
-Each pass deals the vectors of a label by the signs of some random projections; all vectors of
-equal signs meet, however many they are. The signs of a pass follow the size of the label,
-and the passes follow the signs so that a pair at the threshold fails to meet with a chance of ``MISS``; labels of
-up to ``BLOCK`` vectors are compared whole. Of those that meet, the ones with a sketch of 512 further signs
-near another's get their vectors back, and the exact cosine decides for every pair of these; only a
-spanning forest of the true links leaves the task. Prefixes with many vectors are split into blocks that meet pairwise.
+"""Near-duplicate embeddings by sorted projection passes.
+
+Each pass orders the vectors of a label by concatenated random hashes, the signs of random projections, and
+compares every vector with the ``WINDOW`` ones after it. The order is cut by rank into blocks of equal size, each with the
+first rows of the next one, so a large label or many equal hashes fall on many tasks. The number of signs and of passes follows the
+label's size, so that a pair at the threshold shares the first signs of no pass with a chance of ``MISS``. A window that
+ends among vectors of the same first signs may have cut such a pair: its rows go into further
+passes, of these rows alone and with windows twice as wide, until no window ends so. No number of neighbours is a cap.
+
+Windows compare sketches of 512 further signs; rows with a near sketch get their vectors back and the exact cosine
+decides. Only a spanning forest of a block's true links leaves its task; links of all passes are united.
 Once components are known, all pairs within each are compared exactly, in blocks, so link counts have
 no cap. The passes move sketches, not vectors.
 
@@ -24,25 +27,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.buffers import forest
 from millrace.llm.registry import query, table
-from millrace.llm.tables import components, crowds, paired_blocks, shuffle_partitions, whole_groups, written
+from millrace.llm.tables import components, extended, shuffle_partitions, whole_groups, written
 
 MIN_COSINE = 0.98
 #: Chance that a pair at the threshold meets in no pass.
 MISS = 1e-5
-#: Signs are added to a prefix as long as by chance so many vectors of the label share it.
+#: Vectors that each one is compared with on either side, in the first passes.
 WINDOW = 32
 SKETCH_BITS = 512
-#: Vectors of a component that meet another such block in one task; the vectors of a label compared without a prefix.
+#: By chance a quarter of a window shares the first signs; this many more signs order these.
+SPARE, FURTHER = 2, 8
+#: Ranks of a block, and at least four windows.
+RANKS = 4096
+#: Vectors of a component that meet another such block in one task.
 BLOCK = 512
-#: Vectors of one prefix that meet another such block in one task.
-CROWD = 1024
-PAIRS = 1 << 18
-PREFIX = ["pass", "grp", "dim", "place"]
+ORDER = ["pass", "grp", "dim", "place", "id"]
 
 
 def planes(dim: int, signs: int) -> np.ndarray:
@@ -55,9 +60,9 @@ def agreement(min_cosine: float) -> float:
     return 1 - math.acos(min_cosine) / math.pi
 
 
-def depths(sizes: np.ndarray) -> np.ndarray:
-    """The signs of a prefix for labels of these sizes."""
-    return np.where(sizes <= BLOCK, 0, np.log2(np.maximum(sizes, WINDOW) / WINDOW).astype(np.int64))
+def depths(sizes: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The first signs that decide, for labels of these sizes; none where a window holds the label."""
+    return np.where(sizes <= window, 0, np.ceil(np.log2(np.maximum(sizes, window) / window)).astype(np.int64) + SPARE)
 
 
 def passes_for(depth: int, min_cosine: float = MIN_COSINE) -> int:
@@ -85,8 +90,11 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def sketched(df: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """(pass, grp, dim, place, id, sketch) for each vector and pass; df has (id, grp, v)."""
+def sketched(df: DataFrame, window: int = WINDOW, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """(pass, grp, dim, place, id, sketch) for each vector and pass; df has (id, grp, v).
+
+    ``place`` is the concatenated hash, its first signs ahead; ``FURTHER`` ones come last.
+    """
     sized = df.withColumn("dim", F.size("v"))
     sized = sized.join(sized.groupBy("grp", "dim").agg(F.count("*").alias("size")), ["grp", "dim"]).select("id", "grp", "v", "size")
 
@@ -94,17 +102,17 @@ def sketched(df: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
         kept: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             dims = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            depth = depths(batch.column(3).to_numpy())
+            depth = depths(batch.column(3).to_numpy(), window)
             for dim, d in np.unique(np.stack([dims, depth], axis=1), axis=0).tolist():
                 part = batch.take(pa.array(np.flatnonzero((dims == dim) & (depth == d))))
-                passes = passes_for(d, min_cosine)
+                passes, bits = passes_for(d, min_cosine), d + FURTHER
                 if (dim, d) not in kept:
-                    kept[dim, d] = planes(dim, passes * d)
+                    kept[dim, d] = planes(dim, passes * bits)
                 signs = unit(as_matrix(part.column(2), dim)).astype(np.float32) @ kept[dim, d] > 0
                 sketch = pa.array([r.tobytes() for r in np.packbits(signs[:, :SKETCH_BITS], axis=1)], pa.binary())
                 n = len(part)
                 for p in range(passes):
-                    place = signs[:, SKETCH_BITS + p * d : SKETCH_BITS + (p + 1) * d] @ (np.int64(1) << np.arange(d, dtype=np.int64))
+                    place = signs[:, SKETCH_BITS + p * bits : SKETCH_BITS + (p + 1) * bits] @ (np.int64(1) << np.arange(bits)[::-1])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(n, p, np.int32)), part.column(1), pa.array(np.full(n, dim, np.int32)),
                          pa.array(place, pa.int64()), part.column(0), sketch],
@@ -115,77 +123,113 @@ def sketched(df: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
     return sized.mapInArrow(run, f"pass int, grp {kind}, dim int, place bigint, id bigint, sketch binary")
 
 
-def near_sketches(sketch: np.ndarray, side: np.ndarray | None, limit: int) -> np.ndarray:
-    """Which rows have a sketch within so many signs of another row's, on the other side if there are sides."""
-    n = len(sketch)
-    words = np.ascontiguousarray(sketch.T)
-    near = np.zeros(n, bool)
-    step = max(1, PAIRS // n)
-    for lo in range(0, n, step):
-        hi = min(n, lo + step)
-        differ = np.zeros((hi - lo, n), np.uint16)
-        for w in words:
-            differ += np.bitwise_count(w[lo:hi, None] ^ w[None, :])
-        hit = differ <= limit
-        hit[np.arange(hi - lo), np.arange(lo, hi)] = False
-        if side is not None:
-            hit &= side[lo:hi, None] != side[None, :]
-        near[lo:hi] = hit.any(axis=1)
-    return near
-
-
-def bounds(rows: pa.Table, keys: list[str]) -> list[tuple[int, int]]:
-    """Starts and ends of the runs of equal keys."""
-    new = np.zeros(max(0, len(rows) - 1), bool)
-    for k in keys:
-        c = rows[k].to_numpy()
-        new |= c[1:] != c[:-1]
-    cut = np.flatnonzero(new) + 1
-    return list(zip(np.r_[0, cut].tolist(), np.r_[cut, len(rows)].tolist(), strict=True))
-
-
-def meetings(sketches: DataFrame, limit: int) -> DataFrame:
-    """(pass, grp, dim, place, lo, hi, own, id): the rows that meet a near sketch under a prefix."""
-    large = written(crowds(sketches, PREFIX, CROWD), "vector-crowds")
-    blocked = paired_blocks(sketches, PREFIX, "id", large)
-    key = [*PREFIX, "lo", "hi"]
-    out = [*key, "own", "id"]
+def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Adds ``rank``, the place of each row in the order, which must be total; no row is moved but by the sort."""
+    schema = extended(rows, ("_part", "int"), ("_index", "bigint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, key):
-            sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(rows), -1)
-            lo, hi, own = (rows[c].to_numpy() for c in ("lo", "hi", "own"))
-            keep = np.zeros(len(rows), bool)
-            for s, e in bounds(rows, key):
-                if e - s > 1:
-                    keep[s:e] = near_sketches(sketch[s:e], own[s:e] if lo[s] != hi[s] else None, limit)
-            if keep.any():
-                yield from rows.select(out).filter(pa.array(keep)).combine_chunks().to_batches()
-
-    schema = blocked.select(*out).schema
-    return blocked.repartition(shuffle_partitions(sketches), *key).sortWithinPartitions(*key).mapInArrow(run, schema)
-
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.num_rows
+            more = [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], schema.names)
+            at += n
+
+    dealt = rows.repartitionByRange(shuffle_partitions(rows), *order).sortWithinPartitions(*order)
+    placed = written(dealt.mapInArrow(run, schema), "sorted")
+    # One row per partition.
+    before = F.sum("n").over(Window.orderBy("_part")) - F.col("n")
+    bases = placed.groupBy("_part").agg(F.count("*").alias("n")).select("_part", before.alias("_base"))
+    return placed.join(F.broadcast(bases), "_part").withColumn("rank", F.col("_base") + F.col("_index")).drop("_part", "_index", "_base")
+
+
+def runs_of(rows: pa.Table, columns: list[str]) -> np.ndarray:
+    """The number of the run of equal values that each row lies in."""
+    new = np.zeros(len(rows), bool)
+    for name in columns:
+        c = rows[name].to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return np.cumsum(new)
+
+
+def windows(rank: np.ndarray, run: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one run whose ranks lie at most ``width`` apart; rows are in the order of runs and ranks."""
+    for o in range(1, width + 1):
+        a = np.flatnonzero(run[o:] == run[:-o]) if o < len(run) else np.zeros(0, np.int64)
+        if not len(a):
+            return
+        yield a[rank[a + o] - rank[a] <= width], a[rank[a + o] - rank[a] <= width] + o
+
+
+def met_in_windows(sketches: DataFrame, window: int, limit: int) -> DataFrame:
+    """(block, run, rank, id, cut): the rows with a near sketch in a window, and with ``cut`` those whose window ends too early."""
+    block = max(RANKS, 4 * window)
+    rank = F.col("rank")
+    own = F.floor(rank / block)
+    # The first rows of a block are compared with the last ones of the block before, too.
+    blocks = F.when((rank % block < window) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
+    dealt = ranked(sketches, ORDER).withColumn("block", F.explode(blocks))
 
-def true_links(met: DataFrame, vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """(a, b) that span the links, by cosines in double precision, among the rows of each prefix and pair of blocks."""
-    key = [*PREFIX, "lo", "hi"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["block"]):
+            sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(rows), -1)
+            label = runs_of(rows, ["block", "pass", "grp", "dim"])
+            rank, first = rows["rank"].to_numpy(), rows["place"].to_numpy() >> FURTHER
+            near, cut = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+            for a, b in windows(rank, label, window):
+                differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+                hit = differ <= limit
+                near[a[hit]] = near[b[hit]] = True
+            a = np.flatnonzero((label[window:] == label[:-window]) & (first[window:] == first[:-window])) if len(rows) > window else []
+            cut[a] = True
+            cut[np.asarray(a, np.int64) + window] = True
+            keep = np.flatnonzero(near | cut)
+            yield pa.RecordBatch.from_arrays(
+                [rows["block"].combine_chunks().take(pa.array(keep)), pa.array(label[keep]), pa.array(rank[keep]),
+                 rows["id"].combine_chunks().take(pa.array(keep)), pa.array(near[keep]), pa.array(cut[keep])],
+                ["block", "run", "rank", "id", "near", "cut"],
+            )
+
+    schema = "block bigint, run bigint, rank bigint, id bigint, near boolean, cut boolean"
+    return dealt.repartition(shuffle_partitions(sketches), "block").sortWithinPartitions("block", "rank").mapInArrow(run, schema)
+
+
+def true_links(met: DataFrame, vectors: DataFrame, window: int, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """(a, b) that span the links of each block, by cosines in double precision."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches, key):
+        for rows in whole_groups(batches, ["block"]):
             rows = rows.combine_chunks()
-            lo, hi, own, ids = (rows[c].to_numpy() for c in ("lo", "hi", "own", "id"))
-            vectors = rows["v"].chunk(0)
-            for s, e in bounds(rows, key):
-                x = unit(as_matrix(vectors.slice(s, e - s), len(vectors[s])))
-                near = np.triu(x @ x.T >= min_cosine, 1)
-                if lo[s] != hi[s]:
-                    near &= own[s:e, None] != own[None, s:e]
-                i, j = np.nonzero(near)
-                if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in forest(ids[s:e][i], ids[s:e][j])], ["a", "b"])
-
-    joined = met.join(vectors.select("id", "v"), "id").select(*key, "own", "id", "v")
-    return joined.repartition(shuffle_partitions(met), *key).sortWithinPartitions(*key).mapInArrow(run, "a bigint, b bigint").distinct()
+            lengths = rows["v"].combine_chunks().value_lengths().to_numpy()
+            for dim in np.unique(lengths).tolist():
+                part = rows.take(pa.array(np.flatnonzero(lengths == dim))).combine_chunks()
+                x = unit(as_matrix(part["v"].combine_chunks(), dim))
+                ids, rank = part["id"].to_numpy(), part["rank"].to_numpy()
+                left, right = [], []
+                for a, b in windows(rank, runs_of(part, ["block", "run"]), window):
+                    good = np.einsum("ij,ij->i", x[a], x[b]) >= min_cosine
+                    left.append(ids[a[good]])
+                    right.append(ids[b[good]])
+                if left and sum(map(len, left)):
+                    low, high = forest(np.concatenate(left), np.concatenate(right))
+                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+
+    joined = met.join(vectors.select("id", "v"), "id").select("block", "run", "rank", "id", "v")
+    dealt = joined.repartition(shuffle_partitions(met), "block").sortWithinPartitions("block", "rank")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def linked_in_passes(vectors: DataFrame, min_cosine: float = MIN_COSINE, window: int = WINDOW) -> DataFrame:
+    """(a, b) that span the links among vectors (id, grp, v), from as many rounds of passes as windows need."""
+    active, edges = vectors, None
+    while True:
+        met = written(met_in_windows(sketched(active, window, min_cosine), window, sketch_limit(min_cosine)), "vector-windows")
+        found = written(true_links(met.where("near"), vectors, window, min_cosine), "vector-edges")
+        edges = found if edges is None else edges.union(found)
+        again = written(met.where("cut").select("id").distinct(), "vector-again")
+        if again.isEmpty():
+            return edges.distinct()
+        active, window = vectors.join(again, "id", "left_semi"), 2 * window
 
 
 def counted_links(members: DataFrame, min_cosine: float = MIN_COSINE, block: int = BLOCK) -> DataFrame:
@@ -244,7 +288,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     good = written(good.groupBy("id").agg(F.min(F.struct("grp", "v")).alias("x")).select("id", "x.grp", "x.v"), "vectors")
     equal = written(folded(good), "vector-copies")
     alone = good.join(equal.where("id <> first").select("id"), "id", "left_anti")
-    edges = true_links(meetings(sketched(alone, min_cosine), sketch_limit(min_cosine)), good, min_cosine)
+    edges = linked_in_passes(written(alone, "vectors-alone"), min_cosine)
     groups = written(components(edges).select(F.col("node").alias("id"), "component"), "vector-groups")
     counts = equal.where("id = first").select("id", "copies")
     members = groups.join(good.select("id", "v"), "id").join(counts, "id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))

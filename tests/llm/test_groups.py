@@ -88,9 +88,18 @@ def test_vectors_link_groups_of_copies(spark):
     assert expected[0] == (99, 0) and expected[1] == (99, 0) and expected[2] == (49, 2)
 
 
-@pytest.mark.parametrize("crowd", [1024, 200])
-def test_vectors_link_a_crowd_to_its_centre(spark, monkeypatch, crowd):
-    monkeypatch.setattr(vectors, "CROWD", crowd)
+@pytest.mark.parametrize("ranks", [4096, 200])
+def test_vectors_link_a_crowd_to_its_centre(spark, monkeypatch, ranks):
+    """More linked vectors than any first window holds: the windows grow until none is cut."""
+    monkeypatch.setattr(vectors, "RANKS", ranks)
+    windows = []
+    met = vectors.met_in_windows
+
+    def noted(sketches, window, limit):
+        windows.append(window)
+        return met(sketches, window, limit)
+
+    monkeypatch.setattr(vectors, "met_in_windows", noted)
     rng = np.random.default_rng(5)
     x = rng.normal(size=256)
     x /= np.linalg.norm(x)
@@ -98,13 +107,36 @@ def test_vectors_link_a_crowd_to_its_centre(spark, monkeypatch, crowd):
     found, expected = settled(spark, vecs)
     assert found == expected
     assert expected[1500] == (1540, 0) and expected[0] == (41, 0)
+    assert windows == [32 * 2**i for i in range(len(windows))] and len(windows) > 3
+
+
+def test_vectors_sort_labels_of_any_size_in_windows(spark):
+    """Passes and windows run for small labels too, and every rank is in its block and, if early, in the one before."""
+    rng = np.random.default_rng(6)
+    vecs = [(i, i % 3, rng.normal(size=8).tolist()) for i in range(300)]
+    df = spark.createDataFrame(vecs, "id bigint, grp int, v array<float>")
+    made = vectors.sketched(df).persist()
+    passes = vectors.passes_for(int(vectors.depths(np.array([100]))[0]))
+    assert passes > 5 and made.count() == 300 * passes
+    placed = vectors.ranked(made, vectors.ORDER).collect()
+    placed.sort(key=lambda r: r["rank"])
+    assert [r["rank"] for r in placed] == list(range(300 * passes))
+    keys = [tuple(r[c] for c in vectors.ORDER) for r in placed]
+    assert keys == sorted(keys)
+    made.unpersist()
+
+
+def test_windows_pair_all_near_ranks():
+    rank, run = np.array([0, 1, 2, 5, 6, 7, 8]), np.array([0, 0, 0, 0, 1, 1, 1])
+    pairs = {(int(x), int(y)) for a, b in vectors.windows(rank, run, 3) for x, y in zip(a, b, strict=True)}
+    assert pairs == {(i, j) for i in range(7) for j in range(i + 1, 7) if run[i] == run[j] and rank[j] - rank[i] <= 3}
 
 
 def test_passes_follow_the_label():
-    for n in (100, 10**4, 10**9):
+    for n in (10, 100, 10**4, 10**9):
         d = int(vectors.depths(np.array([n]))[0])
         assert (1 - vectors.agreement(0.98) ** d) ** vectors.passes_for(d) <= vectors.MISS
-        assert n <= vectors.BLOCK and d == 0 or vectors.WINDOW <= n / 2**d < 2 * vectors.WINDOW
+        assert n <= vectors.WINDOW and d == 0 or vectors.WINDOW / 8 < n / 2**d <= vectors.WINDOW / 4
 
 
 def shingles(text):
