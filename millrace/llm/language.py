@@ -6,7 +6,8 @@ language probabilities. A text's probabilities are the mean over all its windows
 weighted by their letters; nothing but the text enters a prediction.
 
 ``und`` with score 0 is returned for null texts, texts without a letter, and where no
-labelled row was there to learn from. Tied classes go to the first name.
+labelled row was there to learn from. Tied classes go to the first name. Each row is judged by itself, so
+repeated rows get equal results. Texts of any length are read whole, window by window.
 """
 
 from __future__ import annotations
@@ -16,15 +17,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.buffers import text_chunks
 from millrace.llm.registry import query, table
 from millrace.llm.tables import extended
 
-#: Labelled documents that train the network, and the characters taken of each.
-TRAIN_DOCS = 3000
+#: Labelled documents of each language that train the network, and the characters taken of each.
+LANGUAGE_DOCS = 750
 EXCERPT = 2048
 WINDOW = 512
 FILTERS = 8
@@ -139,18 +140,20 @@ def train_net(texts: list[str], langs: list[str], seed: int = 7) -> ByteNet | No
 
 
 def labelled_sample(df: DataFrame, learn: Column, key: str, text: str, lang: str, docs: int) -> tuple[list[str], list[str]]:
-    """At most ``docs`` labelled texts, by the hash of the key, an excerpt of each."""
+    """At most ``docs`` labelled texts of each language, by the hash of the key, an excerpt of each.
+
+    A language is drawn from by its own number of rows, so a rare one is learned as well.
+    """
     rows = df.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     spread = F.abs(F.xxhash64(key) % 1_000_000)
-    share = min(1.0, 2.0 * docs / max(1, rows.count()))
+    sizes = rows.groupBy(F.col(lang).alias("_lang")).agg((2_000_000.0 * docs / F.count("*")).alias("_upto"))
     start = 1 + F.pmod(F.xxhash64(key, F.lit(1)), F.greatest(F.lit(1), F.length(text) - EXCERPT).cast("long"))
-    found = (
-        rows.where(spread <= 1_000_000 * share)
-        .select(spread.alias("h"), F.col(key).alias("k"), F.substring(F.col(text), start.cast("int"), F.lit(EXCERPT)).alias("t"), F.col(lang).alias("l"))
-        .orderBy("h", "k")
-        .limit(docs)
-        .collect()
+    chosen = rows.join(F.broadcast(sizes), F.col(lang) == F.col("_lang")).where(spread <= F.col("_upto"))
+    excerpts = chosen.select(
+        spread.alias("h"), F.col(key).alias("k"), F.substring(F.col(text), start.cast("int"), F.lit(EXCERPT)).alias("t"), F.col(lang).alias("l")
     )
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h", "k", "t"))
+    found = excerpts.withColumn("place", place).where(F.col("place") <= docs).orderBy("h", "k", "l", "t").collect()
     return [r["t"] for r in found], [r["l"] for r in found]
 
 
@@ -207,7 +210,7 @@ def held_out(key: str = "doc_id") -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
 
 
-def train_on(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", docs: int = TRAIN_DOCS) -> ByteNet | None:
+def train_on(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", docs: int = LANGUAGE_DOCS) -> ByteNet | None:
     return train_net(*labelled_sample(df, learn, key, text, lang, docs))
 
 
