@@ -2,20 +2,23 @@
 
 The fixed patterns find e-mail and IP addresses, card and phone numbers; these spans always
 stay. Generators with high recall propose further, overlapping candidates: anything around
-an @ sign, and number groups with any common separator. Boosted trees score a
-candidate from its format and its context; the threshold is the least score at which
-held-out candidates reach the wanted precision. Chosen candidates that overlap
-neither fixed spans nor better candidates are added under the kind ``model``.
+an @ sign, and numbers of seven digits or more, as every run of up to ``GROUPS`` neighbouring digit groups with any common
+separator. Boosted trees score a candidate from its format and its context; each kind of candidate has its own
+threshold, the least score at which held-out candidates reach the wanted precision. Chosen candidates that overlap
+neither fixed spans nor better candidates are added under the kind ``model``, the better first, of equal scores the earlier.
 
-Labels are weak: a candidate that covers a fixed span is personal, any other is not. What
+Labels are weak: a candidate with the same digits or address as a fixed span is personal, one apart from all is not, and
+one that covers part of a span or more than it teaches nothing. What
 defines a fixed span (plus sign, check digit) is no feature, so format and context must
 carry the score. Positions are code points, ends exclusive. Null and empty texts have
-no spans; extra columns stay; a column named ``pii`` is replaced.
+no spans; texts of any length are taken whole, in time that grows with the length; each row is judged by
+itself, repeated ones alike; extra columns stay; a column named ``pii`` is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone", "model")
 #: Documents and candidates that train the trees.
 TRAIN_DOCS = 4000
 TRAIN_SPANS = 20_000
+#: Neighbouring digit groups that one candidate may join.
+GROUPS = 5
 PRECISION = 0.98
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
 
@@ -40,8 +45,9 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-NUMBERS = re.compile(r"[+(]?(?<![0-9])[0-9](?:[ ().\-/]{0,2}[0-9])++")
-AROUND_AT = re.compile(r"(?<=\s)[^\s@]{1,64}+@[^\s@]{1,253}+|^[^\s@]{1,64}+@[^\s@]{1,253}+")
+NUMBERS = re.compile(r"(?<![0-9])[0-9](?:[ ().\-/]{0,2}[0-9])++")
+DIGITS = re.compile(r"[0-9]++")
+AROUND_AT = re.compile(r"(?:(?<=\s)|^)[^\s@]++@[^\s@]++")
 HINTS = re.compile(r"(?:mail|phone|tel|call|fax|mobile|card|visa|account|contact|address|ssn|iban|ip)\W*$", re.I | re.A)
 
 Span = tuple[int, int]
@@ -87,12 +93,18 @@ def base_spans(text: str) -> dict[str, list[Span]]:
 
 
 def candidates(text: str) -> list[Span]:
-    """Proposals: free-standing number groups of at least seven digits, and strings around an @ sign."""
-    found = [
-        m.span()
-        for m in NUMBERS.finditer(text)
-        if sum("0" <= c <= "9" for c in m[0]) >= 7 and not text[m.end() : m.end() + 1].isalnum() and not text[max(0, m.start() - 1) : m.start()].isalnum()
-    ]
+    """Proposals: runs of digit groups with seven digits at least that no letter or digit touches, and strings around an @ sign."""
+    found = []
+    for m in NUMBERS.finditer(text):
+        groups = [g.span() for g in DIGITS.finditer(text, m.start(), m.end())]
+        for i, (start, _) in enumerate(groups):
+            if i == 0 and text[max(0, start - 1) : start].isalnum():
+                continue
+            n = 0
+            for j in range(i, min(i + GROUPS, len(groups))):
+                n += groups[j][1] - groups[j][0]
+                if n >= 7 and not text[groups[j][1] : groups[j][1] + 1].isalnum():
+                    found.append((start - (text[start - 1 : start] in ("+", "(")), groups[j][1]))
     if "@" in text:
         found += [m.span() for m in AROUND_AT.finditer(text)]
     return sorted(found)
@@ -103,7 +115,7 @@ def features(text: str, span: Span) -> list[float]:
     start, end = span
     body = text[start:end]
     digits = only_digits(body)
-    groups = [len(g) for g in re.findall(r"[0-9]+", body)]
+    groups = [len(g) for g in DIGITS.findall(body)]
     before, after = text[max(0, start - 24) : start], text[end : end + 2]
     return [
         len(body),
@@ -128,6 +140,10 @@ def features(text: str, span: Span) -> list[float]:
     ]
 
 
+#: The place of the @ signs among the features.
+AT_SIGNS = 10
+
+
 @dataclass
 class Trees:
     """Boosted regression trees of fixed depth: features, cuts and leaves by tree."""
@@ -136,7 +152,12 @@ class Trees:
     cut: list[list[float]] = field(default_factory=list)
     leaf: list[list[float]] = field(default_factory=list)
     start: float = 0.0
-    threshold: float = 2.0
+    #: Least scores of number candidates and of those around an @ sign; above 1 none is chosen.
+    thresholds: tuple[float, float] = (2.0, 2.0)
+
+    @property
+    def threshold(self) -> float:
+        return min(self.thresholds)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.start)
@@ -150,8 +171,8 @@ class Trees:
         return 1 / (1 + np.exp(-total))
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> Trees:
-    """Logistic boosting on quantile bins; every third row only calibrates the threshold."""
+def fit_trees(x: np.ndarray, y: np.ndarray, precision: float = PRECISION, kind: np.ndarray | None = None) -> Trees:
+    """Logistic boosting on quantile bins; every third row only calibrates the threshold of its kind, 0 or 1, or both."""
     model = Trees()
     if len(y) < 20 or y.all() or not y.any():
         return model
@@ -186,18 +207,38 @@ def fit_trees(x: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> Tre
         model.feature.append(feature)
         model.cut.append(cut)
         model.leaf.append(leaf)
-    score = model.score(x[hold])
+    score, right = model.score(x[hold]), y[hold]
+    of = [np.ones(len(right), bool)] * 2 if kind is None else [kind[hold] == k for k in (0, 1)]
+    model.thresholds = (threshold(score[of[0]], right[of[0]], precision), threshold(score[of[1]], right[of[1]], precision))
+    return model
+
+
+def threshold(score: np.ndarray, y: np.ndarray, precision: float) -> float:
+    """The least score from which on so many of the candidates are right."""
     order = np.argsort(-score, kind="stable")
-    right = np.cumsum(y[hold][order]) / np.arange(1, len(order) + 1)
-    distinct = np.r_[score[order][1:] != score[order][:-1], True]
+    right = np.cumsum(y[order]) / np.arange(1, len(order) + 1)
+    distinct = np.r_[score[order][1:] != score[order][:-1], np.ones(min(1, len(order)), bool)]
     good = np.flatnonzero((right >= precision) & distinct)
-    if len(good):
-        model.threshold = float(max(0.5, score[order][good[-1]]))
-    return model
+    return float(max(0.5, score[order][good[-1]])) if len(good) else 2.0
 
 
-def overlaps(a: Span, b: Span) -> bool:
-    return a[0] < b[1] and b[0] < a[1]
+class Taken:
+    """Spans that do not overlap, in order, asked for overlaps."""
+
+    def __init__(self, spans: list[Span]) -> None:
+        self.spans: list[Span] = []
+        for start, end in sorted(spans):
+            if self.spans and start < self.spans[-1][1]:
+                self.spans[-1] = (self.spans[-1][0], max(end, self.spans[-1][1]))
+            else:
+                self.spans.append((start, end))
+
+    def touches(self, span: Span) -> bool:
+        i = bisect_left(self.spans, (span[1], 0)) - 1
+        return i >= 0 and self.spans[i][1] > span[0]
+
+    def add(self, span: Span) -> None:
+        insort(self.spans, span)
 
 
 def find_spans(text: str, model: Trees) -> list[tuple[str, int, int, float]]:
@@ -205,14 +246,15 @@ def find_spans(text: str, model: Trees) -> list[tuple[str, int, int, float]]:
     base = base_spans(text)
     out = [(s, i, e, 1.0) for i, kind in enumerate(KINDS[:4]) for s, e in base[kind]]
     if model.threshold <= 1:
-        fixed = [(s, e) for s, _, e, _ in out]
-        rest = [c for c in candidates(text) if not any(overlaps(c, f) for f in fixed)]
+        taken = Taken([(s, e) for s, _, e, _ in out])
+        rest = [c for c in candidates(text) if not taken.touches(c)]
         if rest:
-            score = model.score(np.array([features(text, c) for c in rest]))
-            taken: list[Span] = []
+            x = np.array([features(text, c) for c in rest])
+            score = model.score(x)
+            enough = score >= np.where(x[:, AT_SIGNS] > 0, model.thresholds[1], model.thresholds[0])
             for i in np.argsort(-score, kind="stable"):
-                if score[i] >= model.threshold and not any(overlaps(rest[i], t) for t in taken):
-                    taken.append(rest[i])
+                if enough[i] and not taken.touches(rest[i]):
+                    taken.add(rest[i])
                     out.append((rest[i][0], 4, rest[i][1], float(score[i])))
     return [(KINDS[k], s, e, p) for s, k, e, p in sorted(out)]
 
@@ -244,23 +286,42 @@ def find_pii(df: DataFrame, model: Trees, text: str = "text") -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
+def weak_labels(text: str) -> Iterator[tuple[Span, bool]]:
+    """Candidates that equal a fixed span but for signs at its ends, and those apart from all fixed spans."""
+    fixed = [s for spans in base_spans(text).values() for s in spans]
+    known = {trimmed(text, s) for s in fixed}
+    taken = Taken(fixed)
+    for c in candidates(text):
+        same = trimmed(text, c) in known
+        if same or not taken.touches(c):
+            yield c, same
+
+
+def trimmed(text: str, span: Span) -> Span:
+    start, end = span
+    while start < end and not text[start].isalnum():
+        start += 1
+    while start < end and not text[end - 1].isalnum():
+        end -= 1
+    return start, end
+
+
 def train_on(df: DataFrame, key: str = "doc_id", text: str = "text", docs: int = TRAIN_DOCS, spans: int = TRAIN_SPANS) -> Trees:
-    """Trees from at most ``docs`` documents with digits or @ signs and ``spans`` candidates, by hash."""
+    """Trees from about ``docs`` documents, by hash, and at most ``spans`` of their candidates; no text leaves its task."""
     rows = df.where(F.col(text).rlike("[0-9@]"))
     spread = F.abs(F.xxhash64(key) % 1_000_000)
-    share = min(1.0, 2.0 * docs / max(1, df.count()))
-    few = rows.where(spread <= 1_000_000 * share).select(spread.alias("h"), F.col(key).alias("k"), F.col(text).alias("t")).orderBy("h", "k").limit(docs)
+    share = min(1.0, 1.0 * docs / max(1, df.count()))
+    few = rows.where(spread <= 1_000_000 * share).select(spread.alias("h"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[float]] = []
             label: list[bool] = []
             at: list[int] = []
-            for h, value in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                fixed = [s for spans_ in base_spans(value).values() for s in spans_]
-                for c in candidates(value):
+            for h, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for c, personal in weak_labels(value):
                     out.append(features(value, c))
-                    label.append(any(overlaps(c, f) for f in fixed))
+                    label.append(personal)
                     at.append(h)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at, pa.int64()), pa.array(out, pa.list_(pa.float64())), pa.array(label, pa.bool_())], ["h", "x", "y"]
@@ -269,7 +330,8 @@ def train_on(df: DataFrame, key: str = "doc_id", text: str = "text", docs: int =
     found = few.mapInArrow(run, "h bigint, x array<double>, y boolean").orderBy("h", "x").limit(spans).collect()
     if not found:
         return Trees()
-    return fit_trees(np.array([r["x"] for r in found]), np.array([r["y"] for r in found]))
+    x = np.array([r["x"] for r in found])
+    return fit_trees(x, np.array([r["y"] for r in found]), kind=(x[:, AT_SIGNS] > 0).astype(int))
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
