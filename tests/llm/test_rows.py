@@ -46,6 +46,16 @@ def test_cascade_orders_by_rejections_per_cost_and_keeps_what_passes_all(spark):
     assert quality.apply_rules(quality.text_counts(empty(spark)), quality.standard_rules()).count() == 0
 
 
+def test_cost_orders_rules_that_reject_alike(spark):
+    """Two rules reject the same rows; the one that goes over the text many times comes later, each time it is measured."""
+    docs = spark.createDataFrame([(i, "word " * 300 if i % 2 else "word") for i in range(600)], "doc_id bigint, text string")
+    df = quality.text_counts(docs)
+    slow = F.length(F.regexp_replace("text", "(o|r)+d", "")) - F.length(F.regexp_replace("text", "[aeiou]r", "")) * 0 < 5
+    rules = [quality.Rule("slow", slow), quality.Rule("never", F.lit(True)), quality.Rule("fast", F.col("n_words") < 2)]
+    orders = [[r.name for r in quality.rank_rules(df, rules)] for _ in range(3)]
+    assert orders == [["fast", "slow", "never"]] * 3
+
+
 def test_quality_plan_is_native(spark):
     plan = quality.apply_rules(quality.text_counts(awkward(spark)), quality.standard_rules())._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
