@@ -5,7 +5,7 @@ compares every vector with the ``WINDOW`` ones after it. The order is cut by ran
 first rows of the next one, so a large label or many equal hashes fall on many tasks. The number of signs and of passes follows the
 label's size, so that a pair at the threshold shares the first signs of no pass with a chance of ``MISS``. A window that
 ends among vectors of the same first signs may have cut such a pair: its rows go into further
-passes, of these rows alone and with windows twice as wide, until no window ends so. No number of neighbours is a cap.
+passes, of these rows alone and with windows ``WIDER`` times as wide, until no window ends so. No number of neighbours is a cap.
 
 Windows compare sketches of 512 further signs; rows with a near sketch get their vectors back and the exact cosine
 decides. Only a spanning forest of a block's true links leaves its task; links of all passes are united.
@@ -43,6 +43,8 @@ WINDOW = 32
 SKETCH_BITS = 512
 #: By chance a quarter of a window shares the first signs; this many more signs order these.
 SPARE, FURTHER = 2, 8
+#: How much wider windows get for the rows whose windows were cut.
+WIDER = 8
 #: Ranks of a block, and at least four windows.
 RANKS = 4096
 #: Vectors of a component that meet another such block in one task.
@@ -226,10 +228,10 @@ def linked_in_passes(vectors: DataFrame, min_cosine: float = MIN_COSINE, window:
         met = written(met_in_windows(sketched(active, window, min_cosine), window, sketch_limit(min_cosine)), "vector-windows")
         found = written(true_links(met.where("near"), vectors, window, min_cosine), "vector-edges")
         edges = found if edges is None else edges.union(found)
-        again = written(met.where("cut").select("id").distinct(), "vector-again")
+        again = met.where("cut").select("id").distinct()
         if again.isEmpty():
             return edges.distinct()
-        active, window = vectors.join(again, "id", "left_semi"), 2 * window
+        active, window = vectors.join(again, "id", "left_semi"), WIDER * window
 
 
 def counted_links(members: DataFrame, min_cosine: float = MIN_COSINE, block: int = BLOCK) -> DataFrame:

@@ -107,7 +107,7 @@ def test_vectors_link_a_crowd_to_its_centre(spark, monkeypatch, ranks):
     found, expected = settled(spark, vecs)
     assert found == expected
     assert expected[1500] == (1540, 0) and expected[0] == (41, 0)
-    assert windows == [32 * 2**i for i in range(len(windows))] and len(windows) > 3
+    assert windows == [vectors.WINDOW * vectors.WIDER**i for i in range(len(windows))] and len(windows) > 1
 
 
 def test_vectors_sort_labels_of_any_size_in_windows(spark):
