@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import math
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,18 +199,23 @@ def scan_secrets(
     df: DataFrame, model: list[float], text: str = "text", min_run: int = MIN_RUN, min_ratio: float = MIN_RATIO, min_total: float = MIN_TOTAL
 ) -> DataFrame:
     """Adds the spans by kind: assign, access, hex, and random for what the models add."""
-    # Some other character that ends a run and is part of no pattern in place of the mask's own.
-    hidden = F.translate(F.coalesce(F.col(text), F.lit("")), MASK, "\x02")
-    # A run that touches a found span is none of its own; spans begin and end with what ends no run.
-    for pattern, good in ((ASSIGN, lambda hit: F.length(value_of(hit)) >= 8), (ACCESS, F.isnotnull), (HEX, F.isnotnull)):
-        hidden = masked(hidden, pattern, good)
     apart = f"(?<![{MASK}{RUN_CLASS[1:-1]}]){RUN_CLASS}{{{min_run},}}+(?!{MASK})"
 
     def secret(s: Column) -> Column:
         return s["value"].rlike("[0-9].*[A-Za-z]|[A-Za-z].*[0-9]|[a-z].*[A-Z]") & likely(s["value"], model, min_ratio, min_total)
 
-    rows = base_spans(df.withColumn("_hidden", hidden), text)
-    return rows.withColumn("random", F.filter(pattern_spans(F.col("_hidden"), apart), secret)).drop("_hidden")
+    def runs(hidden: Column, patterns: Sequence[tuple[str, Callable[[Column], Column]]]) -> Column:
+        """The runs of a text from which the patterns are yet to be hidden, each step worked out once."""
+        if not patterns:
+            return pattern_spans(hidden, apart)
+        return bound(masked(hidden, *patterns[0]), lambda t: runs(t, patterns[1:]))
+
+    # Some other character that ends a run and is part of no pattern in place of the mask's own.
+    clean = F.translate(F.coalesce(F.col(text), F.lit("")), MASK, "\x02")
+    hide = [(ASSIGN, lambda hit: F.length(value_of(hit)) >= 8), (ACCESS, F.isnotnull), (HEX, F.isnotnull)]
+    # A run that touches a found span is none of its own; spans begin and end with what ends no run.
+    found = bound(clean, lambda t: runs(t, hide))
+    return base_spans(df, text).withColumn("random", F.filter(found, secret))
 
 
 def span_list(*kinds: str) -> Column:
