@@ -2,13 +2,13 @@
 
 A window of documents (whole rows of a partition, ``WINDOW_DOCS`` of them) is packed on its own,
 so nothing is shuffled. Lengths beyond a sequence are cut into full sequences first. The rest fall
-into ``CLASSES`` length classes. All combinations of up to ``DEPTH`` classes that fill a sequence
-are enumerated; non-negative least squares finds how often to repeat each so that the
-histogram of lengths is used up, and the counts are rounded down. A combination takes the
-longest documents of its classes first and may end beyond the sequence by less than the classes' width; the end
-of its last document is cut off. Documents and ends that are left over are laid end to end
-and cut at full sequences; what remains of the window is cut into powers of two, which are not
-padded. So there is no padding at all.
+into ``CLASSES`` length classes. All combinations of two to ``DEPTH`` classes that can fill a sequence
+exactly are enumerated; non-negative least squares finds how often to repeat each so that the
+histogram of lengths is used up, and the counts are rounded down. A combination takes documents of its
+classes whose lengths add up to the sequence: the last two are searched as a pair of the wanted sum. Documents
+left over are packed greedily, longest first, as long as others fill the sequence exactly; what no others
+fill is laid end to end and cut at full sequences, and the window's remainder is cut into powers of two,
+which are not padded. So there is no padding at all, and a document that fits a sequence is cut only at the end.
 
 Null and empty texts have the end-of-text id only. A document of any length is cut as often
 as needed. Repeated rows are packed each. Extra columns are not read.
@@ -98,14 +98,15 @@ class WordEncoder:
 
 
 def combinations(classes: int = CLASSES, depth: int = DEPTH) -> np.ndarray:
-    """Counts by class of up to ``depth`` classes whose lower ends fill a sequence, one column each.
+    """Counts by class of two to ``depth`` documents that can fill a sequence exactly, one column each.
 
-    Class c holds lengths from c / classes of a sequence on, so its documents fill the sequence or more.
+    Class c holds lengths from c / classes of a sequence up to the next class; of the sums of lower ends that leave
+    room for an exact fill, those are taken where half the documents' places within their class fill it.
     """
     found = {}
-    for k in range(1, depth + 1):
+    for k in range(2, depth + 1):
         for combo in combinations_with_replacement(range(classes), k):
-            if sum(combo) == classes:
+            if classes - (k + 1) // 2 <= sum(combo) <= classes - k // 2:
                 column = np.bincount(combo, minlength=classes)
                 found[column.tobytes()] = column
     return np.array(list(found.values())).T.astype(float)
@@ -156,43 +157,131 @@ def plan(histogram: np.ndarray, columns: np.ndarray) -> np.ndarray:
     return repeats
 
 
+class Stock:
+    """Documents by length that are not packed yet."""
+
+    def __init__(self, rest: np.ndarray, sequence: int) -> None:
+        self.docs: list[list[int]] = [[] for _ in range(sequence)]
+        for i in np.flatnonzero(rest)[::-1].tolist():
+            self.docs[rest[i]].append(i)
+        self.count = np.array([len(d) for d in self.docs], np.int64)
+
+    def take(self, length: int) -> int:
+        self.count[length] -= 1
+        return self.docs[length].pop()
+
+    def back(self, length: int, doc: int) -> None:
+        self.count[length] += 1
+        self.docs[length].append(doc)
+
+    def longest(self, lo: int, hi: int) -> int:
+        """The largest length in stock from lo up to and without hi; 0 without one."""
+        found = np.flatnonzero(self.count[lo:hi])
+        return lo + int(found[-1]) if len(found) else 0
+
+    def pair(self, need: int, first: tuple[int, int], second: tuple[int, int]) -> int:
+        """The largest x of the first range in stock where need - x is of the second and in stock; 0 without one."""
+        lo, hi = max(first[0], need - second[1] + 1, 1), min(first[1], need - second[0] + 1, need)
+        if lo >= hi:
+            return 0
+        both = (self.count[lo:hi] > 0) & (self.count[need - hi + 1 : need - lo + 1][::-1] > 0)
+        if need % 2 == 0 and lo <= need // 2 < hi:
+            both[need // 2 - lo] = self.count[need // 2] > 1
+        found = np.flatnonzero(both)
+        return lo + int(found[-1]) if len(found) else 0
+
+
+def exact_member(stock: Stock, members: list[int], width: int, sequence: int) -> list[tuple[int, int]]:
+    """(length, document) of one document per class that fill the sequence exactly, taken from stock; empty without any.
+
+    All but two classes give their longest, then their shortest document; the last two are searched for a pair.
+    """
+    ranges = [(max(1, c * width), min((c + 1) * width, sequence)) for c in members]
+    for shortest in (False, True):
+        got: list[tuple[int, int]] = []
+        need = sequence
+        for lo, hi in ranges[:-2]:
+            inside = np.flatnonzero(stock.count[lo:hi])
+            if not len(inside):
+                break
+            length = lo + int(inside[0 if shortest else -1])
+            got.append((length, stock.take(length)))
+            need -= length
+        else:
+            x = stock.pair(need, *ranges[-2:]) if need > 1 else 0
+            if x:
+                return [*got, (x, stock.take(x)), (need - x, stock.take(need - x))]
+        for length, doc in got:
+            stock.back(length, doc)
+    return []
+
+
+def exact_rest(stock: Stock, length: int, sequence: int) -> list[tuple[int, int]]:
+    """A document of this length and others that fill the rest exactly, taken from stock; only itself where none do.
+
+    Longest first: each step looks for one document, then for two, and else takes the longest that leaves room.
+    """
+    got = [(length, stock.take(length))]
+    need = sequence - length
+    while need:
+        if stock.count[need]:
+            return [*got, (need, stock.take(need))]
+        x = stock.pair(need, (1, sequence), (1, sequence))
+        if x:
+            return [*got, (x, stock.take(x)), (need - x, stock.take(need - x))]
+        x = stock.longest(1, need)
+        if not x:
+            break
+        got.append((x, stock.take(x)))
+        need -= x
+    for x, doc in got[1:]:
+        stock.back(x, doc)
+    return got[:1]
+
+
 def pack(lengths: np.ndarray, columns: np.ndarray, sequence: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece; lengths are positive."""
     out: list[tuple[int, int, int, int, int]] = []
     seq = 0
     classes = columns.shape[0]
+    width = sequence // classes
     rest = lengths % sequence
     for i in np.flatnonzero(lengths >= sequence):
         for start in range(0, int(lengths[i] - rest[i]), sequence):
             out.append((int(i), start, sequence, seq, 0))
             seq += 1
-    level = rest * classes // sequence
-    level[rest == 0] = -1
-    order = np.argsort(-rest, kind="stable")
-    pools = [[int(i) for i in order[level[order] == c]] for c in range(classes)]
-    taken = [0] * classes
-    ends: list[tuple[int, int, int]] = []
-    for j in np.flatnonzero(repeats := plan(np.bincount(level[level >= 0], minlength=classes), columns)):
-        members = np.repeat(np.arange(classes), columns[:, j].astype(int))
+    stock = Stock(rest, sequence)
+
+    def laid(members: list[tuple[int, int]]) -> None:
+        nonlocal seq
+        offset = 0
+        for length, i in members:
+            out.append((i, int(lengths[i]) - length, length, seq, offset))
+            offset += length
+        seq += 1
+
+    histogram = np.bincount(rest[rest > 0] // width, minlength=classes)
+    repeats = plan(histogram, columns)
+    for j in np.flatnonzero(repeats):
+        # Classes of few documents first, so that the pair is searched in the two with most.
+        members = sorted(np.repeat(np.arange(classes), columns[:, j].astype(int)).tolist(), key=lambda c: histogram[c])
         for _ in range(int(repeats[j])):
-            offset = 0
-            for c in members:
-                i = pools[c][taken[c]]
-                taken[c] += 1
-                fits = min(int(rest[i]), sequence - offset)
-                start = int(lengths[i] - rest[i])
-                if fits:
-                    out.append((i, start, fits, seq, offset))
-                    offset += fits
-                if fits < rest[i]:
-                    ends.append((i, start + fits, int(rest[i]) - fits))
-            seq += 1
-    for c in range(classes):
-        ends += [(i, int(lengths[i] - rest[i]), int(rest[i])) for i in pools[c][taken[c] :]]
-    total = sum(e[2] for e in ends)
+            found = exact_member(stock, members, width, sequence)
+            if not found:
+                break
+            laid(found)
+    ends: list[tuple[int, int]] = []
+    while length := stock.longest(1, sequence):
+        found = exact_rest(stock, length, sequence)
+        if len(found) > 1:
+            laid(found)
+        else:
+            ends += found
+    total = sum(length for length, _ in ends)
     room = [sequence] * (total // sequence) + [1 << k for k in range(sequence.bit_length(), -1, -1) if (total % sequence) >> k & 1]
     offset, at = 0, 0
-    for i, start, size in ends:
+    for size, i in ends:
+        start = int(lengths[i]) - size
         while size:
             fits = min(size, room[at] - offset)
             out.append((i, start, fits, seq + at, offset))

@@ -344,6 +344,17 @@ def test_least_squares_and_packs():
     assert len(packing.pack(np.full(500, 1024), columns)) == 500
 
 
+def test_packing_cuts_far_less_than_laying_end_to_end():
+    rng = np.random.default_rng(9)
+    columns = packing.combinations()
+    for lengths in (rng.integers(1, 3000, 4096), np.clip(rng.lognormal(6.4, 0.9, 4096), 1, 20000).astype(int)):
+        borders = set(range(2048, int(lengths.sum()), 2048)) - set(np.cumsum(lengths).tolist())
+        end_to_end, least = len(lengths) + len(borders), int(np.ceil(lengths / 2048).sum())
+        made = packing.pack(lengths, columns)
+        assert len(made) - least < (end_to_end - least) / 10
+        assert sum(size for _, _, size, _, _ in made) == lengths.sum()
+
+
 def test_packing_tables(spark):
     docs = awkward(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
     rows = packing.pack_ids(docs, encoder()).collect()
