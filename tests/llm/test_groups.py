@@ -353,4 +353,4 @@ def test_pipeline_drops_copies_and_keeps_clean_documents(spark):
 
 
 def test_every_dealt_operator_has_a_query():
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14))
