@@ -1,16 +1,17 @@
 """Join of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 MinHash LSH forest: a signature of ``TREES`` x 8 hash bytes is one path of eight steps in each tree.
-Documents that share a path's prefix lie together in the sorted tree; prefixes are shortened
-from the whole path until, by the forest's formula, a pair at the threshold is met in some
-tree with the probability ``recall``. Within a prefix, sketches (half a byte per hash)
-leave pairs that may be similar; their components are the candidate groups. All pairs
-within a group are then compared by their whole shingle sets, in blocks, so that link
-counts are exact and have no cap, and no pair is ever a row.
+The tries are sorted by path. Documents that share a whole path meet first; then prefixes are
+shortened step by step, and each document stays in the tree until it is absorbed (below) or until, by the
+forest's formula, a pair at the threshold is met in some tree with the probability ``recall``.
+Within a prefix, sketches (half a byte per hash) leave pairs that may be similar; their components are
+the candidate groups. All pairs within a group are then compared by their whole shingle sets, in blocks, so
+that link counts are exact and have no cap, and no pair is ever a row.
 
 Crowds are thinned twice without losing links: texts with the same words are one
 class from the start, and within a prefix a document whose sketch is almost the
-sketch of another only keeps its link to that one. Prefixes that stay crowded are cut into blocks
+sketch of another only keeps its link to that one. A document that has absorbed others is itself absorbed by an
+equal sketch only, so absorptions do not add up. Prefixes that stay crowded are cut into blocks
 that meet pairwise.
 
 A text of one to four words has one shingle, all its words. Null texts and texts without
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.buffers import U64, forest, mix, powers, prefix_hash, runs, span_hash, text_chunks, word_spans
+from millrace.llm.buffers import U64, forest, mix, powers, prefix_hash, span_hash, text_chunks, word_spans
 from millrace.llm.registry import query, table
 from millrace.llm.tables import components, crowds, paired_blocks, shuffle_partitions, whole_groups, written
 
@@ -39,8 +40,12 @@ STEPS = 8
 SLOTS = TREES * STEPS
 #: Sketches almost alike: the document only keeps its link to the other one.
 ABSORB = 0.9
+#: The estimate of equal sketches, but for rounding.
+SAME = 0.9999
 #: Least estimate of a candidate: 0.6 by the triangle inequality over two absorptions, less noise.
 CANDIDATE = 0.55
+#: Links held before they are cut down to a spanning forest.
+HELD = 1 << 20
 BLOCK = 128
 #: Documents under one prefix that meet another such block in one task.
 CROWD = 4096
@@ -127,52 +132,90 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (EQUAL_HALVES[x ^ y].sum(axis=-1, dtype=np.int32) / SLOTS - 1 / 16) * (16 / 15)
 
 
-def bucket_links(ids: np.ndarray, sketch: np.ndarray, leaders: int = 32, rows: int = 2048) -> tuple[list[np.ndarray], np.ndarray]:
-    """Candidate pairs of one prefix, and which members were absorbed by another.
+def absorbs(near: np.ndarray, led: np.ndarray) -> np.ndarray:
+    """Whether these estimates to a leader absorb a document; one that has absorbed others itself only by the same sketch."""
+    return near >= np.where(led, SAME, ABSORB)
 
-    A few members at a time are compared with all that are left; whatever is almost one of them drops out.
+
+def bucket_links(ids: np.ndarray, sketch: np.ndarray, led: np.ndarray, leaders: int = 32, rows: int = 2048) -> tuple[list[np.ndarray], np.ndarray]:
+    """Candidate pairs of one prefix, and which members were absorbed by another; marks those that absorbed in ``led``.
+
+    A few members at a time are compared with all that are left; whatever is almost one of them drops out. A member
+    that drops out absorbs nothing, so what it stood for is never further than one step away.
     """
     pairs: list[np.ndarray] = []
     absorbed = np.zeros(len(ids), bool)
     left = np.arange(len(ids))
     while len(left) > 1:
         lead = left[:leaders]
+        own = absorbs(alike(sketch[lead][:, None, :], sketch[lead][None, :, :]), led[lead])
+        stays = np.ones(len(lead), bool)
+        for k in range(1, len(lead)):
+            stays[k] = not (own[:k, k] & stays[:k]).any()
         gone = np.zeros(len(left), bool)
         gone[: len(lead)] = True
+        lead = lead[stays]
         for lo in range(0, len(left), rows):
             part = left[lo : lo + rows]
             est = alike(sketch[lead][:, None, :], sketch[part][None, :, :])
             est[lead[:, None] >= part[None, :]] = 0
             a, b = np.nonzero(est >= CANDIDATE)
             pairs.append(np.stack([ids[lead[a]], ids[part[b]]]))
-            near = (est >= ABSORB).any(axis=0)
-            absorbed[part[near]] = True
-            gone[lo : lo + rows] |= near
+            near = absorbs(est, led[part])
+            absorbed[part[near.any(axis=0)]] = True
+            led[lead[near.any(axis=1)]] = True
+            gone[lo : lo + rows] |= near.any(axis=0)
         left = left[~gone]
     return pairs, absorbed
 
 
-def tree_rows(rows: pa.Table, order: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, absorbed) of sorted rows whose prefixes are the runs between the bounds."""
-    ids = rows["id"].to_numpy()[order]
-    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)[order]
-    start, end = bounds
-    size = end - start
-    two = start[size == 2]
-    near = alike(sketch[two], sketch[two + 1])
-    pairs = [np.stack([ids[two], ids[two + 1]])[:, near >= CANDIDATE]]
+def descend(
+    ids: np.ndarray, sketch: np.ndarray, group: np.ndarray, path: np.ndarray, led: np.ndarray, depth: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, absorbed) of rows sorted by group and path, from whole paths to prefixes of ``depth`` steps.
+
+    At each step the rows of a prefix that are not absorbed yet meet; a prefix that gained no row by
+    being shortened is passed over. A document's prefix is shortened until it is absorbed or has the recall.
+    """
     absorbed = np.zeros(len(ids), bool)
-    absorbed[two[near >= ABSORB] + 1] = True
-    for k in np.flatnonzero(size > 2):
-        more, gone = bucket_links(ids[start[k] : end[k]], sketch[start[k] : end[k]])
-        pairs += more
-        absorbed[start[k] : end[k]] |= gone
-    both = np.concatenate(pairs, axis=1)
+    links = [np.zeros((2, 0), np.int64)]
+    held = 0
+    alive = np.arange(len(ids))
+    before = np.ones(len(ids), np.int64)
+    for level in range(STEPS, depth - 1, -1):
+        if len(alive) < 2:
+            break
+        prefix, own = path[alive] >> np.uint64(64 - 8 * level), group[alive]
+        start = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (own[1:] != own[:-1])])
+        end = np.r_[start[1:], len(alive)]
+        size = end - start
+        grown = size > before[alive[start]]
+        two = start[grown & (size == 2)]
+        x, y = alive[two], alive[two + 1]
+        near = alike(sketch[x], sketch[y])
+        links.append(np.stack([ids[x], ids[y]])[:, near >= CANDIDATE])
+        gone = absorbs(near, led[y])
+        absorbed[y[gone]] = True
+        led[x[gone]] = True
+        for k in np.flatnonzero(grown & (size > 2)):
+            members = alive[start[k] : end[k]]
+            marks = led[members]
+            more, gone = bucket_links(ids[members], sketch[members], marks)
+            absorbed[members[gone]] = True
+            led[members] = marks
+            links += more
+            held += sum(m.shape[1] for m in more)
+            if held > HELD:
+                links, held = [np.stack(forest(*np.concatenate(links, axis=1)))], 0
+        stays = ~absorbed[alive]
+        before[alive] = np.repeat(np.add.reduceat(stays.astype(np.int64), start), size)
+        alive = alive[stays]
+    both = np.concatenate(links, axis=1)
     return both[0], both[1], absorbed
 
 
 EDGE = "a bigint, b bigint"
-TREE = "tree int, prefix bigint, path bigint, id bigint, sketch binary, a bigint, b bigint"
+TREE = "tree int, prefix bigint, path bigint, id bigint, sketch binary, led boolean, a bigint, b bigint"
 
 
 def planted(reps: DataFrame, depth: int) -> DataFrame:
@@ -186,20 +229,20 @@ def planted(reps: DataFrame, depth: int) -> DataFrame:
                 continue
             sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, SLOTS)
             packed = (sig[:, 0::2] & 15) << 4 | (sig[:, 1::2] & 15)
-            part = pa.table({"id": batch.column(0), "sketch": pa.array([r.tobytes() for r in packed], pa.binary())})
             paths = sig.reshape(n, TREES, STEPS).copy().view(">u8")[:, :, 0].astype(np.uint64)
-            ids, sketches = part["id"].combine_chunks(), part["sketch"].combine_chunks()
+            ids, sketches = batch.column(0), pa.array([r.tobytes() for r in packed], pa.binary())
+            numbers, same = ids.to_numpy(), np.zeros(n, np.int8)
             links = []
             for t in range(TREES):
                 order = np.argsort(paths[:, t], kind="stable")
-                path = paths[order, t]
-                a, b, absorbed = tree_rows(part, order, runs(path >> shift))
+                led = np.zeros(n, bool)
+                a, b, absorbed = descend(numbers[order], packed[order], same, paths[order, t], led, depth)
                 keep = order[~absorbed]
                 none = pa.nulls(len(keep), pa.int64())
                 signed_path = pa.array(paths[keep, t].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(keep), t, np.int32)), pa.array((paths[keep, t] >> shift).view(np.int64)), signed_path,
-                     ids.take(pa.array(keep)), sketches.take(pa.array(keep)), none, none],
+                     ids.take(pa.array(keep)), sketches.take(pa.array(keep)), pa.array(led[~absorbed]), none, none],
                     schema_of(TREE),
                 )
                 links.append(np.stack([a, b]))
@@ -207,7 +250,8 @@ def planted(reps: DataFrame, depth: int) -> DataFrame:
             a, b = forest(*np.concatenate(links, axis=1))
             rest = pa.nulls(len(a), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(a), pa.int32()), rest, rest, rest, pa.nulls(len(a), pa.binary()), pa.array(a), pa.array(b)], schema_of(TREE)
+                [pa.nulls(len(a), pa.int32()), rest, rest, rest, pa.nulls(len(a), pa.binary()), pa.nulls(len(a), pa.bool_()), pa.array(a), pa.array(b)],
+                schema_of(TREE),
             )
 
     return reps.select("id", "sig").mapInArrow(run, TREE)
@@ -225,22 +269,22 @@ def candidate_links(reps: DataFrame, depth: int) -> DataFrame:
         held = np.zeros((2, 0), np.int64)
         for group in whole_groups(batches, key):
             tree, prefix, lo, hi = (group[c].to_numpy() for c in key)
-            cut = np.flatnonzero(
-                (tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            ) + 1
-            bounds = np.r_[0, cut], np.r_[cut, len(tree)]
-            if (bounds[1] - bounds[0] < 2).all():
+            new = (tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+            if new.all():
                 continue
-            a, b, _ = tree_rows(group, np.arange(len(tree)), bounds)
+            ids, paths = group["id"].to_numpy(), group["path"].to_numpy().view(np.uint64)
+            sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+            led = group["led"].to_numpy().copy()
+            a, b, _ = descend(ids, sketch, np.r_[0, np.cumsum(new)], paths, led, depth)
             held = np.stack(forest(*np.concatenate([held, np.stack([a, b])], axis=1)))
         yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], ["a", "b"])
 
     n, key = shuffle_partitions(reps), ["tree", "prefix", "lo", "hi"]
-    leaves = rows.where("tree is not null").select("tree", "prefix", "path", "id", "sketch")
+    leaves = rows.where("tree is not null").select("tree", "prefix", "path", "id", "sketch", "led")
     large = crowds(leaves, ["tree", "prefix"], CROWD)
     met = (
         paired_blocks(leaves, ["tree", "prefix"], "id", large)
-        .select(*key, "path", "id", "sketch")
+        .select(*key, "path", "id", "sketch", "led")
         .repartition(n, *key)
         .sortWithinPartitions(*key, "path", "id")
         .mapInArrow(run, EDGE)

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -187,6 +188,48 @@ def test_jaccard_on_awkward_tables(spark):
     assert jaccard.jaccard_join(empty(spark)).count() == 0
 
 
+def test_chains_of_versions_over_partitions(spark):
+    rng = random.Random(21)
+    texts = []
+    for chain in range(12):
+        words = [f"w{chain}x{rng.randrange(400)}" for _ in range(150)]
+        for _ in range(25):
+            for _ in range(rng.choice([1, 1, 2, 3])):
+                words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(a, b) for a, b in combinations(sorted(sets), 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    low = groups(sets, links)
+    degree = Counter(x for link in links for x in link)
+    for parts in (1, 40):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        assert {r["id"]: (r["class_id"], r["n_links"]) for r in jaccard.jaccard_join(df).collect()} == {i: (low[i], degree[i]) for i in sets}
+
+
+def test_prefixes_are_shortened_until_rows_are_absorbed():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 256, (30, 64), dtype=np.uint8)
+    sketch = base[np.sort(rng.integers(0, 30, 400))].copy()
+    for row in sketch:
+        row[rng.integers(0, 64, rng.integers(0, 8))] = 7
+    path = np.sort(rng.integers(0, 4, (400, 8), dtype=np.uint8).view(">u8")[:, 0].astype(np.uint64))
+    ids, led = np.arange(400), np.zeros(400, bool)
+    a, b, absorbed = jaccard.descend(ids, sketch, np.zeros(400, np.int8), path, led, 2)
+    linked = set(zip(a.tolist(), b.tolist(), strict=True))
+    prefix = path >> np.uint64(48)
+    near = jaccard.alike(sketch[:, None, :], sketch[None, :, :])
+    for i in np.flatnonzero(absorbed):
+        own = [x for x, y in linked if y == i and near[x, i] >= jaccard.ABSORB and prefix[x] == prefix[i]]
+        # Its leader is still there, or an equal sketch stands for it.
+        assert any(not absorbed[x] or (near[x][~absorbed] >= jaccard.SAME).any() for x in own)
+    for i, j in combinations(np.flatnonzero(~absorbed), 2):
+        if prefix[i] == prefix[j] and near[i, j] >= jaccard.CANDIDATE:
+            assert (i, j) in linked or (j, i) in linked
+    assert absorbed.any() and led.any() and not absorbed.all()
+
+
 def test_prefix_depth_meets_the_recall():
     d = jaccard.depth_for(0.8, 0.999)
     assert 1 - (1 - 0.8**d) ** jaccard.TREES >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES
