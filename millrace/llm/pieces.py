@@ -31,6 +31,7 @@ MARK = "▁"
 #: Marks keys that take no space mark; no text holds a lone surrogate.
 BARE = "\ud800"
 CACHE_WORDS = 500_000
+CACHE_PAIRS = 1_000_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 #: Unigram scores of characters outside the vocabulary lie this far below the lowest.
@@ -82,6 +83,8 @@ class Pieces:
         """Whether merging neighbours by score, leftmost first, ends with these two (or with the right one alone)."""
         found = self.apart.get((left, right))
         if found is None:
+            if len(self.apart) >= CACHE_PAIRS:
+                self.apart.clear()
             found = self.apart[left, right] = self.merges_to(left, right)
         return found
 

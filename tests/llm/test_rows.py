@@ -295,6 +295,15 @@ def test_pieces_equal_the_library(kind, tmp_path):
             assert mine.decode(ids) == text
 
 
+def test_small_pair_cache_gives_the_same_pieces(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(" abcdethe▁é.") for _ in range(rng.randrange(60))) for _ in range(300)]
+    whole = pieces.Pieces(pieces.model_path()).encode(texts)
+    monkeypatch.setattr(pieces, "CACHE_PAIRS", 5)
+    small = pieces.Pieces(pieces.model_path())
+    assert small.encode(texts) == whole and len(small.apart) <= 5
+
+
 def test_pieces_on_tables(spark):
     rows = pieces.decode_table(pieces.encode_table(awkward(spark), pieces.model_path()), pieces.model_path()).collect()
     assert len(rows) == 12 and all(r["decoded"] == (r["text"] or "") for r in rows)
