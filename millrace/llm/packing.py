@@ -276,7 +276,8 @@ def pack(lengths: np.ndarray, columns: np.ndarray, sequence: int = SEQUENCE) ->
         if len(found) > 1:
             laid(found)
         else:
-            ends += found
+            # Others of this length would fail alike, so that many equal short documents are not tried one by one.
+            ends += found + [(length, stock.take(length)) for _ in range(int(stock.count[length]))]
     total = sum(length for length, _ in ends)
     room = [sequence] * (total // sequence) + [1 << k for k in range(sequence.bit_length(), -1, -1) if (total % sequence) >> k & 1]
     offset, at = 0, 0

@@ -334,7 +334,7 @@ def test_least_squares_and_packs():
     a, x = rng.random((20, 8)), np.array([0, 3.0, 0, 1.5, 0, 0, 2.0, 0])
     assert np.allclose(packing.nnls(a, a @ x), x, atol=1e-6)
     columns = packing.combinations()
-    for lengths in ([1], [2048], [4096, 1], rng.integers(1, 6000, 700), np.full(500, 1024), np.full(300, 683)):
+    for lengths in ([1], [2048], [4096, 1], rng.integers(1, 6000, 700), np.full(500, 1024), np.full(300, 683), np.full(4095, 1), np.full(4096, 3)):
         lengths = np.asarray(lengths)
         made = packing.pack(lengths, columns)
         cover = {}
