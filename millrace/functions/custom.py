@@ -43,16 +43,19 @@ def _names(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields]
 
 
-def aggregate_by(df: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFrame:
-    """One row per key: the key columns and ``agg.output``."""
+def _key_types(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
+    return df.select(*keys).schema.fields
+
+
+def _parts(key_types: Sequence[T.StructField], agg: Aggregator) -> T.StructType:
+    slot = T.StructField("__slot", T.IntegerType())
+    return T.StructType([*key_types, slot, *T._parse_datatype_string(agg.accumulator).fields])
+
+
+def fold_rows(df: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFrame:
+    """Each task's accumulators: the key columns, ``__slot`` and those of ``agg.accumulator``. No shuffle."""
     keys = list(keys)
-    key_schema = df.select(*keys).schema
-    parts = T.StructType(
-        [*key_schema.fields, T.StructField("__slot", T.IntegerType())]
-        + T._parse_datatype_string(agg.accumulator).fields
-    )
-    held = _names(parts)[len(keys) + 1 :]
-    out = T.StructType(key_schema.fields + T._parse_datatype_string(agg.output).fields)
+    parts = _parts(_key_types(df, keys), agg)
 
     def rows_of(folded: dict[tuple, tuple], slot: int) -> pd.DataFrame:
         return pd.DataFrame(
@@ -72,10 +75,24 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFra
         if folded:
             yield rows_of(folded, slot)
 
+    return df.mapInPandas(fold, parts)
+
+
+def merge_folds(partial: DataFrame, keys: Sequence[str], agg: Aggregator, results: bool = True) -> DataFrame:
+    """Accumulators of equal keys merged, by key and slot first: the key columns and ``agg.output``.
+
+    Without ``results`` the accumulators themselves come out, for a later merge.
+    """
+    keys = list(keys)
+    key_types = _key_types(partial, keys)
+    parts = _parts(key_types, agg)
+    held = _names(parts)[len(keys) + 1 :]
+    ends = T.StructType(key_types + T._parse_datatype_string(agg.output if results else agg.accumulator).fields)
+
     def merging(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        """Merge the runs of equal keys in sorted rows; ``whole`` gives results, else accumulators."""
+        """Merge the runs of equal keys in sorted rows; ``whole`` ends the merging."""
         width = len(keys) if whole else len(keys) + 1
-        schema = to_arrow_schema(out if whole else parts)
+        schema = to_arrow_schema(ends if whole else parts)
 
         def made(rows: list[tuple]) -> pa.RecordBatch:
             columns = zip(*rows, strict=True)
@@ -84,7 +101,7 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFra
             )
 
         def finished(key: tuple, total: tuple) -> tuple:
-            if not whole:
+            if not (whole and results):
                 return (*key, *total)
             result = agg.result(total)
             return (*key, *(result if isinstance(result, tuple) else (result,)))
@@ -109,8 +126,31 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFra
 
         return run
 
-    partial = df.mapInPandas(fold, parts)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(partial.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = [*keys, "__slot"]
-    per_slot = partial.repartition(n, *slots).sortWithinPartitions(*slots).mapInArrow(merging(False), parts)
-    return per_slot.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(merging(True), out)
+    rows = partial.select(*_names(parts))
+    per_slot = rows.repartition(n, *slots).sortWithinPartitions(*slots).mapInArrow(merging(False), parts)
+    return per_slot.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(merging(True), ends)
+
+
+def aggregate_by(df: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFrame:
+    """One row per key: the key columns and ``agg.output``."""
+    return merge_folds(fold_rows(df, keys, agg), keys, agg)
+
+
+def finish_folds(folds: DataFrame, keys: Sequence[str], agg: Aggregator) -> DataFrame:
+    """The results of accumulators that need no more merging, one row per key."""
+    key_types = _key_types(folds, keys)
+    held = _names(T._parse_datatype_string(agg.accumulator))
+    out = T.StructType(key_types + T._parse_datatype_string(agg.output).fields)
+    schema = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.to_pydict()
+            results = [agg.result(acc) for acc in zip(*[values[c] for c in held], strict=True)]
+            results = [r if isinstance(r, tuple) else (r,) for r in results]
+            columns = [*[values[k] for k in keys], *(zip(*results, strict=True) if results else [[] for _ in range(len(schema) - len(keys))])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return folds.select(*keys, *held).mapInArrow(run, out)

@@ -13,6 +13,13 @@ def windowed_counts(df: DataFrame, time: str, value: str, length: str, slide: st
     return counts.select(F.col("__w.end").alias("window_end"), value, "cnt")
 
 
+def closing_counts(stream: DataFrame, time: str, value: str, length: str, slide: str) -> DataFrame:
+    """The same on a stream, for a stateful operator behind it: ``end_ms``, value, ``cnt`` and ``closed``, the
+    window's own time, which keeps the watermark."""
+    counts = stream.groupBy(F.window(time, length, slide).alias("__w"), value).agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.select(F.unix_millis(F.col("__w.end")).alias("end_ms"), value, "cnt", F.window_time("__w").alias("closed"))
+
+
 def rank_counts(counts: DataFrame, value: str, n: int) -> DataFrame:
     """The ``n`` largest counts per window end with their rank; equal counts by value.
 

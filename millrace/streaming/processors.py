@@ -16,22 +16,33 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def apply(
-    stream: DataFrame, key: str, processor: KeyedProcessor, time_mode: str = "None"
+    stream: DataFrame, key: str, processor: KeyedProcessor, time_mode: str = "None", before: DataFrame | None = None
 ) -> DataFrame:
-    """Run a processor per key. ``time_mode``: ``None``, ``ProcessingTime`` or ``EventTime``."""
+    """Run a processor per key. ``time_mode``: ``None``, ``ProcessingTime`` or ``EventTime``.
+
+    ``before`` has the state of keys from an earlier query, one row per key, for a processor with ``on_state``.
+    """
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=f"{key} {dict(stream.dtypes)[key]}, {processor.OUTPUT}",
         outputMode="Append",
         timeMode=time_mode,
+        initialState=before.groupBy(key) if before is not None else None,
     )
 
 
+def state_of(spark: SparkSession, checkpoint: str, key: str, name: str) -> DataFrame:
+    """The value state ``name`` that a stopped query left in its checkpoint: the key and the state's columns."""
+    stored = spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+    return stored.select(F.col(f"key.{key}").alias(key), "value.*")
+
+
 class KeyedProcessor(StatefulProcessor):
     """Sorts a key's new rows and hands them to ``on_rows``, which returns the columns of ``OUTPUT``."""
 
@@ -52,6 +63,13 @@ class KeyedProcessor(StatefulProcessor):
     def on_timer(self, at_ms: int) -> list[Any] | None:
         """What an expired timer puts out."""
 
+    def on_state(self, row: tuple) -> None:
+        """Take up what an earlier query left for the key, without the key itself."""
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: Any) -> None:
+        for row in initialState.drop(columns=self.key).astype(object).itertuples(index=False, name=None):
+            self.on_state(tuple(None if pd.isna(v) else v for v in row))
+
     def _frame(self, key: tuple, columns: list[Any] | None) -> Iterator[pd.DataFrame]:
         if columns is not None and len(columns[0]):
             names = [part.split()[0] for part in self.OUTPUT.split(", ")]
@@ -170,6 +188,19 @@ class RunningFold(KeyedProcessor):
         return [rows["seq"], totals, count, totals.astype("Float64") / count, lows, highs]
 
 
+class CarriedFold(RunningFold):
+    """The running fold as a changed query: its state comes from the query before, and it gives other columns."""
+
+    OUTPUT = "seq bigint, total bigint, n bigint, spread int"
+
+    def on_state(self, row: tuple) -> None:
+        self.stored.update(tuple(None if v is None else int(v) for v in row))
+
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
+        seq, totals, count, _, lows, highs = super().on_rows(rows, timers)
+        return [seq, totals, count, highs - lows]
+
+
 class SumChangelog(KeyedProcessor):
     """Change rows of a grouped sum: ``+I`` first, then ``-U`` and ``+U`` per row."""
 
@@ -413,3 +444,40 @@ class LatenessWindows(KeyedProcessor):
             if self.windows.containsKey(closed):
                 self.windows.removeKey(closed)
         return out
+
+
+class TopCounts(KeyedProcessor):
+    """The ``n`` largest counts of a window, ranked when a timer at its end fires; equal counts by value, null first.
+
+    The key is the window's end in milliseconds. Counts of a window may come in any number of frames and batches; only the
+    ``n`` largest are kept, and the timer clears them.
+    """
+
+    OUTPUT = "vc int, cnt bigint, rank int"
+    key = "end_ms"
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getListState("best", "vc int, cnt bigint")
+        self.timer = handle.getValueState("timer", "at_ms bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        best = [tuple(item) for item in self.best.get()] if self.best.exists() else []
+        for frame in rows:
+            most = frame.assign(vc=values_of(frame)).sort_values(["cnt", "vc"], ascending=[False, True], na_position="first").head(self.n)
+            new = [(None if pd.isna(v) else int(v), int(c)) for v, c in zip(most["vc"], most["cnt"], strict=True)]
+            best = sorted(best + new, key=lambda item: (-item[1], item[0] is not None, item[0] or 0))[: self.n]
+        self.best.put(best)
+        if not self.timer.exists():
+            self.timer.update((int(key[0]),))
+            self.handle.registerTimer(int(key[0]))
+        yield from ()
+
+    def on_timer(self, at_ms: int) -> list[Any]:
+        best = [tuple(item) for item in self.best.get()]
+        self.best.clear()
+        self.timer.clear()
+        values = pd.Series([v for v, _ in best], dtype="Int64")
+        return [values, [c for _, c in best], list(range(1, len(best) + 1))]
