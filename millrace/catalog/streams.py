@@ -25,7 +25,7 @@ from millrace.catalog.base import (
     sensor_of,
     table,
 )
-from millrace.catalog.joins import INTERVAL_JOIN, THRESHOLD, TOKENS, of_type
+from millrace.catalog.joins import INTERVAL_JOIN, THRESHOLD, TOKENS
 from millrace.catalog.keyed import CHANGES, FLOOR, JUMPS, RUNNING_AVG, TOP3, VALUE_COUNTS, three_of
 from millrace.catalog.windowed import COUNT_SLIDE, LATE, SESSIONS, TOP, TUMBLE, count_and_sum, in_seconds
 from millrace.functions.text import java_split
@@ -38,7 +38,7 @@ from millrace.sources.log import FileLog, copy_log
 from millrace.sources.text import stream_lines
 from millrace.streaming import processors
 from millrace.streaming.batchwise import follow_lateness, follow_settings
-from millrace.streaming.keyed import follow_running, follow_top
+from millrace.streaming.keyed import follow_counts, follow_running, follow_top
 from millrace.streaming.run import BatchTable, Replay, run_batches, run_to_table
 
 STEPS = 4
@@ -166,12 +166,29 @@ def event_timer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(timers, "timers", replays=[source])
 
 
-def processed(
-    spark: SparkSession, sf_dir: str, processor: processors.KeyedProcessor, label: str
-) -> DataFrame:
-    """A processor over the readings by user, in arrival order."""
-    source = small_steps(sensor(spark, sf_dir).select("uid", "seq", "vc"))
-    return run_to_table(processors.apply(source.stream(), "uid", processor), label, replays=[source])
+@query(
+    "q_event_timers_repeated",
+    f"""WITH RECURSIVE {SENSOR}, e AS (SELECT uid, max(epoch_us(ts) // 1000) OVER (
+      PARTITION BY uid ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ms FROM sensor),
+    t AS (
+      SELECT uid, min(ms) + {6 * HOUR_MS} AS timer_ms FROM e GROUP BY uid
+      UNION ALL
+      SELECT t.uid, min(e.ms) + {6 * HOUR_MS} FROM t JOIN e ON e.uid = t.uid AND e.ms >= t.timer_ms GROUP BY t.uid)
+    SELECT uid, timer_ms FROM t""",
+)
+def event_timers_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's next timer is set by the first reading at or past the last one; one that fires clears the state."""
+    rows = sensor(spark, sf_dir).select("uid", "seq", "ts", "vc")
+    source = small_steps(rows, end_of_input(rows))
+    stream = source.stream().withColumn("time_ms", F.unix_millis("ts")).withWatermark("ts", "2 hours")
+    timers = processors.apply(stream, "uid", processors.RowTimers(6 * HOUR_MS), "EventTime")
+    return run_to_table(timers, "timers-repeated", replays=[source])
+
+
+def count_windows(spark: SparkSession, sf_dir: str, size: int, slide: int) -> DataFrame:
+    """Count windows of the readings by user, whatever share of them one user has."""
+    source = replay(sensor(spark, sf_dir).select("uid", "seq", "vc"))
+    return follow_counts(source.stream(), ["uid"], ["seq"], size, slide, "vc", "counted", replays=[source])
 
 
 def running_values(
@@ -262,35 +279,38 @@ def connect_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(joined.drop("l_orderkey"), "connect")
 
 
+def two_sides(spark: SparkSession, sf_dir: str, other: str) -> tuple[Replay, DataFrame, DataFrame]:
+    """Purchases and readings of another type as two streams of one replay, cut at the same order values.
+
+    So no side runs ahead of the other, and a watermark of hours is enough for both.
+    """
+    source = replay(sensor(spark, sf_dir).where(F.col("id").isin("purchase", other)).select("uid", "id", "seq", "ts"))
+
+    def side(kind: str, name: str) -> DataFrame:
+        rows = source.stream().where(F.col("id") == kind)
+        return rows.select("uid", F.col("seq").alias(f"{name}_seq"), F.col("ts").alias(f"{name}_ts")).withWatermark(f"{name}_ts", "2 hours")
+
+    return source, side("purchase", "left"), side(other, "right")
+
+
 @query("q_interval_join_stream", INTERVAL_JOIN)
 def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides carry a watermark, so the join's state is bounded by the interval."""
-    rows = sensor(spark, sf_dir)
-    sources = [replay(of_type(rows, "purchase", "seq", "left_ts")), replay(of_type(rows, "view", "seq", "right_ts"))]
-    left = sources[0].stream().select("uid", F.col("seq").alias("left_seq"), "left_ts")
-    right = sources[1].stream().select(F.col("uid").alias("right_uid"), F.col("seq").alias("right_seq"), "right_ts")
+    source, left, right = two_sides(spark, sf_dir, "view")
     near = F.col("right_ts").between(
         F.col("left_ts") - F.expr(HOUR_BOUND), F.col("left_ts") + F.expr(HOUR_BOUND)
     )
-    # The two sides are cut at their own quantiles, days apart at most in so few steps.
-    joined = left.withWatermark("left_ts", "30 days").join(
-        right.withWatermark("right_ts", "30 days"),
-        (F.col("uid") == F.col("right_uid")) & near,
-    )
-    return run_to_table(joined.select("uid", "left_seq", "right_seq"), "near", replays=sources)
+    right = right.withColumnRenamed("uid", "right_uid")
+    joined = left.join(right, (F.col("uid") == F.col("right_uid")) & near)
+    return run_to_table(joined.select("uid", "left_seq", "right_seq"), "near", replays=[source])
 
 
 @query("q_window_join_stream", REGISTRY["q_window_join"].oracle)
 def window_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join key holds the window, so both sides' state goes once the watermark passes it."""
-    rows = sensor(spark, sf_dir)
-    sources = [
-        replay(of_type(rows, kind, "seq", f"{side}_ts").withColumnRenamed("seq", f"{side}_seq"), order=f"{side}_seq")
-        for kind, side in (("purchase", "left"), ("click", "right"))
-    ]
-    left, right = (r.stream().withWatermark(f"{side}_ts", "30 days") for r, side in zip(sources, ("left", "right"), strict=True))
+    source, left, right = two_sides(spark, sf_dir, "click")
     joined = window_join(left, right, "uid", "left_ts", "right_ts", WINDOW)
-    made = run_to_table(joined.select("uid", "window_start", "left_seq", "right_seq"), "window_join", replays=sources)
+    made = run_to_table(joined.select("uid", "window_start", "left_seq", "right_seq"), "window_join", replays=[source])
     return in_seconds(made, "window_start")
 
 
@@ -333,7 +353,7 @@ def state_running_avg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_count_slide_stream", COUNT_SLIDE)
 def count_slide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed(spark, sf_dir, processors.CountWindows(5, 2), "slides")
+    return count_windows(spark, sf_dir, 5, 2)
 
 
 def follow_late(spark: SparkSession, sf_dir: str, stops: tuple[int, ...]) -> DataFrame:
@@ -419,7 +439,7 @@ def state_running_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM r GROUP BY uid, (n - 1) // 5 HAVING count(*) = 5""",
 )
 def count_tumble_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed(spark, sf_dir, processors.CountWindows(5), "count_tumble")
+    return count_windows(spark, sf_dir, 5, 5)
 
 
 @query(

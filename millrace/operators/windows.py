@@ -148,14 +148,19 @@ def sliding_count_sums(
         summed = scan.add(__rn=running_count()).result().withColumns(_recent(value, frame))
         fired = summed.filter(F.col("__rn") % slide == 0)
         return fired.select(*keys, F.col("__rn").alias("firing"), "n", "total")
-    step = max(block_rows, size)
     numbered = scan.add(__rn=running_count()).result()
-    home = F.floor((F.col("__rn") - 1) / step)
-    reach = F.floor((F.col("__rn") + (size - 2)) / step)
-    blocks = numbered.withColumn("__home", home).withColumn(
-        "__block", F.explode(F.sequence(home, reach))
-    )
-    frame = Window.partitionBy(*keys, "__block").orderBy("__rn").rowsBetween(-(size - 1), 0)
-    summed = blocks.withColumns(_recent(value, frame))
-    fired = summed.filter((F.col("__home") == F.col("__block")) & (F.col("__rn") % slide == 0))
+    fired = recent_sums(numbered, keys, "__rn", size, value, block_rows).filter(F.col("__rn") % slide == 0)
     return fired.select(*keys, F.col("__rn").alias("firing"), "n", "total")
+
+
+def recent_sums(numbered: DataFrame, keys: Sequence[str], number: str, size: int, value: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Adds count and sum of the last ``size`` rows to rows that ``number`` counts per key.
+
+    Rows are cut into blocks by number, and a block gets copies of the ``size - 1`` rows before it.
+    """
+    step = max(block_rows, size)
+    home = F.floor((F.col(number) - 1) / step)
+    reach = F.floor((F.col(number) + (size - 2)) / step)
+    blocks = numbered.withColumn("__home", home).withColumn("__block", F.explode(F.sequence(home, reach)))
+    frame = Window.partitionBy(*keys, "__block").orderBy(number).rowsBetween(-(size - 1), 0)
+    return blocks.withColumns(_recent(value, frame)).filter(F.col("__home") == F.col("__block")).drop("__home", "__block")

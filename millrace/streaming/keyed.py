@@ -17,7 +17,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.scan import CHUNK_ROWS, OrderedScan, Running, last_value
+from millrace.operators.windows import BLOCK_ROWS, recent_sums
+from millrace.plans.scan import CHUNK_ROWS, OrderedScan, Running, first_value, last_value, running_count, whole_count
 from millrace.session import scratch_dir
 from millrace.streaming.batchwise import Carry
 from millrace.streaming.run import BatchTable, Replay, ddl, run_batches
@@ -121,6 +122,47 @@ def follow_top(
     return _follow(stream, step, state_of, then, label, checkpoint, replays, upto)
 
 
+def follow_counts(
+    stream: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    size: int,
+    slide: int,
+    value: str,
+    label: str,
+    checkpoint: str | None = None,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Every ``slide`` rows per key, count and sum of the last ``size`` rows; ``firing`` is the row's number.
+
+    The carry is a key's last rows with their numbers, as many as a later window can still reach. With
+    ``slide == size`` windows do not overlap and only full ones fire.
+    """
+    reach = max(size - 1, 1)
+    kept = [*keys, *order, value, "__no"]
+
+    def numbered_of(rows: DataFrame) -> DataFrame:
+        # A key's first row is its earliest carried one, whose number is known, or its very first.
+        scan = OrderedScan(rows, keys, order, chunk_rows).add(__rn=running_count(), __first=first_value(F.col("__no")), __all=whole_count())
+        return scan.result().withColumn("__no", F.col("__rn") + F.coalesce("__first", F.lit(1)) - 1)
+
+    def state_of(rows: DataFrame) -> DataFrame:
+        numbered = rows if "__rn" in rows.columns else numbered_of(rows.withColumn("__no", F.lit(None).cast("bigint")))
+        return numbered.where(F.col("__rn") > F.col("__all") - reach).select(*kept)
+
+    def step(batch: DataFrame, past: DataFrame) -> tuple[DataFrame, DataFrame]:
+        fresh = batch.select(*keys, *order, value, F.lit(None).cast("bigint").alias("__no"), F.lit(False).alias("__held"))
+        numbered = numbered_of(fresh.unionByName(past.withColumn("__held", F.lit(True))))
+        summed = recent_sums(numbered, keys, "__no", size, value, block_rows)
+        fired = summed.where(~F.col("__held") & (F.col("__no") % slide == 0))
+        return fired.select(*keys, F.col("__no").alias("firing"), "n", "total"), state_of(numbered)
+
+    return _follow(stream, step, state_of, lambda rows: rows, label, checkpoint, replays, upto)
+
+
 def top_changes(rows: DataFrame, k: int) -> DataFrame:
     """The change rows of a top-k list: ``op`` -D and +I, ``rank`` and ``value``, for ranks that changed only."""
 

@@ -314,6 +314,38 @@ class FirstRowTimer(KeyedProcessor):
         return [[at_ms]]
 
 
+class RowTimers(KeyedProcessor):
+    """Event-time timers one after another: a row at or past the key's last timer sets the next, ``after_ms`` later.
+
+    A timer that fires clears the state unless a later one is pending, so a key that falls silent keeps nothing. Rows
+    before a fired timer are late and do not reach the processor.
+    """
+
+    OUTPUT = "timer_ms bigint"
+
+    def __init__(self, after_ms: int) -> None:
+        self.after_ms = after_ms
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "at_ms bigint")
+
+    def on_rows(self, rows: pd.DataFrame, timers: Any) -> None:
+        times = np.maximum.accumulate(rows["time_ms"].dropna().to_numpy(np.int64))
+        last = self.last.get()[0] if self.last.exists() else None
+        at = 0 if last is None else int(np.searchsorted(times, last))
+        while at < len(times):
+            last = int(times[at]) + self.after_ms
+            self.handle.registerTimer(last)
+            at = int(np.searchsorted(times, last))
+        if last is not None:
+            self.last.update((last,))
+
+    def on_timer(self, at_ms: int) -> list[Any]:
+        if self.last.exists() and self.last.get()[0] == at_ms:
+            self.last.clear()
+        return [[at_ms]]
+
+
 class ClockTimer(KeyedProcessor):
     """Processing-time timer ``after_ms`` past the batch that brings a key's row."""
 

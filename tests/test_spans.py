@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions.custom import Aggregator
 from millrace.session import scratch_dir
 from millrace.sinks.rolling import RollingFiles
-from millrace.streaming import processors, spans
+from millrace.streaming import keyed, processors, spans
 from millrace.streaming.run import Replay, run_to_table
 from test_carried import again
 
@@ -270,3 +270,39 @@ def test_a_changed_query_starts_from_the_state_of_the_one_before(spark):
     made = run_to_table(processors.apply(two.stream(), "uid", processors.CarriedFold(), before=kept), "new", replays=[two])
     got = {r["seq"]: (r["total"], r["n"], r["spread"]) for r in made.collect()}
     assert got == {4: (7, 3, 3), 5: (7, 2, 0), 6: (1, 1, 0), 7: (13, 2, 5), 8: (7, 3, 0)}
+
+
+@pytest.mark.parametrize(("chunk_rows", "block_rows"), [(20, 16), (100_000, 65_536)])
+@pytest.mark.parametrize(("size", "slide"), [(5, 2), (5, 5), (1, 1), (3, 4)])
+def test_count_windows_reach_over_batches(spark, chunk_rows, block_rows, size, slide):
+    df, rows = readings(spark, 200, seed=4)
+    source, checkpoint = Replay(df, "seq", 4), scratch_dir(spark, "counts")
+    for upto, replays in ((2, [source]), (None, []), (4, [source]), (None, [])):
+        made = keyed.follow_counts(
+            source.stream(), ["k"], ["seq"], size, slide, "vc", "counts", checkpoint, replays, upto, chunk_rows, block_rows
+        )
+        if replays:
+            again(checkpoint)
+    past, want = defaultdict(list), Counter()
+    for _, k, _, vc in rows:
+        past[k].append(vc)
+        if len(past[k]) % slide == 0:
+            last = past[k][-size:]
+            known = [v for v in last if v is not None]
+            want[k, len(past[k]), len(last), sum(known) if known else None] += 1
+    assert Counter(tuple(r) for r in made.select("k", "firing", "n", "total").collect()) == want
+
+
+def test_timers_follow_one_another_and_leave_no_state(spark):
+    times = {"a": [0, 3, 10, 11, 25, 40], "b": [2, 12, 13], None: [5]}
+    rows = sorted((at, k) for k, ats in times.items() for at in ats if k) + [(5, None)]
+    rows = [(i, k, at, 0) for i, (at, k) in enumerate(sorted(rows, key=lambda r: r[0]))] + [(99, "end", 500, 0)]
+    df = spark.createDataFrame(rows, "seq bigint, uid string, at bigint, vc int").withColumn("ts", F.timestamp_seconds(F.col("at") + 1000)).drop("at")
+    for steps in (1, 3):
+        source, checkpoint = Replay(df, "seq", steps), scratch_dir(spark, "timers")
+        stream = source.stream().withColumn("time_ms", F.unix_millis("ts")).withWatermark("ts", "0 seconds")
+        made = run_to_table(processors.apply(stream, "uid", processors.RowTimers(10_000), "EventTime"), "timers", checkpoint=checkpoint, replays=[source])
+        got = Counter((r["uid"], r["timer_ms"] // 1000 - 1000) for r in made.collect())
+        assert got == Counter([("a", 10), ("a", 20), ("a", 35), ("a", 50), ("b", 12), ("b", 22), (None, 15)])
+        left = processors.state_of(spark, checkpoint, "uid", "last")
+        assert [r["uid"] for r in left.collect()] == ["end"]
