@@ -39,10 +39,10 @@ from millrace.sources.text import stream_lines
 from millrace.streaming import processors
 from millrace.streaming.batchwise import follow_lateness, follow_settings
 from millrace.streaming.keyed import follow_counts, follow_running, follow_top
-from millrace.streaming.run import BatchTable, Replay, run_batches, run_to_table
+from millrace.streaming.run import BatchTable, Replay, run_batches, run_to_table, step_of
 
 STEPS = 4
-#: A step of a replay has no more rows than this where a batch meets in one task per key.
+#: A step of a replay has no more rows of one key than this where those meet in one task.
 BATCH_ROWS = 100_000
 HOUR_BOUND = "INTERVAL 2 HOURS"
 SPOKEN = f"SELECT unnest({TOKENS}) AS word FROM conversations"
@@ -63,9 +63,18 @@ def replay(rows: DataFrame, end: DataFrame | None = None, order: str = "seq") ->
     return Replay(rows, order, STEPS, end)
 
 
-def small_steps(rows: DataFrame, end: DataFrame | None = None) -> Replay:
-    """For processors, which take a key's rows of a batch as one frame: the steps grow with the table, not the batches."""
-    return Replay(rows, "seq", max(STEPS, -(-rows.count() // BATCH_ROWS)), end)
+def small_steps(rows: DataFrame, end: DataFrame | None = None, key: str = "uid") -> Replay:
+    """For processors, which take a key's rows of a batch at once: the steps double until none has more than ``BATCH_ROWS`` rows of a key.
+
+    Each step calls every key it has rows of, so steps that grow with the table would call keys with the table times its keys.
+    """
+    steps, most = STEPS, -(-rows.count() // BATCH_ROWS)
+    while steps < most:
+        sizes = rows.groupBy(key, step_of(rows, "seq", steps).alias("__step")).agg(F.count(F.lit(1)).alias("n"))
+        if sizes.agg(F.max("n")).first()[0] <= BATCH_ROWS:
+            break
+        steps = min(2 * steps, most)
+    return Replay(rows, "seq", steps, end)
 
 
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

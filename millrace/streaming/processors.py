@@ -1,8 +1,10 @@
-"""Per-key state on streams, for ``groupBy(key).transformWithStateInPandas``.
+"""Per-key state on streams, for ``groupBy(key).transformWithState`` and its form in pandas.
 
-A processor takes the rows of a key that one micro-batch brings as one frame, in arrival
+A processor takes the rows of a key that one micro-batch brings at once, in arrival
 order, and reads and writes its state once. Batches are bounded by the source's
 rate limit or the steps of a replay, and so is what a hot key hands to one task.
+A ``KeyedProcessor`` gets a frame, a ``PlainProcessor`` plain tuples: to build a frame and to turn
+one into Arrow take some milliseconds per key and batch, which with many keys of few rows is most of the time.
 Each class names its output in ``OUTPUT``; ``apply`` wires it to a stream. A null value
 is no value, as in the batch operators: it changes no sum, extreme or last value, and
 counts as a row. Values are 32-bit integers, which pandas holds exactly beside nulls.
@@ -10,25 +12,27 @@ counts as a row. Values are 32-bit integers, which pandas holds exactly beside n
 
 from __future__ import annotations
 
-from bisect import insort
-from collections.abc import Iterator
+from bisect import bisect_right, insort
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def apply(
-    stream: DataFrame, key: str, processor: KeyedProcessor, time_mode: str = "None", before: DataFrame | None = None
+    stream: DataFrame, key: str, processor: KeyedProcessor | PlainProcessor, time_mode: str = "None", before: DataFrame | None = None
 ) -> DataFrame:
     """Run a processor per key. ``time_mode``: ``None``, ``ProcessingTime`` or ``EventTime``.
 
     ``before`` has the state of keys from an earlier query, one row per key, for a processor with ``on_state``.
     """
-    return stream.groupBy(key).transformWithStateInPandas(
+    grouped = stream.groupBy(key)
+    run = grouped.transformWithState if isinstance(processor, PlainProcessor) else grouped.transformWithStateInPandas
+    return run(
         statefulProcessor=processor,
         outputStructType=f"{key} {dict(stream.dtypes)[key]}, {processor.OUTPUT}",
         outputMode="Append",
@@ -90,6 +94,50 @@ class KeyedProcessor(StatefulProcessor):
         pass
 
 
+class PlainProcessor(StatefulProcessor):
+    """Sorts a key's new rows and hands their columns to ``on_rows`` as tuples of plain values, a null as None."""
+
+    OUTPUT = ""
+    key = "uid"
+    order = "seq"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.made = Row(self.key, *[part.split()[0] for part in self.OUTPUT.split(", ")])
+        self.open(handle)
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        """Declare the state."""
+
+    def on_rows(self, rows: dict[str, tuple], timers: Any) -> list[Sequence[Any]] | None:
+        """One sequence per output column, or nothing."""
+
+    def on_timer(self, at_ms: int, timers: Any) -> list[Sequence[Any]] | None:
+        """What an expired timer puts out."""
+
+    def on_state(self, row: tuple) -> None:
+        """Take up what an earlier query left for the key, without the key itself."""
+
+    def handleInitialState(self, key: tuple, initialState: Row, timerValues: Any) -> None:
+        self.on_state(tuple(v for name, v in zip(initialState.__fields__, initialState, strict=True) if name != self.key))
+
+    def _rows(self, key: tuple, columns: list[Sequence[Any]] | None) -> Iterator[Row]:
+        return (self.made(key[0], *values) for values in zip(*columns, strict=True)) if columns else iter(())
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        batch = list(rows)
+        names = batch[0].__fields__
+        at = names.index(self.order)
+        batch.sort(key=lambda row: (row[at] is None, row[at]))
+        return self._rows(key, self.on_rows(dict(zip(names, zip(*batch, strict=True), strict=True)), timerValues))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        return self._rows(key, self.on_timer(expiredTimerInfo.getExpiryTimeInMs(), timerValues))
+
+    def close(self) -> None:
+        pass
+
+
 def values_of(rows: pd.DataFrame) -> pd.Series:
     return rows["vc"].astype("Int64")
 
@@ -314,11 +362,12 @@ class FirstRowTimer(KeyedProcessor):
         return [[at_ms]]
 
 
-class RowTimers(KeyedProcessor):
+class RowTimers(PlainProcessor):
     """Event-time timers one after another: a row at or past the key's last timer sets the next, ``after_ms`` later.
 
-    A timer that fires clears the state unless a later one is pending, so a key that falls silent keeps nothing. Rows
-    before a fired timer are late and do not reach the processor.
+    Only the earliest pending one is a timer of Spark's; when it fires, all that the watermark has passed come out at once
+    and the next one is set, so a batch calls a key once however many timers it passes. The last of them clears the
+    state, so a key that falls silent keeps nothing. Rows before a fired timer are late and do not reach the processor.
     """
 
     OUTPUT = "timer_ms bigint"
@@ -327,23 +376,29 @@ class RowTimers(KeyedProcessor):
         self.after_ms = after_ms
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "at_ms bigint")
-
-    def on_rows(self, rows: pd.DataFrame, timers: Any) -> None:
-        times = np.maximum.accumulate(rows["time_ms"].dropna().to_numpy(np.int64))
-        last = self.last.get()[0] if self.last.exists() else None
-        at = 0 if last is None else int(np.searchsorted(times, last))
-        while at < len(times):
-            last = int(times[at]) + self.after_ms
-            self.handle.registerTimer(last)
-            at = int(np.searchsorted(times, last))
-        if last is not None:
-            self.last.update((last,))
-
-    def on_timer(self, at_ms: int) -> list[Any]:
-        if self.last.exists() and self.last.get()[0] == at_ms:
+        self.last = handle.getValueState("last", "at_ms bigint, pending array<bigint>")
+
+    def on_rows(self, rows: dict[str, tuple], timers: Any) -> None:
+        last, pending = self.last.get() or (None, [])
+        added = []
+        for time_ms in rows["time_ms"]:
+            if time_ms is not None and (last is None or time_ms >= last):
+                last = time_ms + self.after_ms
+                added.append(last)
+        if added:
+            if not pending:
+                self.handle.registerTimer(added[0])
+            self.last.update((last, [*pending, *added]))
+
+    def on_timer(self, at_ms: int, timers: Any) -> list[Sequence[Any]]:
+        last, pending = self.last.get()
+        due = bisect_right(pending, timers.getCurrentWatermarkInMs())
+        if due < len(pending):
+            self.handle.registerTimer(pending[due])
+            self.last.update((last, pending[due:]))
+        else:
             self.last.clear()
-        return [[at_ms]]
+        return [pending[:due]]
 
 
 class ClockTimer(KeyedProcessor):

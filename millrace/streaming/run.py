@@ -12,6 +12,14 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.session import configure, scratch_dir
 
+
+def step_of(df: DataFrame, order: str, steps: int) -> Column:
+    """The number of a row's step, when the integer column ``order`` is cut at its quantiles into so many."""
+    cuts = [i / steps for i in range(1, steps)]
+    bounds = df.agg(F.percentile_approx(order, cuts, 100_000)).first()[0] if cuts else []
+    return sum((F.coalesce(F.col(order) > b, F.lit(False)).cast("int") for b in bounds or []), F.lit(0))
+
+
 class Replay:
     """A table published step by step to a folder that a stream reads.
 
@@ -27,10 +35,7 @@ class Replay:
         self.spark, self.schema, self.steps = df.sparkSession, df.schema, steps
         self.path, self.staged = scratch_dir(self.spark, "replay"), scratch_dir(self.spark, "staged")
         self.next = 0
-        cuts = [i / steps for i in range(1, steps)]
-        bounds = df.agg(F.percentile_approx(order, cuts, 100_000)).first()[0] if cuts else []
-        place = sum((F.coalesce(F.col(order) > b, F.lit(False)).cast("int") for b in bounds or []), F.lit(0))
-        staged = df.withColumn("__step", place)
+        staged = df.withColumn("__step", step_of(df, order, steps))
         if end is not None:
             staged = staged.unionByName(end.withColumn("__step", F.lit(steps)))
             self.steps += 1
