@@ -213,7 +213,7 @@ class ValueCounts(KeyedProcessor):
         return [rows["seq"], vc, place.to_numpy() + np.array(start)]
 
 
-class RunningFold(KeyedProcessor):
+class RunningFold(PlainProcessor):
     """Reducing and aggregating state: running sum, count, mean, smallest and largest value."""
 
     OUTPUT = "seq bigint, total bigint, n bigint, mean double, low int, high int"
@@ -221,19 +221,21 @@ class RunningFold(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.stored = handle.getValueState("fold", "total bigint, n bigint, low int, high int")
 
-    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
-        total, n, low, high = self.stored.get() if self.stored.exists() else (None, 0, None, None)
-        vc = values_of(rows)
-
-        def with_state(state: int | None, fold: str) -> pd.Series:
-            series = pd.concat([pd.Series([pd.NA if state is None else state], dtype="Int64"), vc], ignore_index=True)
-            return getattr(series, fold)().ffill().iloc[1:].reset_index(drop=True)
-
-        totals, lows, highs = with_state(total, "cumsum"), with_state(low, "cummin"), with_state(high, "cummax")
-        count = n + 1 + np.arange(len(vc))
-        ends = [None if pd.isna(s.iloc[-1]) else int(s.iloc[-1]) for s in (totals, lows, highs)]
-        self.stored.update((ends[0], int(count[-1]), ends[1], ends[2]))
-        return [rows["seq"], totals, count, totals.astype("Float64") / count, lows, highs]
+    def on_rows(self, rows: dict[str, tuple], timers: Any) -> list[Sequence[Any]]:
+        total, n, low, high = self.stored.get() or (None, 0, None, None)
+        totals, counts, lows, highs = [], [], [], []
+        for n, vc in enumerate(rows["vc"], n + 1):
+            if vc is not None:
+                total = vc if total is None else total + vc
+                low = vc if low is None or vc < low else low
+                high = vc if high is None or vc > high else high
+            totals.append(total)
+            counts.append(n)
+            lows.append(low)
+            highs.append(high)
+        self.stored.update((total, n, low, high))
+        means = [None if t is None else float(t) / n for t, n in zip(totals, counts, strict=True)]
+        return [rows["seq"], totals, counts, means, lows, highs]
 
 
 class CarriedFold(RunningFold):
@@ -244,9 +246,9 @@ class CarriedFold(RunningFold):
     def on_state(self, row: tuple) -> None:
         self.stored.update(tuple(None if v is None else int(v) for v in row))
 
-    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
-        seq, totals, count, _, lows, highs = super().on_rows(rows, timers)
-        return [seq, totals, count, highs - lows]
+    def on_rows(self, rows: dict[str, tuple], timers: Any) -> list[Sequence[Any]]:
+        seq, totals, counts, _, lows, highs = super().on_rows(rows, timers)
+        return [seq, totals, counts, [None if h is None else h - l for l, h in zip(lows, highs, strict=True)]]
 
 
 class SumChangelog(KeyedProcessor):

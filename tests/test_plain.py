@@ -76,3 +76,13 @@ def test_one_call_takes_all_timers_that_the_watermark_has_passed():
     assert timers.on_timer(10, handle) == [[10, 22]] and handle.set == [10, 50]
     handle.watermark = 60
     assert timers.on_timer(50, handle) == [[50, 60]] and handle.set == [10, 50] and not handle.values
+
+
+def test_folds_on_plain_rows():
+    fold, carried = processors.RunningFold(), processors.CarriedFold()
+    opened(fold)
+    opened(carried)
+    carried.handleInitialState(("k",), Row(uid="k", total=5, n=2, low=2, high=3), None)
+    assert given(fold, (2, 0, 7), (1, 0, None)) == [(1, None, 1, None, None, None), (2, 7, 2, 3.5, 7, 7)]
+    assert given(fold, (3, 0, -1)) == [(3, 6, 3, 2.0, -1, 7)]
+    assert given(carried, (4, 0, None), (5, 0, 9)) == [(4, 5, 3, 1), (5, 14, 4, 7)]
