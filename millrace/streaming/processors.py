@@ -335,7 +335,7 @@ class ExpiringValue(KeyedProcessor):
         return [rows["seq"], state]
 
 
-class FirstRowTimer(KeyedProcessor):
+class FirstRowTimer(PlainProcessor):
     """Event-time timer set by a key's first row, ``after_ms`` later; fires once per key.
 
     ``time_ms`` is the event time of a row. With ``cancel_above`` a later row of a larger
@@ -351,16 +351,16 @@ class FirstRowTimer(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.timer = handle.getValueState("timer", "at_ms bigint")
 
-    def on_rows(self, rows: pd.DataFrame, timers: Any) -> None:
-        first = not self.timer.exists()
-        at = int(rows["time_ms"].iloc[0]) + self.after_ms if first else self.timer.get()[0]
-        if first:
+    def on_rows(self, rows: dict[str, tuple], timers: Any) -> None:
+        found = self.timer.get()
+        at = found[0] if found else rows["time_ms"][0] + self.after_ms
+        if not found:
             self.timer.update((at,))
             self.handle.registerTimer(at)
-        if self.cancel_above is not None and (values_of(rows).iloc[int(first) :] > self.cancel_above).any():
+        if self.cancel_above is not None and any(v is not None and v > self.cancel_above for v in rows["vc"][not found :]):
             self.handle.deleteTimer(at)
 
-    def on_timer(self, at_ms: int) -> list[Any]:
+    def on_timer(self, at_ms: int, timers: Any) -> list[Sequence[Any]]:
         return [[at_ms]]
 
 

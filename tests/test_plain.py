@@ -86,3 +86,11 @@ def test_folds_on_plain_rows():
     assert given(fold, (2, 0, 7), (1, 0, None)) == [(1, None, 1, None, None, None), (2, 7, 2, 3.5, 7, 7)]
     assert given(fold, (3, 0, -1)) == [(3, 6, 3, 2.0, -1, 7)]
     assert given(carried, (4, 0, None), (5, 0, 9)) == [(4, 5, 3, 1), (5, 14, 4, 7)]
+
+
+def test_a_first_row_timer_on_plain_rows():
+    timer = processors.FirstRowTimer(10, 50)
+    handle = opened(timer)
+    assert given(timer, (2, 1, 1), (1, 5, 99)) == [] and (handle.set, handle.deleted) == ([15], [])
+    assert given(timer, (3, 7, None), (4, 8, 60)) == [] and (handle.set, handle.deleted) == ([15], [15])
+    assert [tuple(r) for r in timer.handleExpiredTimer(("k",), handle, type("At", (), {"getExpiryTimeInMs": lambda self: 15})())] == [("k", 15)]
