@@ -307,7 +307,7 @@ class CountWindows(KeyedProcessor):
         return [number[fires], fires + 1 - low, total]
 
 
-class ExpiringValue(KeyedProcessor):
+class ExpiringValue(PlainProcessor):
     """A value that is gone ``ttl_ms`` after the last read or write (processing time).
 
     Each row reads the state, which renews it, and writes its own value if above
@@ -322,17 +322,16 @@ class ExpiringValue(KeyedProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.stored = handle.getValueState("last", "vc int", ttlDurationMs=self.ttl_ms)
 
-    def on_rows(self, rows: pd.DataFrame, timers: Any) -> list[Any]:
-        held = self.stored.get()[0] if self.stored.exists() else None
-        vc = values_of(rows)
-        put = vc.where((vc > self.floor).fillna(False))
-        state = put.ffill().shift(1)
+    def on_rows(self, rows: dict[str, tuple], timers: Any) -> list[Sequence[Any]]:
+        found = self.stored.get()
+        held, states = found[0] if found else None, []
+        for vc in rows["vc"]:
+            states.append(held)
+            if vc is not None and vc > self.floor:
+                held = vc
         if held is not None:
-            state = state.fillna(held)
-        last = last_of(put, held)
-        if last is not None:
-            self.stored.update((last,))
-        return [rows["seq"], state]
+            self.stored.update((held,))
+        return [rows["seq"], states]
 
 
 class FirstRowTimer(PlainProcessor):

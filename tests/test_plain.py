@@ -94,3 +94,10 @@ def test_a_first_row_timer_on_plain_rows():
     assert given(timer, (2, 1, 1), (1, 5, 99)) == [] and (handle.set, handle.deleted) == ([15], [])
     assert given(timer, (3, 7, None), (4, 8, 60)) == [] and (handle.set, handle.deleted) == ([15], [15])
     assert [tuple(r) for r in timer.handleExpiredTimer(("k",), handle, type("At", (), {"getExpiryTimeInMs": lambda self: 15})())] == [("k", 15)]
+
+
+def test_an_expiring_value_on_plain_rows():
+    value = processors.ExpiringValue(10, 1000)
+    opened(value)
+    assert given(value, (2, 0, 10), (1, 0, 11), (3, 0, None)) == [(1, None), (2, 11), (3, 11)]
+    assert given(value, (5, 0, 3), (4, 0, 50)) == [(4, 11), (5, 50)]
