@@ -30,14 +30,14 @@ from millrace.catalog.keyed import CHANGES, FLOOR, JUMPS, RUNNING_AVG, TOP3, VAL
 from millrace.catalog.windowed import COUNT_SLIDE, LATE, SESSIONS, TOP, TUMBLE, count_and_sum, in_seconds
 from millrace.functions.text import java_split
 from millrace.operators import running, topn, windows
-from millrace.operators.combine import keyed_connect, lateral_tokens, window_join
+from millrace.operators.combine import lateral_tokens, window_join
 from millrace.operators.route import tag_first
 from millrace.plans.scan import Running, first_value, last_value, running_count, running_max, running_sum
 from millrace.session import scratch_dir
 from millrace.sources.log import FileLog, copy_log
 from millrace.sources.text import stream_lines
 from millrace.streaming import processors
-from millrace.streaming.batchwise import follow_lateness, follow_settings
+from millrace.streaming.batchwise import follow_connect, follow_lateness, follow_settings
 from millrace.streaming.keyed import follow_counts, follow_running, follow_top
 from millrace.streaming.run import BatchTable, Replay, run_batches, run_to_table, step_of
 
@@ -284,8 +284,7 @@ def table_append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def connect_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = streamed(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     items = streamed(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    joined = keyed_connect(orders, items, "o_orderkey", "l_orderkey")
-    return run_to_table(joined.drop("l_orderkey"), "connect")
+    return follow_connect(orders, items, "o_orderkey", "l_orderkey", "connect").drop("l_orderkey")
 
 
 def two_sides(spark: SparkSession, sf_dir: str, other: str) -> tuple[Replay, DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.combine import interval_join, latest_setting
+from millrace.operators.combine import interval_join, keyed_connect, latest_setting
 from millrace.operators.eventtime import classify_lateness, source_watermark, tag_late_sides
 from millrace.plans.scan import CHUNK_ROWS, OrderedScan, running_count, running_sum
 from millrace.session import remove_dir, scratch_dir
@@ -54,6 +54,52 @@ class Carry:
         return self.table(-1 if last is None else last + 1)
 
 
+def follow_connect(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    label: str,
+    checkpoint: str | None = None,
+    replays: Sequence[Replay] = (),
+    upto: int | None = None,
+) -> DataFrame:
+    """``keyed_connect`` of two streams: every pair of rows with equal keys, once, whatever the arrival order.
+
+    The history is a table under the checkpoint, with a folder per batch and side, as a state store would take each of its rows
+    one by one. A batch joins its left rows with all right rows, and the left rows of earlier batches with its right ones.
+    Every batch reads what came before, so batches should be large against it.
+    """
+    spark = left.sparkSession
+    checkpoint = checkpoint or scratch_dir(spark, f"{label}-ckpt")
+    kept, out = f"{checkpoint}/kept/sides", BatchTable(spark, f"{checkpoint}/kept/rows")
+    sides = {"left": left, "right": right}
+    schema = ", ".join(f"`{name}` {df.schema.simpleString()}" for name, df in sides.items())
+
+    def tagged(name: str) -> DataFrame:
+        values = [F.struct(*df.columns) if n == name else F.lit(None).cast(df.schema) for n, df in sides.items()]
+        return sides[name].select(*[v.alias(n) for n, v in zip(sides, values, strict=True)], F.lit(name).alias("side"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("side").parquet(f"{kept}/batch={batch_id}")
+        rows = spark.read.schema(f"{schema}, batch bigint, side string").parquet(kept)
+        number = F.col("batch")
+
+        def side(name: str, which: Column) -> DataFrame:
+            return rows.where((F.col("side") == name) & which).select(f"{name}.*")
+
+        made = keyed_connect(side("left", number == batch_id), side("right", number <= batch_id), left_key, right_key)
+        if batch_id:
+            before = keyed_connect(side("left", number < batch_id), side("right", number == batch_id), left_key, right_key)
+            made = made.unionByName(before)
+        out.write(made, batch_id)
+
+    both = tagged("left").unionByName(tagged("right"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run_batches(both, handle, label, checkpoint, partitions=partitions, replays=replays, upto=upto)
+    return out.read(ddl(T.StructType([*left.schema.fields, *right.schema.fields]))).drop("batch")
+
+
 def follow_lateness(
     stream: DataFrame,
     time_ms: Column,

@@ -1,11 +1,18 @@
-"""Processors on plain rows and the steps of their replays, against plain loops."""
+"""Processors on plain rows, the steps of their replays, and the connect of two streams, against plain loops."""
+
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from millrace.catalog import streams
+from millrace.session import scratch_dir
 from millrace.streaming import processors
+from millrace.streaming.batchwise import follow_connect
+from millrace.streaming.run import Replay
+from test_carried import again
 
 
 class Handle:
@@ -101,3 +108,20 @@ def test_an_expiring_value_on_plain_rows():
     opened(value)
     assert given(value, (2, 0, 10), (1, 0, 11), (3, 0, None)) == [(1, None), (2, 11), (3, 11)]
     assert given(value, (5, 0, 3), (4, 0, 50)) == [(4, 11), (5, 50)]
+
+
+def test_two_streams_connect_over_batches_and_resume(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, *range(12)]), rng.choice("lr")) for i in range(120)]
+    df = spark.createDataFrame(rows, "seq bigint, k int, side string")
+    source, checkpoint = Replay(df, "seq", 4), scratch_dir(spark, "connect")
+
+    def one(side):
+        return source.stream().where(F.col("side") == side).select(F.col("k").alias(f"{side}_k"), F.col("seq").alias(f"{side}_seq"))
+
+    for upto, replays in ((2, [source]), (None, []), (4, [source]), (None, [])):
+        made = follow_connect(one("l"), one("r"), "l_k", "r_k", "connect", checkpoint, replays, upto)
+        if replays:
+            again(checkpoint)
+    want = Counter((k, i, k, j) for i, k, a in rows for j, other, b in rows if (a, b) == ("l", "r") and k is not None and k == other)
+    assert Counter(tuple(r) for r in made.collect()) == want
