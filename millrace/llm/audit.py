@@ -1,10 +1,11 @@
 """How filters interact: one pass over a sparse document-term matrix, then sums over all orders.
 
 ``document_terms`` deals the documents into shards of some megabytes. A shard is a CSR matrix: the terms of
-each document and their counts, with the shard's own dictionary. One shuffle of these dictionaries by word numbers
-each distinct word and gives every shard the numbers of its words; a word comes once per shard, however often
-it is used, so a common word is no hot key. ``matrix_rows`` puts the numbers into the shards; the sums of a
-row and its entries are the words and the distinct words of a document.
+each document and their counts, with the shard's own dictionary. It comes in pieces, rows that each hold a run of its
+documents and a run of its dictionary, so that neither Python nor the JVM has to hold it in one array. One shuffle
+of these dictionaries by word numbers each distinct word and gives every shard the numbers of its words; a word comes
+once per shard, however often it is used, so a common word is no hot key. ``matrix_rows`` puts the numbers into the
+shards; the sums of a row and its entries are the words and the distinct words of a document.
 
 ``interactions`` applies filters in every order. All it needs is how many documents of a part fail which filters, 32 rows
 a part; a fixed table says for each order, step and set of failures what happens there.
@@ -12,7 +13,7 @@ a part; a fixed table says for each order, step and set of failures what happens
 Null texts are empty. A null id is smaller than none and equal to none: it fails no test of copies and makes no other
 row fail; it has no labels. Rows that repeat an id are documents of their own, and copies of each other only if a smaller
 id has the text. Several labels of one id count if any of them is 1. A null source is the empty string. Texts of any length are
-taken whole, one document at least to a shard. Extra columns are not read. An empty table has no parts, so no rows.
+taken whole, one document at least to a shard and to a piece. Extra columns are not read. An empty table has no parts, so no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ from millrace.session import scratch_dir
 
 #: Texts of so many bytes make a shard.
 SHARD_BYTES = 1 << 24
+#: Texts of so many bytes make a piece. Its row in the JVM has less than the half megabyte that G1 gives regions of their own.
+PIECE_BYTES = 1 << 18
+#: Row groups of the shards' files; a reader holds one of them at a time.
+GROUP_BYTES = 1 << 23
 FILTERS = "ABCDE"
 MARKS = np.isin(np.arange(256), np.frombuffer(b"#$%&*|", np.uint8))
 CAPITALS = (np.arange(256) >= 65) & (np.arange(256) <= 90)
@@ -44,7 +49,7 @@ HOT = 4096
 
 SHARD = (
     "shard bigint, ids array<bigint>, parts array<string>, points array<bigint>, capitals array<bigint>, marked array<boolean>, "
-    "hashes array<binary>, row_ends array<bigint>, gaps array<int>, counts array<int>, words array<string>"
+    "hashes array<binary>, row_ends array<bigint>, gaps array<int>, counts array<int>, start int, words array<string>"
 )
 ROW = "id bigint, part string, n_words bigint, n_distinct bigint, points bigint, capitals bigint, marked boolean, hash binary"
 
@@ -60,21 +65,41 @@ def per_document(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(total[offsets])
 
 
-def shard_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(end of each row, gap and count of each entry, the words that the terms number).
+def pieces_of(offsets: np.ndarray) -> list[tuple[int, int]]:
+    """(first document, end document) of the pieces."""
+    pieces, lo, n = [], 0, len(offsets) - 1
+    while lo < n:
+        hi = int(np.searchsorted(offsets, offsets[lo] + PIECE_BYTES, "right")) - 1
+        hi = min(max(hi, lo + 1), n)
+        pieces.append((lo, hi))
+        lo = hi
+    return pieces
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, pieces: list[tuple[int, int]]) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """How many words each document has; all words in order as terms of one dictionary."""
+    sizes, words = [], []
+    for lo, hi in pieces:
+        part = data[offsets[lo] : offsets[hi]]
+        solid = ~SPACE[part]
+        starts, ends, doc = spans_of(solid, offsets[lo : hi + 1] - offsets[lo])
+        sizes.append(np.bincount(doc, minlength=hi - lo))
+        words.append(packed_words(part, solid, ends - starts))
+    # Not over a chunked array, whose chunks would come with dictionaries of their own.
+    return np.concatenate(sizes), pa.concat_arrays(words).dictionary_encode()
+
+
+def entries_of(terms: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(end of each row, gap and count of each entry) of documents of so many words.
 
     A row's terms rise; a gap is a term less the one before it in the row, which packs better.
     """
-    solid = ~SPACE[data]
-    starts, ends, doc = spans_of(solid, offsets)
-    coded = packed_words(data, solid, ends - starts).dictionary_encode()
-    width = max(1, len(coded.dictionary))
-    cell, count = np.unique(doc * width + coded.indices.to_numpy(), return_counts=True)
-    row_ends = np.searchsorted(cell, np.arange(1, len(offsets)) * width)
+    cell, count = np.unique(np.repeat(np.arange(len(sizes)) * width, sizes) + terms, return_counts=True)
+    row_ends = np.searchsorted(cell, np.arange(1, len(sizes) + 1) * width)
     term, row = cell % width, cell // width
     gap = term.copy()
     gap[1:] -= np.where(row[1:] == row[:-1], term[:-1], 0)
-    return row_ends, gap.astype(np.int32), count.astype(np.int32), coded.dictionary
+    return row_ends, gap.astype(np.int32), count.astype(np.int32)
 
 
 def terms_of(gaps: np.ndarray, row_of: np.ndarray) -> np.ndarray:
@@ -85,29 +110,41 @@ def terms_of(gaps: np.ndarray, row_of: np.ndarray) -> np.ndarray:
 
 
 def document_terms(df: DataFrame, key: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
-    """One row per shard: its CSR matrix, its words and what else its documents' texts tell."""
+    """One row per piece of a shard: its rows of the CSR matrix and what else its documents' texts tell.
+
+    The pieces of a shard have one dictionary; a piece holds the words of it from place ``start``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch, "text", SHARD_BYTES):
-                row_ends, gaps, counts, words = shard_of(data, offsets)
-                whole = data.tobytes()
-                hashes = [hashlib.sha256(whole[a:b]).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                columns = [
-                    pa.array([number], pa.int64()),
-                    one_list(batch.column(0).slice(lo, hi - lo)),
-                    one_list(batch.column(2).slice(lo, hi - lo)),
-                    one_list(pa.array(per_document((data & 0xC0) != 0x80, offsets))),
-                    one_list(pa.array(per_document(CAPITALS[data], offsets))),
-                    one_list(pa.array(per_document(MARKS[data], offsets) > 0)),
-                    one_list(pa.array(hashes, pa.binary())),
-                    one_list(pa.array(row_ends, pa.int64())),
-                    one_list(pa.array(gaps)),
-                    one_list(pa.array(counts)),
-                    one_list(words.cast(pa.string())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SHARD.split(", ")])
+            for first, _, whole, offsets in text_chunks(batch, "text", SHARD_BYTES):
+                pieces = pieces_of(offsets)
+                sizes, coded = words_of(whole, offsets, pieces)
+                terms, words = coded.indices.to_numpy(), coded.dictionary
+                word_ends = np.concatenate([[0], np.cumsum(sizes)])
+                # The dictionary is dealt evenly, whichever piece has the words.
+                shares = np.arange(len(pieces) + 1) * len(words) // len(pieces)
+                for (lo, hi), start, end in zip(pieces, shares[:-1].tolist(), shares[1:].tolist(), strict=True):
+                    data, ends = whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                    row_ends, gaps, counts = entries_of(terms[word_ends[lo] : word_ends[hi]], sizes[lo:hi], max(1, len(words)))
+                    texts = data.tobytes()
+                    hashes = [hashlib.sha256(texts[a:b]).digest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                    columns = [
+                        pa.array([number], pa.int64()),
+                        one_list(batch.column(0).slice(first + lo, hi - lo)),
+                        one_list(batch.column(2).slice(first + lo, hi - lo)),
+                        one_list(pa.array(per_document((data & 0xC0) != 0x80, ends))),
+                        one_list(pa.array(per_document(CAPITALS[data], ends))),
+                        one_list(pa.array(per_document(MARKS[data], ends) > 0)),
+                        one_list(pa.array(hashes, pa.binary())),
+                        one_list(pa.array(row_ends, pa.int64())),
+                        one_list(pa.array(gaps)),
+                        one_list(pa.array(counts)),
+                        pa.array([start], pa.int32()),
+                        one_list(words.slice(start, end - start).cast(pa.string())),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SHARD.split(", ")])
                 number += 1
 
     chosen = df.select(df[key].cast("bigint").alias("id"), df[text].alias("text"), F.coalesce(df[part], F.lit("")).cast("string").alias("part"))
@@ -137,15 +174,16 @@ def number_words(words: DataFrame) -> DataFrame:
 
 def matrix_rows(shards: DataFrame) -> DataFrame:
     """One row per document from the shards, whose terms get their global numbers on the way."""
-    words = shards.select("shard", F.posexplode("words").alias("place", "word"))
-    matrix = shards.drop("words")
+    words = shards.select("shard", "start", F.posexplode("words").alias("place", "word"))
+    words = words.select("shard", (F.col("start") + F.col("place")).alias("place"), "word")
+    matrix = shards.drop("start", "words")
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         term = np.zeros(right.num_rows, np.int64)
         term[right["place"].to_numpy()] = right["term"].to_numpy()
         made = []
-        for row in range(left.num_rows):
-            shard = {name: left[name].combine_chunks().slice(row, 1).flatten() for name in left.column_names if name != "shard"}
+        for piece in (batch.slice(row, 1) for batch in left.to_batches() for row in range(batch.num_rows)):
+            shard = {name: piece[name].flatten() for name in piece.schema.names if name != "shard"}
             ends = shard["row_ends"].to_numpy()
             row_of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
             terms, counts = term[terms_of(shard["gaps"].to_numpy(), row_of)], shard["counts"].to_numpy()
@@ -167,7 +205,7 @@ def matrix_rows(shards: DataFrame) -> DataFrame:
                     }
                 )
             )
-        return pa.concat_tables(made)
+        return pa.concat_tables(made).combine_chunks()
 
     return matrix.groupBy("shard").cogroup(number_words(words).groupBy("shard")).applyInArrow(merge, ROW)
 
@@ -235,7 +273,7 @@ def interactions(counted: DataFrame) -> DataFrame:
 def audit(df: DataFrame, labels: DataFrame) -> DataFrame:
     """The report of the five filters over documents (doc_id, text, source) and labels (doc_id, quality, toxic)."""
     path = scratch_dir(df.sparkSession, "shards")
-    document_terms(df).write.option("compression", "zstd").parquet(path)
+    document_terms(df).write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).parquet(path)
     rows = written(matrix_rows(df.sparkSession.read.schema(SHARD).parquet(path)), "matrix-rows")
     flagged = with_first_of_text(rows)
     flagged = flagged.select("id", "part", failures(flagged).alias("fails"))

@@ -89,3 +89,34 @@ def test_awkward_and_empty_tables(spark):
     assert made(audit.audit(awkward(spark), labels)) == plain(rows, [(1, 1, 1), (7, 1, 0)])
     assert made(audit.audit(awkward(spark), labels.limit(0))) == plain(rows, [])
     assert audit.audit(empty(spark), labels).count() == 0
+
+
+def test_pieces_of_a_shard_equal_the_loop(spark, monkeypatch):
+    monkeypatch.setattr(audit, "PIECE_BYTES", 300)
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randrange(60)) for _ in range(60)] + [None, "", " \n", "one", "ab " * 3000, "é# " + "A" * 900, ""]
+    texts += rng.sample(texts, 20)
+    docs = [(rng.choice([i, i, None, 3]), text, rng.choice(["s", "t", None])) for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string").repartition(2)
+    shards = audit.document_terms(frame).select("shard", "start", "ids", "words").collect()
+    assert len({r["shard"] for r in shards}) == 2 < len(shards)
+    for shard in {r["shard"] for r in shards}:
+        words, at = [], 0
+        for r in (r for r in shards if r["shard"] == shard):
+            assert r["start"] == at
+            words += r["words"]
+            at += len(r["words"])
+        assert len(words) == len(set(words))
+    labels = [(i, rng.choice([0, 1]), rng.choice([0, 1])) for i in range(40)]
+    report = audit.audit(frame, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    assert made(report) == plain(docs, labels)
+
+
+def test_rows_of_a_shard_stay_small(spark):
+    """A shard of megabytes comes in rows of a quarter megabyte; each is a batch of its own in Python and one array in the JVM."""
+    docs = [(i, " ".join(f"w{i * j % 9973}" for j in range(4000)), "s") for i in range(100)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string").coalesce(1)
+    rows = audit.document_terms(frame).selectExpr("shard", "size(ids) AS n", "aggregate(points, 0L, (a, b) -> a + b) AS size", "size(words) AS words").collect()
+    assert sum(r["n"] for r in rows) == 100 and sum(r["size"] for r in rows) == sum(len(text) for _, text, _ in docs)
+    assert max(r["size"] for r in rows) <= 1 << 18
+    assert len({r["shard"] for r in rows}) == 1 and max(r["words"] for r in rows) < 9973 / 5
